@@ -115,6 +115,13 @@ SELECT ent_id, month_id, 'totalInsuredPersons' AS data_type, cast(t AS string) A
 UNION ALL SELECT ent_id, month_id, 'monAddPersons', cast(a AS string) FROM ent_month
 UNION ALL SELECT ent_id, month_id, 'monRenewalPersons', cast(n AS string) FROM ent_month
 UNION ALL SELECT ent_id, month_id, 'monSubPersons', cast(r AS string) FROM ent_month""",
+    "premium_change": """
+SELECT l_orderkey AS policy_id, concat('POL', cast(l_orderkey AS string)) AS policy_code,
+       CASE WHEN l_returnflag = 'A' THEN cast(l_extendedprice AS decimal(15,2)) END AS add_premium,
+       CASE WHEN l_returnflag = 'A' THEN cast(l_quantity AS int) END AS add_persons,
+       CASE WHEN l_returnflag = 'R' THEN cast(l_extendedprice AS decimal(15,2)) END AS del_premium,
+       replace(cast(cast(l_shipdate AS date) AS string), '-', '') AS day_id
+FROM lineitem""",
     "sum_level": """
 SELECT concat('E', cast(c_custkey AS string)) AS ent_id, cast(cast(floor(abs(c_acctbal) / 10) AS int) AS string) AS ent_scale,
        c_mktsegment AS ent_influence_level

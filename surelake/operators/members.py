@@ -47,7 +47,7 @@ def member_tier(chan, money, months, people, as_of: str, cuts: TierCuts = TierCu
         own.join(counted, "ent_id", "left_semi")
         .join(money, "ent_id", "left")
         .groupBy("channel")
-        .agg(F.sum(F.coalesce("due", F.lit(0.0))).alias("due"), F.sum(F.coalesce("earned", F.lit(0.0))).alias("earned"))
+        .agg(*[F.sum(F.coalesce(c, F.lit(0)).cast("decimal(24,4)")).cast("double").alias(c) for c in ("due", "earned")])
     )
     mine = months.join(own, "ent_id").select("channel", "month_id").distinct()
     streak = streak_lengths(mine, "channel").withColumnRenamed("last_month", "last")

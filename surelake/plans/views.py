@@ -144,6 +144,115 @@ SELECT concat('E', cast(c_custkey AS string)) AS ent_id, c_name AS ent_name,
        CASE WHEN n_regionkey = 0 THEN c_name ELSE n_name END AS channel,
        concat('Sales ', cast(n_nationkey AS string)) AS salesman, concat('Op ', cast(n_regionkey AS string)) AS biz_operator
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "v1_person": f"""
+SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string), '-', cast(l_suppkey AS string)) AS id,
+       cast(l_orderkey AS string) AS policy_id, concat('张三', chr(10), cast(l_partkey AS string)) AS name,
+       concat(CASE WHEN l_quantity > 25 THEN '电工' ELSE '焊' END, chr(10), 'x') AS work_type, concat({CARD_L}, chr(10)) AS cert_no,
+       CASE WHEN l_tax = 0.0 THEN 'obsolete' WHEN l_tax < 0.02 THEN NULL ELSE 'ok' END AS remark, '1' AS status,
+       cast(cast(l_shipdate AS date) AS string) AS start_date
+FROM lineitem WHERE l_linestatus = 'O'""",
+    "v1_child": f"""
+SELECT concat('c', cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string), '-', cast(l_suppkey AS string)) AS id,
+       concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string), '-', cast(l_suppkey AS string)) AS insured_id,
+       {CARD_L} AS child_cert_no
+FROM lineitem WHERE l_linestatus = 'O' AND l_linenumber = 7""",
+    "v1_policy": """
+SELECT cast(o_orderkey AS string) AS id, cast(o_orderkey AS string) AS policy_id, cast(o_orderkey AS string) AS order_id,
+       CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '10100080492' WHEN o_orderstatus = 'P' THEN NULL
+            ELSE cast(o_custkey AS string) END AS user_id,
+       CASE o_orderpriority WHEN '5-LOW' THEN '15000001' ELSE substr(o_orderpriority, 1, 1) END AS insure_code,
+       concat(CASE WHEN o_orderstatus = 'F' THEN 'BZN' ELSE 'POL' END, cast(o_orderkey AS string)) AS policy_code,
+       cast(o_totalprice AS decimal(15,2)) AS premium, CASE o_orderstatus WHEN 'O' THEN '1' ELSE '0' END AS status,
+       cast(cast(o_orderdate AS date) AS string) AS start_date, cast(cast(o_orderdate AS date) + 89 AS string) AS end_date,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE cast(cast(o_orderdate AS date) AS string) END AS order_date,
+       concat('K', substr(o_orderpriority, 1, 1), o_orderstatus) AS sku_id
+FROM orders""",
+    "v1_order": """
+SELECT cast(o_orderkey AS string) AS order_id, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '10100080492'
+            WHEN o_orderstatus = 'P' THEN NULL ELSE cast(o_custkey AS string) END AS user_id,
+       cast(o_totalprice AS decimal(15,2)) AS pay_amount, cast(cast(o_orderdate AS date) - 1 AS string) AS order_create_time, '10' AS quantity
+FROM orders""",
+    "v1_first_premium": """
+SELECT cast(o_orderkey AS string) AS policy_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE cast(o_totalprice AS decimal(15,2)) - 10 END AS pay_amount
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+    "v1_holder": """
+SELECT cast(o_orderkey AS string) AS policy_id, c_name AS holder_name, n_name AS holder_province
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    "ent_map": """
+SELECT concat('POL', cast(o_orderkey AS string)) AS policy_code, concat('E', cast(o_custkey AS string)) AS ent_id FROM orders""",
+    "ent_info": """
+SELECT concat('E', cast(c_custkey AS string)) AS ent_id, c_name AS ent_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS office_province
+FROM customer""",
+    "v2_person": f"""
+SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string), '-', cast(l_suppkey AS string)) AS id,
+       concat('N', cast(l_orderkey AS string)) AS policy_no, concat(chr(10), '李', cast(l_partkey AS string), '四') AS name, '木工' AS work_type,
+       {CARD_L} AS cert_no, CASE WHEN l_tax > 0.05 THEN '2' ELSE '1' END AS cert_type, CASE l_returnflag WHEN 'R' THEN '0' ELSE '1' END AS status,
+       concat('N', cast(l_orderkey * 10 + l_linenumber % 3 AS string)) AS revise_no, l_returnflag AS revise_status,
+       CASE WHEN l_tax = 0.07 THEN NULL ELSE cast(cast(l_shipdate AS date) AS string) END AS start_date,
+       CASE WHEN l_discount = 0.0 THEN NULL ELSE cast(cast(l_shipdate AS date) + 400 AS string) END AS end_date
+FROM lineitem WHERE l_linestatus = 'F'""",
+    "v2_child": """
+SELECT concat('s', cast(o_orderkey AS string)) AS id, concat('N', cast(o_orderkey AS string)) AS policy_no, 'child' AS name,
+       CASE o_orderstatus WHEN 'O' THEN '1' ELSE '0' END AS status
+FROM orders WHERE o_orderpriority = '3-MEDIUM'""",
+    "v2_policy": """
+SELECT concat('V', cast(o_orderkey AS string)) AS id, concat('V', cast(o_orderkey AS string)) AS policy_id, concat('N', cast(o_orderkey AS string)) AS policy_no,
+       concat('POL', cast(o_orderkey AS string)) AS insurance_policy_no, concat('POL', cast(o_orderkey AS string)) AS policy_code,
+       substr(o_orderpriority, 1, 1) AS insure_code, cast(o_totalprice AS decimal(15,2)) AS premium,
+       CASE o_orderstatus WHEN 'F' THEN '0' ELSE '1' END AS status, cast(cast(o_orderdate AS date) AS string) AS start_date,
+       cast(cast(o_orderdate AS date) + 400 AS string) AS end_date
+FROM orders""",
+    "v2_plan": """
+SELECT concat('N', cast(l_orderkey AS string)) AS policy_no, l_quantity AS plan_amount, cast(l_linenumber AS string) AS contain_trainee,
+       l_discount AS injure_percent, CASE l_returnflag WHEN 'N' THEN 2 ELSE 1 END AS payment_type FROM lineitem""",
+    "v2_holder": """
+SELECT concat('N', cast(o_orderkey AS string)) AS policy_no, c_name AS holder_name FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "v1_endorse": """
+SELECT l_orderkey AS preserve_id, l_orderkey AS policy_id, concat('POL', cast(l_orderkey AS string)) AS policy_code, '4' AS preserve_status,
+       count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS add_person_count, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS del_person_count,
+       min(cast(l_shipdate AS date)) AS start_date, max(cast(l_shipdate AS date)) AS end_date
+FROM lineitem GROUP BY 1, 2, 3""",
+    "v1_endorse_person": f"""
+SELECT l_orderkey AS preserve_id, '王五' AS name, {CARD_L} AS cert_no, concat('瓦工', chr(10)) AS work_type, l_returnflag AS change_type,
+       CASE WHEN l_returnflag = 'A' THEN cast(l_shipdate AS date) END AS join_date,
+       CASE WHEN l_returnflag = 'R' THEN cast(l_shipdate AS date) END AS left_date,
+       CASE WHEN l_tax = 0.0 THEN 'obsolete' WHEN l_tax < 0.03 THEN NULL ELSE 'ok' END AS remark FROM lineitem""",
+    "v2_endorse": """
+SELECT concat('N', cast(l_orderkey AS string)) AS policy_no, concat('N', cast(l_orderkey * 10 + l_linenumber % 3 AS string)) AS revise_no,
+       concat('N', cast(l_orderkey * 10 + l_linenumber % 3 AS string)) AS preserve_id,
+       count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS add_person_count, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS del_person_count
+FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2, 3""",
+    "facts": """
+SELECT DISTINCT i.insured_name, insured_cert_no, insured_mobile, product_type FROM insured i JOIN policy USING (policy_id)
+JOIN (VALUES ('1', '雇主'), ('2', '体育'), ('3', '健康'), ('4', '教育')) AS t(code, product_type) ON insure_code = code""",
+    "mobile_place": """
+SELECT concat('138', lpad(cast(p_partkey AS string), 8, '0')) AS mobile, p_brand AS province, p_type AS city, 'mobile' AS operator
+FROM part WHERE p_size <= 40""",
+    "customers_crm": """
+SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS channel, cast(c_nationkey AS string) AS source, cast(c_nationkey % 4 AS string) AS detail,
+       cast(cast(floor(abs(c_acctbal) / 1000) AS int) AS string) AS level, DATE '2000-01-01' + cast(c_custkey % 500 AS int) AS update_time FROM customer""",
+    "options_crm": """
+SELECT 'channel' AS field, s AS key, concat('seg ', lower(s)) AS value FROM (SELECT DISTINCT c_mktsegment AS s FROM customer WHERE c_mktsegment <> 'BUILDING') t
+UNION ALL SELECT 'source', cast(n_nationkey AS string), n_name FROM nation
+UNION ALL SELECT 'detail', cast(r_regionkey AS string), r_name FROM region""",
+    "business_crm": """
+SELECT DISTINCT o_custkey AS customer_id, o_orderstatus AS sale_process, CASE WHEN o_orderstatus = 'F' THEN concat(' Ent ', o_orderpriority, ' ') END AS ent_name FROM orders""",
+    "team": """
+SELECT concat('Sales ', cast(n_nationkey AS string)) AS sale_name, CASE WHEN n_regionkey = 1 THEN NULL ELSE concat('Team ', cast(n_regionkey AS string)) END AS team_name FROM nation""",
+    "work_grade": """
+SELECT concat('POL', cast(o_orderkey AS string)) AS policy_code, concat('class ', cast(o_orderkey % 4 AS string)) AS profession_type FROM orders""",
+    "policy_place": """
+SELECT policy_code, cast(c_nationkey AS string) AS office_province, cast(c_nationkey AS string) AS office_city
+FROM policy JOIN customer ON holder_company = c_name""",
+    "place_names": """
+SELECT cast(n_nationkey AS string) AS code, CASE n_nationkey WHEN 3 THEN '北京市' ELSE n_name END AS short_name FROM nation""",
+    "people_sources": """
+SELECT insured_cert_no AS cert, insured_mobile AS mobile, cast(insured_start AS string) AS create_time, cast(insured_end AS string) AS end_time,
+       '官网' AS product_code, '产品官网' AS customer_name, insured_work_type AS identity, insured_name
+FROM (SELECT i.*, t.insured_start_date AS insured_start, t.insured_end_date AS insured_end FROM insured i JOIN insured_term t USING (insured_id)) a
+UNION ALL
+SELECT insured_cert_no, '', replace(substr(cast(start_date AS string), 1, 19), 'T', ' '), replace(substr(cast(end_date AS string), 1, 19), 'T', ' '),
+       'ofo', 'rides', '', insured_name FROM rides""",
     "sku_term": """
 SELECT * FROM (VALUES ('K1O', '50123', '10'), ('K1F', '30221', '20'), ('K2O', '501', '30'), ('K2F', '80312', '40'),
   ('K3P', '20111', '50'), ('K4O', '1234', '60'), ('K5F', '60105', '70'), ('K5O', NULL, '80')) AS t(sku_code, term_three, term_one)""",
@@ -184,7 +293,7 @@ FROM lineitem""",
     "ledger_small": """
 SELECT concat('POL', cast(o_orderkey AS string)) AS policy_no,
        CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '8' END AS batch_no,
-       cast(o_totalprice AS decimal(15,2)) AS premium
+       cast(o_totalprice AS decimal(15,2)) AS premium, cast(floor(o_totalprice / 10) AS decimal(15,2)) AS settlement
 FROM orders WHERE o_orderpriority <> '5-LOW'""",
 }
 

@@ -61,11 +61,11 @@ s AS (SELECT ent_id, round(CASE WHEN people < 1000 THEN 30 * (people / 1000) WHE
   round(CASE WHEN premium < 1e5 THEN 50 * (premium / 1e5) WHEN premium < 6e5 THEN 30 * ((premium - 1e5) / 5e5) + 50
     WHEN premium < 2e6 THEN 20 * ((premium - 6e5) / 1.4e6) + 80 ELSE 0 END, 2) AS b,
   round(CASE WHEN growth < 0 THEN 0 WHEN growth < 50 THEN 50 * (growth / 50) WHEN growth < 100 THEN 50 * ((growth - 50) / 50) + 50 ELSE 100 END, 2) AS c FROM t)
-SELECT ent_id, round(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE, 3) AS score FROM s""")(
+SELECT ent_id, round(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE, 4) AS score FROM s""")(
     lambda v: v.policy.groupBy("ent_id").agg(
         (F.count("*") * 400).cast("double").alias("people"), (F.sum("premium").cast("double") / 4).alias("premium"),
         (F.count("*") * 7 - 30).cast("double").alias("growth"),
-    ).select("ent_id", F.round(S.value_score("people", "premium", "growth"), 3).alias("score"))
+    ).select("ent_id", F.round(S.value_score("people", "premium", "growth"), 4).alias("score"))
 )
 query("alert_json_fix", """
 SELECT event_id, CASE WHEN value > 15 THEN '{"ringRatio":"0.0000","k":"x"}' ELSE '{"ringRatio":"0.5","k":"x"}' END AS payload FROM events""")(
@@ -130,11 +130,11 @@ ht AS (SELECT hid, branch, payout, token FROM (SELECT hid, branch, payout, unnes
 c AS (SELECT item_id AS case_id, {_BR} AS branch, {TOK.format('text')} AS t, text FROM benchmark),
 p AS (SELECT case_id, hid, any_value(payout) AS payout, count(*) AS o FROM (SELECT case_id, branch, unnest(t) AS token FROM c) JOIN ht USING (branch, token) GROUP BY 1, 2),
 m AS (SELECT *, max(o) OVER (PARTITION BY case_id) AS top FROM p),
-e AS (SELECT case_id, count(*) AS similar, sum(payout) // count(*) AS mean FROM m WHERE o >= top - 1 GROUP BY 1)
-SELECT case_id, branch, coalesce(similar, 0) AS similar, cast({{amount}} AS bigint) AS payout
+e AS (SELECT case_id, count(*) AS n_similar, sum(payout) // count(*) AS mean FROM m WHERE o >= top - 1 GROUP BY 1)
+SELECT case_id, branch, coalesce(n_similar, 0) AS n_similar, cast({{amount}} AS bigint) AS payout
 FROM c LEFT JOIN e USING (case_id)"""
-query("payout_estimate", PAYOUT_SQL.format(
-    amount="CASE WHEN contains(text, 'ouen') THEN 300000 ELSE least(coalesce(mean, 0), case_id * 100 + 300) END"))(
+query("payout_estimate", PAYOUT_SQL.replace(
+    "{amount}", "CASE WHEN contains(text, 'ouen') THEN 300000 ELSE least(coalesce(mean, 0), case_id * 100 + 300) END"))(
     lambda v: MT.payout_estimate(
         _cases(v), _history(v), BRANCHES, MT.vocab_frequent(v.documents, length=4, chinese_only=False), _cover(v), death_words=["ouen"])
 )

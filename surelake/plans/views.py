@@ -278,7 +278,7 @@ FROM events""",
     "log_lines": """
 SELECT concat(replace(substr(cast(ts AS string), 1, 19), 'T', ' '), '.000 [', CASE WHEN event_type IN ('error', 'click') THEN 'ERROR' ELSE 'WARN ' END,
               '] [main] (pkg.Job', cast(user_id % 5 AS string), ':', cast(user_id % 100 AS string), ') ] handler] failed - ',
-              CASE WHEN value > 15 THEN concat('cause ', cast(floor(value / 10) AS string)) ELSE '' END) AS value
+              CASE WHEN value > 15 THEN concat('cause ', cast(cast(floor(value / 10) AS int) AS string)) ELSE '' END) AS value
 FROM events""",
     "knowledge": """
 SELECT q.conv_id * 1000 + q.turn AS id, q.text AS query, a.text AS answer,

@@ -55,8 +55,10 @@ def regulation_times_monthly(policy: DataFrame, endorse: DataFrame, summary: Dat
 # -------------------------------------------------------- monthly summary
 
 
-def month_summary_labels(summary: DataFrame) -> DataFrame:
-    """All labels of the monthly summary table in one grouped scan."""
+def month_summary_labels(summary: DataFrame, *kinds: str) -> DataFrame:
+    """All labels of the monthly summary table in one grouped scan, or those of some row kinds only."""
+    if kinds:
+        summary = summary.where(F.col("data_type").isin(*kinds))
     val = F.col("data_val").try_cast("bigint")
     kind = F.col("data_type")
 

@@ -38,10 +38,10 @@ def union_shards(*shards: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shards)
 
 
-def flags_per(facts: DataFrame, key: str) -> DataFrame:
+def flags_per(facts: DataFrame, key: str, *more) -> DataFrame:
     """19 product flags per key value in one pass."""
     return facts.where(F.col(key).isNotNull()).groupBy(key).agg(
-        *[F.max((F.col("product_type") == k).cast("int")).alias(v) for k, v in FLAGS.items()]
+        *[F.max((F.col("product_type") == k).cast("int")).alias(v) for k, v in FLAGS.items()], *more
     )
 
 
@@ -59,14 +59,9 @@ def product_flags_by_id(facts: DataFrame) -> DataFrame:
 
 def product_flags_by_mobile(facts: DataFrame) -> DataFrame:
     """Flags by mobile; a mobile that carries more than one id gives none."""
-    known = facts.where(F.col("insured_mobile").isNotNull())
-    single = (
-        known.groupBy("insured_mobile")
-        .agg(F.min(F.coalesce("insured_cert_no", F.lit(""))).alias("a"), F.max(F.coalesce("insured_cert_no", F.lit(""))).alias("b"))
-        .where(F.col("a") == F.col("b"))
-        .select("insured_mobile")
-    )
-    return _attach(facts, flags_per(known, "insured_mobile").join(single, "insured_mobile", "left_semi"), "insured_mobile")
+    card = F.coalesce("insured_cert_no", F.lit(""))
+    flags = flags_per(facts, "insured_mobile", F.min(card).alias("a"), F.max(card).alias("b")).where(F.col("a") == F.col("b")).drop("a", "b")
+    return _attach(facts, flags, "insured_mobile")
 
 
 def unique_names(people: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .premium import step_days
 
 
 def _spans(insured: DataFrame) -> DataFrame:
@@ -35,11 +34,15 @@ def disjoint_spans(insured: DataFrame, since=None, until=None) -> DataFrame:
 
 
 def daily_headcount(
-    policy: DataFrame, insured: DataFrame, product_codes: DataFrame | None = None, since: str | None = None, until: str | None = None
+    policy: DataFrame, insured: DataFrame, product_codes: DataFrame | None = None, since: str | None = None, until: str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Distinct persons covered on every day of every policy, 0 when there is none.
 
-    ``since`` and ``until`` cut policies and spans before any day is expanded.
+    The bounds of a policy and the bounds of its persons' spans are change points
+    of one running count; days are expanded from the steps after the last
+    shuffle. ``since`` and ``until`` cut policies and spans first, ``carry`` names
+    policy columns to keep.
     """
     pol = policy.where(F.col("policy_code").isNotNull())
     if product_codes is not None:
@@ -47,15 +50,33 @@ def daily_headcount(
     lo, hi = F.lit(since).cast("date"), F.lit(until).cast("date")
     pol = pol.select(
         "policy_id",
-        "policy_code",
+        F.struct("policy_code", *carry).alias("p"),
         F.greatest(S.day("start_date"), lo).alias("start"),  # greatest and least skip a missing bound
         F.least(S.day("end_date"), hi).alias("end"),
     ).where(F.col("start") <= F.col("end"))
     spans = disjoint_spans(insured.join(pol.select("policy_id"), "policy_id", "left_semi"), lo, hi)
-    covered = step_days(spans, "policy_id", {})
-    calendar = pol.select("policy_id", "policy_code", F.explode(S.days("start", "end")).alias("day"))
-    return calendar.join(covered, ["policy_id", "day"], "left").select(
-        "policy_id", "policy_code", S.day_id("day").alias("day_id"), F.coalesce("n", F.lit(0)).cast("bigint").alias("curr_insured")
+
+    def point(day, n, inside, p):
+        return F.struct(day.alias("day"), F.lit(n).alias("n"), F.lit(inside).alias("inside"), p.alias("p"))
+
+    none = F.lit(None).cast(pol.schema["p"].dataType)
+    people = spans.select("policy_id", F.explode(F.array(point(F.col("first"), 1, 0, none), point(F.date_add("last", 1), -1, 0, none))).alias("c"))
+    bounds = pol.select("policy_id", F.explode(F.array(point(F.col("start"), 0, 1, F.col("p")), point(F.date_add("end", 1), 0, -1, none))).alias("c"))
+    per_day = (
+        people.unionByName(bounds)
+        .select("policy_id", "c.*")
+        .groupBy("policy_id", "day")
+        .agg(F.sum("n").alias("n"), F.sum("inside").alias("inside"), F.max("p").alias("p"))
+    )
+    w = Window.partitionBy("policy_id").orderBy("day")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    steps = per_day.select(
+        "policy_id", "day", F.sum("n").over(run).alias("n"), F.sum("inside").over(run).alias("inside"), F.max("p").over(run).alias("p"),
+        F.date_sub(F.lead("day").over(w), 1).alias("last"),
+    ).where(F.col("inside") > 0)
+    days = steps.select("policy_id", "p", "n", F.explode(S.days("day", "last")).alias("day"))
+    return days.select(
+        "policy_id", *[F.col(f"p.{c}").alias(c) for c in ("policy_code", *carry)], S.day_id("day").alias("day_id"), F.col("n").alias("curr_insured")
     )
 
 
@@ -99,7 +120,9 @@ def current_headcount(policy, channel, product, snapshot, as_of: str, statuses=N
 
 
 def headcount_ent_day(policy, daily) -> DataFrame:
-    """Headcount per enterprise and day."""
+    """Headcount per enterprise and day; a daily table that carries ``ent_id`` needs no join."""
+    if "ent_id" in daily.columns:
+        return daily.where(S.not_blank("ent_id")).groupBy("ent_id", "day_id").agg(F.sum("curr_insured").alias("curr_insured"))
     own = policy.where(S.not_blank("ent_id")).select("policy_id", "ent_id")
     return daily.join(own, "policy_id").groupBy("ent_id", "day_id").agg(F.sum("curr_insured").alias("curr_insured"))
 

@@ -70,7 +70,7 @@ query("channel_months", f"""
 WITH m AS ({_MAP}), d AS (SELECT DISTINCT ch, month_id FROM ({_LIVE}) JOIN m USING (ent_id))
 SELECT ch AS channel, 'ent_continuous_plc_month' AS label, string_agg(month_id, '-' ORDER BY month_id) AS value FROM d GROUP BY 1""")(
     lambda v: CH.roll_set(
-        CH.triples(E.month_summary_labels(v.summary_month), "ent_id", "insureinfo", ["ent_continuous_plc_month"]),
+        CH.triples(E.month_summary_labels(v.summary_month, "totalInsuredPersons"), "ent_id", "insureinfo", ["ent_continuous_plc_month"]),
         CH.channel_map(v.channel), "-")
 )
 query("channel_products", f"""

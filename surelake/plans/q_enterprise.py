@@ -25,26 +25,26 @@ SELECT ent_id, cast(ceil(n / months) AS bigint) AS ent_month_regulation_times FR
 )
 
 
-def _month_label(key, label, sql):
-    query(key, sql)(lambda v: E.month_summary_labels(v.summary_month).select("ent_id", label))
+def _month_label(key, label, sql, *kinds):
+    query(key, sql)(lambda v: E.month_summary_labels(v.summary_month, *kinds).select("ent_id", label))
 
 
 _month_label("persons_added", "ent_add_sum_persons", """
 SELECT ent_id, cast(sum(cast(data_val AS bigint)) FILTER (data_type IN ('monAddPersons','monRenewalPersons')) AS bigint)
-  AS ent_add_sum_persons FROM summary_month GROUP BY 1""")
+  AS ent_add_sum_persons FROM summary_month GROUP BY 1""", "monAddPersons", "monRenewalPersons")
 _month_label("persons_removed", "ent_del_sum_persons", """
 SELECT ent_id, cast(sum(cast(data_val AS bigint)) AS bigint) AS ent_del_sum_persons
-FROM summary_month WHERE data_type = 'monSubPersons' GROUP BY 1""")
+FROM summary_month WHERE data_type = 'monSubPersons' GROUP BY 1""", "monSubPersons")
 _month_label("persons_renewed", "ent_continuous_plc_persons", """
 SELECT ent_id, cast(sum(cast(data_val AS bigint)) AS bigint) AS ent_continuous_plc_persons
-FROM summary_month WHERE data_type = 'monRenewalPersons' GROUP BY 1""")
+FROM summary_month WHERE data_type = 'monRenewalPersons' GROUP BY 1""", "monRenewalPersons")
 _month_label("headcount_month_avg", "ent_month_plc_persons", """
 SELECT ent_id, cast(floor(sum(cast(data_val AS bigint)) / count(*)) AS bigint) AS ent_month_plc_persons
-FROM summary_month WHERE data_type = 'totalInsuredPersons' GROUP BY 1""")
+FROM summary_month WHERE data_type = 'totalInsuredPersons' GROUP BY 1""", "totalInsuredPersons")
 _month_label("months_in_force", "ent_continuous_plc_month", """
 SELECT ent_id, string_agg(month_id, '-' ORDER BY month_id) AS ent_continuous_plc_month
 FROM (SELECT DISTINCT ent_id, month_id FROM summary_month
-      WHERE data_type = 'totalInsuredPersons' AND cast(data_val AS bigint) > 0) GROUP BY 1""")
+      WHERE data_type = 'totalInsuredPersons' AND cast(data_val AS bigint) > 0) GROUP BY 1""", "totalInsuredPersons")
 
 STREAK_SQL = """
 WITH months AS ({months}),

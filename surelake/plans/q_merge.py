@@ -300,7 +300,8 @@ LEFT JOIN nation c ON concat(cast(10 + c.n_nationkey AS varchar), '0100') = conc
 LEFT JOIN nation g ON concat(cast(10 + g.n_nationkey AS varchar), '0100') = concat(substr(insured_cert_no, 1, 4), '00') LEFT JOIN region ON g.n_regionkey = r_regionkey""")(
     lambda v: PF.with_regions(
         PF.id_card_features(v.insured, AS_OF),
-        v.sql("""SELECT concat(cast(10 + n_nationkey AS string), x) AS code, n_name AS name FROM nation JOIN (VALUES ('0000'), ('0100')) AS t(x) ON n_regionkey <> 2"""),
+        v.sql("""SELECT concat(cast(10 + n_nationkey AS string), '0000') AS code, n_name AS name FROM nation WHERE n_regionkey <> 2
+UNION ALL SELECT concat(cast(10 + n_nationkey AS string), '0100'), n_name FROM nation WHERE n_regionkey <> 2"""),
         v.sql("SELECT concat(cast(10 + n_nationkey AS string), '0100') AS code, r_name AS grade FROM nation JOIN region ON n_regionkey = r_regionkey"),
         v.sql("SELECT '0101' AS key, 'goat' AS name"),
     ).select("insured_cert_no", "province", "city", "grade")

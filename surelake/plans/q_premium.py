@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..operators import alerts as AL
 from ..operators import channel as CH
 from ..operators import claim as C
@@ -90,7 +91,7 @@ query("headcount_ent_day", f"""
 WITH {HEAD}, t AS (SELECT ent_id, day_id, sum(curr_insured) AS n FROM head GROUP BY 1, 2)
 SELECT ent_id, substr(day_id, 1, 6) AS month_id, cast(sum(n) AS bigint) AS person_days, cast(max(n) AS bigint) AS peak, count(*) AS days
 FROM t GROUP BY 1, 2""")(
-    lambda v: H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v))).groupBy(
+    lambda v: H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v), carry=("ent_id",))).groupBy(
         "ent_id", F.substring("day_id", 1, 6).alias("month_id")).agg(
         F.sum("curr_insured").alias("person_days"), F.max("curr_insured").alias("peak"), F.count("*").alias("days"))
 )
@@ -99,7 +100,7 @@ WITH {HEAD}, t AS (SELECT ent_id, day_id, sum(curr_insured) AS n FROM head WHERE
 m AS (SELECT ent_id, substr(day_id, 1, 6) AS month_id, max(n) AS peak FROM t GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY ent_id ORDER BY month_id DESC) AS k FROM m)
 SELECT ent_id, month_id, cast(peak AS bigint) AS peak FROM r WHERE k = 1""")(
-    lambda v: H.headcount_month_peak(H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v))), AS_OF)
+    lambda v: H.headcount_month_peak(H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v), carry=("ent_id",))), AS_OF)
 )
 
 
@@ -195,7 +196,7 @@ chg AS (SELECT name, cast(y AS bigint) AS y, cast(t AS bigint) AS t, cast(m AS b
 
 
 def _ents(v):
-    daily = H.daily_headcount(v.policy, v.insured_term, scope(v), SINCE, AS_OF)
+    daily = H.daily_headcount(v.policy, v.insured_term, scope(v), SINCE, AS_OF, carry=("ent_id",))
     return AL.alert_input(v.policy, H.headcount_ent_day(v.policy, daily), AS_OF)
 
 
@@ -245,9 +246,11 @@ def _money(v):
     return prem.join(paid, "ent_name", "left")
 
 
-def _alerts(v):
+def _alerts(v, shared=False):
     chan = CH.channel_map(v.channel)
     ents = _ents(v)
+    if shared:  # five warnings read the same headcounts
+        ents = session.materialise(ents, "alert-input")
     ch = AL.changes(ents, chan)
     return {
         "surge": AL.surge(ch, AS_OF, MIN_CHANGE),
@@ -261,5 +264,5 @@ def _alerts(v):
 for _k, _sql in _S.items():
     query(f"alerts_{_k}", f"WITH {AIN} {_sql}")(lambda v, k=_k: _alerts(v)[k])
 query("alerts_all", f"WITH {AIN} " + " UNION ALL ".join(f"SELECT * FROM ({s})" for s in _S.values()))(
-    lambda v: AL.all_alerts(*_alerts(v).values())
+    lambda v: AL.all_alerts(*_alerts(v, shared=True).values())
 )

@@ -25,9 +25,9 @@ def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
     due = S.payable()
     final = F.col("final_payment")
     risk, report, paper = S.slash_day("risk_date"), S.slash_day("report_date"), S.slash_day("paper_finish_date")
-    delay = F.when(
-        (F.length("report_date") > 3) & (F.length("risk_date") > 3), F.greatest(S.abs_days(report, risk), F.lit(1))
-    )
+    # greatest skips NULL, so unreadable dates are ruled out first
+    readable = (F.length("report_date") > 3) & (F.length("risk_date") > 3) & report.isNotNull() & risk.isNotNull()
+    delay = F.when(readable, F.greatest(S.abs_days(report, risk), F.lit(1)))
     ageing = F.when(S.not_blank("paper_finish_date") & (F.length("risk_date") > 3), S.abs_days(paper, risk))
     settle_txt = F.col("finish_days")
     settle = F.when(

@@ -228,7 +228,7 @@ def potential_headcount(policy, insured, sum_level) -> DataFrame:
     n = per_policy.join(_valid(policy), "policy_id").groupBy("ent_id").agg(F.sum("n").alias("n"))
     size = sum_level.where(S.not_blank("ent_id") & (F.length("ent_scale") < 10)).select(
         "ent_id", F.col("ent_scale").try_cast("int").alias("ent_scale")
-    )
+    ).where(F.col("ent_scale").isNotNull())
     return (
         size.join(n, "ent_id")
         .groupBy("ent_id")

@@ -218,7 +218,7 @@ SELECT level, class, cause, count(*) AS n, max(time) AS latest FROM ({LOG}) WHER
 )
 query("block_text_records", """
 SELECT doc_id, i - 1 AS block, list_extract(parts, i) AS record FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
-  FROM (SELECT doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: trim(x) <> '') AS parts FROM documents))""")(
+  FROM (SELECT doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: regexp_matches(x, '\\S')) AS parts FROM documents))""")(
     lambda v: files.blocks(v.documents.select("doc_id", "text"), "text", ["doc_id"])
 )
 query("text_cross_expand", "SELECT s_suppkey, s_name, unnest(['a', 'b', 'c']) AS plan FROM supplier")(

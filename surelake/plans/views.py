@@ -42,26 +42,29 @@ SELECT o_orderkey AS policy_id, concat('POL', cast(o_orderkey AS string)) AS pol
        cast(10 * (1 + o_orderkey % 5) AS string) AS sku_coverage,
        concat('K', substr(o_orderpriority, 1, 1), o_orderstatus) AS sku_code
 FROM orders JOIN customer ON o_custkey = c_custkey""",
-    "insured": f"""
+    "person": f"""
+SELECT p_partkey, p_name, p_type, {_CARD.format(p='p_partkey')} AS card,
+       DATE '1960-01-01' + cast((p_partkey * 37) % 14600 AS int) AS birthday
+FROM part""",
+    "insured": """
 SELECT l_orderkey AS policy_id,
        concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string),
               '-', cast(l_suppkey AS string)) AS insured_id,
-       p_name AS insured_name, {CARD_L} AS insured_cert_no,
+       p_name AS insured_name, card AS insured_cert_no,
        concat('138', lpad(cast(l_partkey + CASE WHEN l_quantity > 49 AND l_discount > 0.09 THEN 1 ELSE 0 END AS string),
               8, '0')) AS insured_mobile,
        p_type AS insured_work_type, CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END AS insure_policy_status,
        concat('Company ', cast(l_suppkey AS string)) AS insured_company_name,
-       CASE WHEN l_linenumber = 7 AND l_quantity > 40 THEN {CARD_L} ELSE '' END AS child_cert_no
-FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "insured_term": f"""
+       CASE WHEN l_linenumber = 7 AND l_quantity > 40 THEN card ELSE '' END AS child_cert_no
+FROM lineitem JOIN person ON l_partkey = p_partkey""",
+    "insured_term": """
 SELECT l_orderkey AS policy_id,
        concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string),
               '-', cast(l_suppkey AS string)) AS insured_id,
-       {CARD_L} AS insured_cert_no,
-       DATE '1960-01-01' + cast((l_partkey * 37) % 14600 AS int) AS insured_birthday,
+       card AS insured_cert_no, birthday AS insured_birthday,
        cast(o_orderdate AS date) + l_linenumber AS insured_start_date,
        cast(o_orderdate AS date) + l_linenumber + cast(l_quantity AS int) AS insured_end_date
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN person ON l_partkey = p_partkey""",
     "work_level": """
 SELECT * FROM (VALUES ('ECONOMY', 1), ('SMALL', 2), ('MEDIUM', 3), ('STANDARD', 4), ('LARGE', 5)) AS t(work_type, ai_level)""",
     "product": """
@@ -79,7 +82,7 @@ SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-'
        CASE WHEN l_discount >= 0.09 THEN '是' ELSE '否' END AS overtime,
        CASE WHEN l_discount <= 0.01 THEN '是' ELSE '否' END AS if_resubmit_paper,
        concat(cast(year(l_shipdate) AS string), '/', cast(month(l_shipdate) AS string), '/', cast(day(l_shipdate) AS string)) AS risk_date,
-       CASE WHEN l_discount = 0.1 THEN '未报案' ELSE concat(
+       CASE WHEN l_discount = 0.1 THEN '2000/13/40' WHEN l_discount = 0.06 THEN '未报案' ELSE concat(
             cast(year(cast(l_shipdate AS date) + cast(l_quantity AS int) % 20) AS string), '/',
             cast(month(cast(l_shipdate AS date) + cast(l_quantity AS int) % 20) AS string), '/',
             cast(day(cast(l_shipdate AS date) + cast(l_quantity AS int) % 20) AS string)) END AS report_date,
@@ -247,9 +250,11 @@ FROM policy JOIN customer ON holder_company = c_name""",
     "place_names": """
 SELECT cast(n_nationkey AS string) AS code, CASE n_nationkey WHEN 3 THEN '北京市' ELSE n_name END AS short_name FROM nation""",
     "people_sources": """
-SELECT insured_cert_no AS cert, insured_mobile AS mobile, cast(insured_start AS string) AS create_time, cast(insured_end AS string) AS end_time,
-       '官网' AS product_code, '产品官网' AS customer_name, insured_work_type AS identity, insured_name
-FROM (SELECT i.*, t.insured_start_date AS insured_start, t.insured_end_date AS insured_end FROM insured i JOIN insured_term t USING (insured_id)) a
+SELECT card AS cert, concat('138', lpad(cast(l_partkey AS string), 8, '0')) AS mobile,
+       cast(cast(o_orderdate AS date) + l_linenumber AS string) AS create_time,
+       cast(cast(o_orderdate AS date) + l_linenumber + cast(l_quantity AS int) AS string) AS end_time,
+       '官网' AS product_code, '产品官网' AS customer_name, p_type AS identity, p_name AS insured_name
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN person ON l_partkey = p_partkey
 UNION ALL
 SELECT insured_cert_no, '', replace(substr(cast(start_date AS string), 1, 19), 'T', ' '), replace(substr(cast(end_date AS string), 1, 19), 'T', ' '),
        'ofo', 'rides', '', insured_name FROM rides""",

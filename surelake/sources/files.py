@@ -25,7 +25,7 @@ def text_lines(spark: SparkSession, glob: str) -> DataFrame:
 
 def blocks(df: DataFrame, column: str, keys: list[str], separator: str = "\\n\\n") -> DataFrame:
     """Records of a text split on a separator, blank ones dropped, numbered from 0."""
-    parts = F.filter(F.split(F.col(column), separator), lambda x: F.trim(x) != "")
+    parts = F.filter(F.split(F.col(column), separator), lambda x: x.rlike("\\S"))
     return df.select(*keys, F.posexplode(parts).alias("block", "record"))
 
 

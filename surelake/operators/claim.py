@@ -2,7 +2,7 @@
 
 One grouped pass over the claim table yields the additive facts of every label
 per policy; the owning enterprise is joined afterwards and the facts are summed.
-A label that only some enterprises have (the reference drops empty groups) is
+A label that only some enterprises have (empty groups have none) is
 NULL for the others, and ``label`` drops those rows.
 """
 

@@ -14,7 +14,7 @@ def _spans(insured: DataFrame) -> DataFrame:
     ).where(F.col("first") <= F.col("last"))
 
 
-def disjoint_spans(insured: DataFrame, since=None, until=None) -> DataFrame:
+def disjoint_spans(insured: DataFrame, since=None, until=None, policies: DataFrame | None = None) -> DataFrame:
     """Spans of a person under a policy, cut so that no day is covered twice.
 
     Each span keeps the days after everything that started before it. Equal
@@ -27,7 +27,11 @@ def disjoint_spans(insured: DataFrame, since=None, until=None) -> DataFrame:
         spans = spans.select(
             "policy_id", "insured_cert_no", F.greatest(F.col("first"), since).alias("first"), F.least(F.col("last"), until).alias("last")
         ).where(F.col("first") <= F.col("last"))
-    cut = spans.distinct().withColumn("covered", F.max("last").over(w))
+    spans = spans.distinct()
+    if policies is not None:
+        # the explicit repartition keeps the persons of a large policy apart after a join on the policy
+        spans = spans.join(policies, "policy_id", "left_semi").repartition("policy_id", "insured_cert_no")
+    cut = spans.withColumn("covered", F.max("last").over(w))
     return cut.select(
         "policy_id", "insured_cert_no", F.greatest(F.col("first"), F.date_add("covered", 1)).alias("first"), "last"
     ).where(F.col("first") <= F.col("last"))
@@ -54,7 +58,7 @@ def daily_headcount(
         F.greatest(S.day("start_date"), lo).alias("start"),  # greatest and least skip a missing bound
         F.least(S.day("end_date"), hi).alias("end"),
     ).where(F.col("start") <= F.col("end"))
-    spans = disjoint_spans(insured.join(pol.select("policy_id"), "policy_id", "left_semi"), lo, hi)
+    spans = disjoint_spans(insured, lo, hi, pol.select("policy_id"))
 
     def point(day, n, inside, p):
         return F.struct(day.alias("day"), F.lit(n).alias("n"), F.lit(inside).alias("inside"), p.alias("p"))

@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 
-# Test account, void remark and the product whose policies come in by code prefix.
-TEST_USER = "10100080492"
 VOID_REMARK = "obsolete"
-PREFIX_PRODUCT, CODE_PREFIX = "15000001", "BZN"
+
+
+@dataclass(frozen=True)
+class SourceRules:
+    """Rows of the first system that are left out or let in by exception.
+
+    ``test_users``: accounts whose policies are not real. ``prefix_product`` and
+    ``code_prefix``: policies of this product whose code has this prefix come in
+    whatever their user or remark.
+    """
+
+    test_users: tuple[str, ...] = ()
+    prefix_product: str | None = None
+    code_prefix: str | None = None
+
+    def real_user(self, user: str = "user_id") -> Column:
+        return S.excluded_or_null(user, *self.test_users) if self.test_users else F.lit(True)
+
+    def by_prefix(self) -> Column:
+        if self.prefix_product is None or self.code_prefix is None:
+            return F.lit(False)
+        return (F.col("insure_code") == self.prefix_product) & F.col("policy_code").startswith(self.code_prefix)
 
 # Columns of the merged person table.
 INSURED_COLUMNS = (
@@ -40,8 +61,8 @@ _PERSON = {f"insured_{c}": c for c in "profession mobile industry nation company
 _CHILD = {f"child_{c}": c for c in "start_date end_date create_time".split()}
 
 
-def insured_v1(person, child, policy) -> DataFrame:
-    """First system: persons, children and policies, without void rows and the test account,
+def insured_v1(person, child, policy, rules: SourceRules = SourceRules()) -> DataFrame:
+    """First system: persons, children and policies, without void rows and test accounts,
     plus the prefix policies of the exception product (rows in both branches appear twice)."""
     p = renamed(
         person,
@@ -60,8 +81,8 @@ def insured_v1(person, child, policy) -> DataFrame:
     )
     pol = renamed(policy, {"pol_id": "id", "user_id": "user_id", "insure_code": "insure_code", "policy_code": "policy_code"})
     rows = p.join(c, p.insured_id == c.for_insured, "left").join(pol, p.policy_id == pol.pol_id, "left")
-    regular = S.excluded_or_null("user_id", TEST_USER) & S.excluded_or_null("remark", VOID_REMARK)
-    by_prefix = (F.col("insure_code") == PREFIX_PRODUCT) & F.col("policy_code").startswith(CODE_PREFIX)
+    regular = rules.real_user() & S.excluded_or_null("remark", VOID_REMARK)
+    by_prefix = rules.by_prefix()
     # one pass instead of a union of two filtered copies: a row is repeated for every branch it belongs to
     copies = F.coalesce(regular, F.lit(False)).cast("int") + F.coalesce(by_prefix, F.lit(False)).cast("int")
     rows = rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies)))
@@ -192,7 +213,7 @@ POLICY_COLUMNS = (
 ).split()
 
 
-def policy_v1(orders, policy, first_premium, product, sku, holder, enterprise_map, enterprise) -> DataFrame:
+def policy_v1(orders, policy, first_premium, product, sku, holder, enterprise_map, enterprise, rules: SourceRules = SourceRules()) -> DataFrame:
     """First system: orders lead, the rest hangs on by left joins.
 
     Pay amount prefers the recorded first premium, the order date falls back to
@@ -225,7 +246,7 @@ def policy_v1(orders, policy, first_premium, product, sku, holder, enterprise_ma
         }
     )
     known_product = F.col("insure_code").isNotNull()
-    return _conform(rows.where(S.excluded_or_null("user_id", TEST_USER) & known_product), POLICY_COLUMNS)
+    return _conform(rows.where(rules.real_user() & known_product), POLICY_COLUMNS)
 
 
 def policy_v2(policy, plan, product, holder, enterprise_map, enterprise, as_of: str) -> DataFrame:

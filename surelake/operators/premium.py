@@ -9,7 +9,7 @@ Day prices are exact decimals, which keeps running sums exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -17,11 +17,16 @@ from ..functions import scalars as S
 PRICE = "decimal(18,4)"
 
 
-def accrual_spans(policy, insured, product_codes=None) -> DataFrame:
-    """One row per in-force person span with its day price.
+PERSON = ("insured_id", "insured_cert_no")
+
+
+def accrual_spans(policy, insured, product_codes=None, by_person: bool = False) -> DataFrame:
+    """In-force person spans with their day price and the number of persons sharing them.
 
     Monthly plans ('1') spread the price over the person's days, yearly plans
-    ('2') over the policy's days.
+    ('2') over the policy's days, so all equal spans of a policy have the same
+    price. They are counted before the policy join, which bounds a policy by its
+    days; ``by_person`` keeps one row per person instead.
     """
     pol = policy.where(S.in_force() & F.col("sku_price").isNotNull() & F.col("sku_charge_type").isin("1", "2"))
     if product_codes is not None:
@@ -33,26 +38,35 @@ def accrual_spans(policy, insured, product_codes=None) -> DataFrame:
         F.col("sku_price").cast("double").alias("price"),
         S.day_count(S.day("start_date"), S.day("end_date")).alias("policy_days"),
     )
-    spans = insured.select(
-        "policy_id", "insured_id", "insured_cert_no", S.day("insured_start_date").alias("first"), S.day("insured_end_date").alias("last")
-    ).where(F.col("first") <= F.col("last"))
+    keys = ("policy_id", *(PERSON if by_person else ()))
+    spans = insured.select(*keys, S.day("insured_start_date").alias("first"), S.day("insured_end_date").alias("last")).where(
+        F.col("first") <= F.col("last")
+    )
+    spans = spans.withColumn("persons", F.lit(1)) if by_person else spans.groupBy(*spans.columns).agg(F.count("*").alias("persons"))
     n = F.when(F.col("sku_charge_type") == "1", S.day_count("first", "last")).otherwise(F.col("policy_days"))
     return spans.join(pol, "policy_id").select(
-        "policy_id",
+        *keys,
         "ent_id",
-        "insured_id",
-        "insured_cert_no",
         "sku_charge_type",
         "first",
         "last",
+        "persons",
         F.bround(F.col("price") / F.nullif(n, F.lit(0)), 4).cast(PRICE).alias("sku_day_price"),
     )
 
 
+def _amount(*factors) -> Column:
+    """Day price times whole numbers, exact."""
+    x = F.col("sku_day_price")
+    for f in factors:
+        x = (x * f).cast("decimal(24,4)")
+    return x
+
+
 def premium_daily(policy, insured, product_codes=None) -> DataFrame:
     """One row per covered person-day."""
     keep = ("policy_id", "ent_id", "insured_id", "insured_cert_no", "sku_charge_type", "sku_day_price")
-    days = accrual_spans(policy, insured, product_codes).select(*keep, F.explode(S.days("first", "last")).alias("day"))
+    days = accrual_spans(policy, insured, product_codes, by_person=True).select(*keep, F.explode(S.days("first", "last")).alias("day"))
     return days.select(*keep, S.day_id("day").alias("day_id"))
 
 
@@ -83,8 +97,8 @@ def step_days(spans: DataFrame, key: str, amounts: dict[str, str]) -> DataFrame:
 
 def premium_policy_day(policy, insured, product_codes=None) -> DataFrame:
     """Premium per policy and day."""
-    spans = accrual_spans(policy, insured, product_codes)
-    return step_days(spans, "policy_id", {"charged_premium": "sku_day_price"}).select(
+    spans = accrual_spans(policy, insured, product_codes).withColumn("amount", _amount(F.col("persons")))
+    return step_days(spans, "policy_id", {"charged_premium": "amount"}).select(
         "policy_id", S.day_id("day").alias("day_id"), F.col("charged_premium").cast("decimal(20,4)").alias("charged_premium")
     )
 
@@ -96,18 +110,18 @@ def premium_to_date(policy, insured, as_of: str, product_codes=None) -> DataFram
     return (
         spans.where(F.col("first") <= F.lit(as_of).cast("date"))
         .groupBy("policy_id", "ent_id")
-        .agg(F.sum((F.col("sku_day_price") * S.day_count("first", until)).cast("decimal(24,4)")).cast("decimal(24,4)").alias("charged_premium"))
+        .agg(F.sum(_amount(F.col("persons"), S.day_count("first", until))).cast("decimal(24,4)").alias("charged_premium"))
     )
 
 
 def premium_ent_month(policy, insured, product_codes=None) -> DataFrame:
     """Premium per enterprise and calendar month; a span adds one row per month it touches."""
     spans = accrual_spans(policy, insured, product_codes).where(S.not_blank("ent_id"))
-    parts = spans.select("ent_id", "first", "last", "sku_day_price", F.explode(S.months("first", "last")).alias("m"))
+    parts = spans.select("ent_id", "first", "last", "persons", "sku_day_price", F.explode(S.months("first", "last")).alias("m"))
     n = S.day_count(F.greatest("first", "m"), F.least(F.col("last"), F.last_day("m")))
     return (
         parts.groupBy("ent_id", S.month_id("m").alias("month_id"))
-        .agg(F.sum((F.col("sku_day_price") * n).cast("decimal(24,4)")).cast("decimal(24,4)").alias("premium"))
+        .agg(F.sum(_amount(F.col("persons"), n)).cast("decimal(24,4)").alias("premium"))
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import session
 from .views import Inputs, with_views
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {}
@@ -26,7 +27,11 @@ def query(name: str, sql: str | None = None):
 
 
 def _bind(fn) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session.tune(spark)
+        return fn(Inputs(spark, sf_dir))
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

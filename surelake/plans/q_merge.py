@@ -15,6 +15,7 @@ from .catalog import query
 from .q_premium import PDAY, SCOPE, TODAY, scope
 from .views import AS_OF, EVENT_AS_OF
 
+RULES = MG.SourceRules(test_users=("9999",), prefix_product="15000001", code_prefix="PRE")
 _CH = "regexp_replace({}, '[^一-龥]', '', 'g')"
 _AGE = """CASE WHEN length({c}) = 18 AND {d} IS NOT NULL THEN greatest(year(cast({d} AS date)) - cast(substr({c}, 7, 4) AS int)
   + CASE WHEN month(cast({d} AS date)) * 100 + day(cast({d} AS date)) >= cast(substr({c}, 11, 4) AS int) THEN 1 ELSE 0 END, 0) ELSE 0 END"""
@@ -27,8 +28,8 @@ SELECT p.id AS insured_id, p.policy_id, NULL AS insured_type, {_CH.format('p.nam
   {_AGE.format(c="replace(p.cert_no, chr(10), '')", d="p.start_date")} AS age
 FROM v1_person p LEFT JOIN v1_child c ON p.id = c.insured_id LEFT JOIN v1_policy o ON p.policy_id = o.id"""
 query("merge_insured", f"""
-{_V1} WHERE (user_id NOT IN ('10100080492') OR user_id IS NULL) AND (remark NOT IN ('obsolete') OR remark IS NULL)
-UNION ALL {_V1} WHERE insure_code IN ('15000001') AND policy_code LIKE 'BZN%'
+{_V1} WHERE (user_id NOT IN ('9999') OR user_id IS NULL) AND (remark NOT IN ('obsolete') OR remark IS NULL)
+UNION ALL {_V1} WHERE insure_code IN ('15000001') AND policy_code LIKE 'PRE%'
 UNION ALL
 SELECT p.id, o.id, '', {_CH.format('p.name')}, {_CH.format('p.work_type')}, p.cert_no, CASE p.status WHEN '1' THEN '0' ELSE '1' END,
   CASE WHEN p.status = '1' AND cast(end_date AS date) > DATE '{AS_OF}' AND cast(start_date AS date) < DATE '{AS_OF}' THEN '1' ELSE '2' END,
@@ -36,7 +37,7 @@ SELECT p.id, o.id, '', {_CH.format('p.name')}, {_CH.format('p.work_type')}, p.ce
   CASE WHEN cert_type = '1' AND start_date IS NOT NULL THEN {_AGE.format(c="p.cert_no", d="start_date")} END
 FROM (SELECT id, policy_no, name, work_type, cert_no, cert_type, status, start_date, end_date FROM v2_person) p
 LEFT JOIN v2_child c ON p.policy_no = c.policy_no LEFT JOIN (SELECT id, policy_no FROM v2_policy) o ON p.policy_no = o.policy_no""")(
-    lambda v: MG.merge_insured(MG.insured_v1(v.v1_person, v.v1_child, v.v1_policy), MG.insured_v2(v.v2_person, v.v2_child, v.v2_policy, AS_OF)).select(*_KEEP)
+    lambda v: MG.merge_insured(MG.insured_v1(v.v1_person, v.v1_child, v.v1_policy, RULES), MG.insured_v2(v.v2_person, v.v2_child, v.v2_policy, AS_OF)).select(*_KEEP)
 )
 _EDATES = """
 SELECT preserve_id, CASE WHEN add_person_count = 0 AND del_person_count > 0 THEN NULL ELSE s END AS s,
@@ -77,7 +78,7 @@ SELECT p.policy_id, o.order_id, o.user_id, p.policy_code, insure_code, cast(CASE
 FROM v1_order o LEFT JOIN (SELECT * EXCLUDE (user_id) FROM v1_policy) p USING (order_id) LEFT JOIN v1_first_premium f ON f.policy_id = p.policy_id
 LEFT JOIN product ON product_code = insure_code LEFT JOIN sku_term k ON k.sku_code = p.sku_id LEFT JOIN v1_holder h ON h.policy_id = p.policy_id
 LEFT JOIN ent_map m ON m.policy_code = p.policy_code LEFT JOIN ent_info USING (ent_id)
-WHERE (user_id NOT IN ('10100080492') OR user_id IS NULL) AND insure_code IS NOT NULL
+WHERE (user_id NOT IN ('9999') OR user_id IS NULL) AND insure_code IS NOT NULL
 UNION ALL
 SELECT p.policy_id, NULL, NULL, p.policy_code, insure_code, NULL, CASE WHEN status = '1' AND cast(end_date AS date) >= DATE '{AS_OF}' THEN '1' ELSE '0' END, NULL,
   holder_name, office_province, product_name, cast(pl.a AS varchar), pl.t, CASE pl.i WHEN 0.05 THEN '1' WHEN 0.1 THEN '2' END, cast(pl.y AS varchar), ent_id, ent_name, NULL, '2.0'
@@ -86,7 +87,7 @@ FROM v2_policy p LEFT JOIN (SELECT policy_no, r.a AS a, r.t AS t, r.i AS i, r.y
 LEFT JOIN product ON product_code = insure_code LEFT JOIN v2_holder USING (policy_no) LEFT JOIN ent_map m ON m.policy_code = p.policy_code LEFT JOIN ent_info USING (ent_id)""")(
     lambda v: MG.merge_policy(
         MG.policy_v1(v.v1_order, v.v1_policy.drop("user_id"), v.v1_first_premium, v.product,
-                     v.sku_term.withColumnRenamed("sku_code", "sku_id").withColumn("sku_code", F.col("sku_id")), v.v1_holder, v.ent_map, v.ent_info),
+                     v.sku_term.withColumnRenamed("sku_code", "sku_id").withColumn("sku_code", F.col("sku_id")), v.v1_holder, v.ent_map, v.ent_info, RULES),
         MG.policy_v2(v.v2_policy, v.v2_plan, v.product, v.v2_holder, v.ent_map, v.ent_info, AS_OF),
     ).select(*_PK)
 )
@@ -303,6 +304,6 @@ LEFT JOIN nation g ON concat(cast(10 + g.n_nationkey AS varchar), '0100') = conc
         v.sql("""SELECT concat(cast(10 + n_nationkey AS string), '0000') AS code, n_name AS name FROM nation WHERE n_regionkey <> 2
 UNION ALL SELECT concat(cast(10 + n_nationkey AS string), '0100'), n_name FROM nation WHERE n_regionkey <> 2"""),
         v.sql("SELECT concat(cast(10 + n_nationkey AS string), '0100') AS code, r_name AS grade FROM nation JOIN region ON n_regionkey = r_regionkey"),
-        v.sql("SELECT '0101' AS key, 'goat' AS name"),
+        v.sql("SELECT * FROM (VALUES ('0101', 'goat'), ('0201', 'waterman')) AS t(key, name)"),
     ).select("insured_cert_no", "province", "city", "grade")
 )

@@ -238,7 +238,7 @@ SELECT p_name AS asked, CASE WHEN p_size > 40 THEN 'null' ELSE replace(p_name, '
 _EDGES = """
 SELECT DISTINCT concat('part ', cast(l_partkey AS string)) AS src, 'supplied by' AS type, concat('supplier ', cast(l_suppkey AS string)) AS dst FROM lineitem
 UNION SELECT concat('supplier ', cast(s_suppkey AS string)), 'located in', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
-_SEEDS = "SELECT concat('part ', cast(p_partkey AS string)) AS id FROM part WHERE p_type = 'PROMO' AND p_brand = 'Brand#7' AND p_size < 10"
+_SEEDS = "SELECT concat('part ', cast(p_partkey AS string)) AS id FROM part WHERE p_type = 'PROMO' AND p_size < 10"
 query("graph_k_hop", f"""
 WITH e AS ({_EDGES}), s AS ({_SEEDS}), h AS (SELECT e.* FROM e JOIN s ON src = id),
 x AS (SELECT dst FROM h GROUP BY 1 HAVING count(*) > 1) SELECT src, type, dst FROM h WHERE dst IN (SELECT dst FROM x)""")(

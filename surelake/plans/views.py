@@ -161,17 +161,17 @@ SELECT concat('c', cast(l_orderkey AS string), '-', cast(l_linenumber AS string)
 FROM lineitem WHERE l_linestatus = 'O' AND l_linenumber = 7""",
     "v1_policy": """
 SELECT cast(o_orderkey AS string) AS id, cast(o_orderkey AS string) AS policy_id, cast(o_orderkey AS string) AS order_id,
-       CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '10100080492' WHEN o_orderstatus = 'P' THEN NULL
+       CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '9999' WHEN o_orderstatus = 'P' THEN NULL
             ELSE cast(o_custkey AS string) END AS user_id,
        CASE o_orderpriority WHEN '5-LOW' THEN '15000001' ELSE substr(o_orderpriority, 1, 1) END AS insure_code,
-       concat(CASE WHEN o_orderstatus = 'F' THEN 'BZN' ELSE 'POL' END, cast(o_orderkey AS string)) AS policy_code,
+       concat(CASE WHEN o_orderstatus = 'F' THEN 'PRE' ELSE 'POL' END, cast(o_orderkey AS string)) AS policy_code,
        cast(o_totalprice AS decimal(15,2)) AS premium, CASE o_orderstatus WHEN 'O' THEN '1' ELSE '0' END AS status,
        cast(cast(o_orderdate AS date) AS string) AS start_date, cast(cast(o_orderdate AS date) + 89 AS string) AS end_date,
        CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE cast(cast(o_orderdate AS date) AS string) END AS order_date,
        concat('K', substr(o_orderpriority, 1, 1), o_orderstatus) AS sku_id
 FROM orders""",
     "v1_order": """
-SELECT cast(o_orderkey AS string) AS order_id, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '10100080492'
+SELECT cast(o_orderkey AS string) AS order_id, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN '9999'
             WHEN o_orderstatus = 'P' THEN NULL ELSE cast(o_custkey AS string) END AS user_id,
        cast(o_totalprice AS decimal(15,2)) AS pay_amount, cast(cast(o_orderdate AS date) - 1 AS string) AS order_create_time, '10' AS quantity
 FROM orders""",

@@ -29,6 +29,12 @@ def build(master: str | None = None, app: str = "surelake", **extra: str) -> Spa
     return b.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Let adaptive execution split skewed joins in a session built elsewhere."""
+    for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(k, "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named by ``spark.checkpoint.dir``.
 

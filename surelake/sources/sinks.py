@@ -8,18 +8,15 @@ from pyspark.sql import functions as F
 LABEL_COLUMNS = ("entity_id", "family", "label", "value", "num")
 
 
-def write_labels(labels: DataFrame, path: str, files_per_label: int = 8) -> None:
+def write_labels(labels: DataFrame, path: str) -> None:
     """Replace the given labels in the store and leave all others as they are.
 
-    One folder per (family, label); rows are spread over a few files per label by
-    entity and sorted inside each, so one large label is never a single task.
+    One folder per (family, label). The rebalance lets adaptive execution split a
+    large label over tasks and files and pack small ones together.
     """
-    bucket = F.pmod(F.xxhash64("entity_id"), F.lit(files_per_label))
     (
         labels.select(*LABEL_COLUMNS)
-        .withColumn("_b", bucket)
-        .repartition("family", "label", "_b")
-        .drop("_b")
+        .hint("rebalance", F.col("family"), F.col("label"))
         .sortWithinPartitions("family", "label", "entity_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -219,8 +219,8 @@ def test_rows_in_both_branches_appear_twice(spark):
                     ("1", "p", "张\n三x", "工", "1101011990051012\n34", None, "2020-05-10"), ("2", "p", "a", None, "1", "obsolete", None), ("3", "q", "a", None, "1", None, None))
     child = frame(spark, "id string, insured_id string", ("c1", "1"), ("c2", "1"))
     policy = frame(spark, "id string, user_id string, insure_code string, policy_code string",
-                   ("p", "7", "15000001", "BZN1"), ("q", "10100080492", "1", "BZN2"))
-    out = merge.insured_v1(person_, child, policy)
+                   ("p", "7", "15000001", "PRE1"), ("q", "9999", "1", "PRE2"))
+    out = merge.insured_v1(person_, child, policy, merge.SourceRules(("9999",), "15000001", "PRE"))
     assert Counter(r.insured_id for r in out.collect()) == {"1": 4, "2": 1}
     first = out.where("insured_id = '1'").first()
     assert (first.insured_name, first.insured_cert_no, first.age) == ("张三", "110101199005101234", 31)
@@ -414,3 +414,35 @@ def test_policy_owner_and_terms(spark):
     assert rows(base.latest_owner(pol, ent)) == [("P", "b")]
     t = frame(spark, "sku_code string, term_three string, term_one string", ("k", "50123", "1"), ("l", "501", "30"))
     assert rows(base.plan_decode(t)) == [("k", "50", "1", "2", "3"), ("l", "30", None, None, None)]
+
+
+def test_plan_matrix_multiplicities(spark):
+    from surelake.operators import mart
+
+    args = dict(
+        snapshot=frame(spark, "policy_id int, day_id string, curr_insured bigint", (1, "20200101", 5)),
+        policy=frame(spark, "policy_id int, policy_code string, insure_code string, policy_status string, holder_company string", (1, "P", "1", "1", " A ")),
+        insured=frame(spark, "policy_id int, insured_cert_no string", (1, "x"), (1, "x "), (1, "y")),
+        plan=frame(spark, "policy_code string, sku_coverage string, sku_price double, sku_charge_type string", ("P", "50", 24.0, "2")),
+        product=frame(spark, "product_code string, dim_1 string", ("1", "骑士保")),
+        salesman=frame(spark, "ent_id string, ent_name string, channel_name string, salesman string, biz_operator string", ("e", "A", "直客", "s", "o")),
+        team=frame(spark, "sale_name string, team_name string", ("s", None)),
+        place=frame(spark, "policy_code string, office_province string, office_city string", ("P", "1", "2")),
+        place_names=frame(spark, "code string, short_name string", ("1", "北京市"), ("2", "朝阳")),
+        claims=frame(spark, "policy_no string, pre_com string, final_payment string", ("P", "10", None), ("P", "20", "5")),
+        charged=frame(spark, "policy_id int, day_id string, charged_premium double", (1, "20191230", 1.0), (1, "20191231", 2.0), (1, "20200102", 9.0)),
+        work_grade=frame(spark, "policy_code string, profession_type string", ("P", "c")),
+        as_of="2020-01-01",
+    )
+    r = mart.plan_matrix(**args).first()
+    assert (r.channel, r.city, r.team_name, r.curr_insured, r.pre_com, r.charged_premium, r.insured_count, r.avg_premium) == ("A", "北京市", "公司", 5, 15.0, 3.0, 2, 2.0)
+    r = mart.plan_matrix(**args, repeat_per_join_row=True).first()
+    assert (r.curr_insured, r.pre_com, r.charged_premium) == (20, 30.0, 6.0)
+
+
+def test_all_coverage_labels_in_one_table(inputs):
+    v = inputs
+    wide = enterprise.insure_labels(v.policy, v.insured, v.endorse, v.summary_month, v.sum_level, v.work_level, v.claims, "2001-08-01")
+    single = {r.ent_id: r.total_insured_persons for r in enterprise.insured_persons(v.policy, v.insured).collect()}
+    assert {r.ent_id: r.total_insured_persons for r in wide.collect() if r.total_insured_persons is not None} == single
+    assert {"month_number", "insured_rate", "ent_first_craft", "ent_potential_scale"} <= set(wide.columns)

@@ -31,8 +31,8 @@ def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
     ageing = F.when(S.not_blank("paper_finish_date") & (F.length("risk_date") > 3), S.abs_days(paper, risk))
     settle_txt = F.col("finish_days")
     settle = F.when(
-        (F.length(settle_txt) > 0) & (F.length(settle_txt) < 10) & ~settle_txt.contains("="),
-        F.when(S.has_chinese(settle_txt), F.lit(0)).otherwise(settle_txt.try_cast("decimal(12,2)")),
+        (F.length(settle_txt) > 0) & (F.length(settle_txt) < 10),
+        F.when(S.has_chinese(settle_txt), F.lit(0)).when(~settle_txt.contains("="), settle_txt.try_cast("decimal(12,2)")),
     )
     disabled = ~F.col("disable_level").isin(codes.NO_DISABILITY, codes.DEATH)
     return claims.groupBy(*keys).agg(
@@ -43,7 +43,8 @@ def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
         _n(scene == codes.AT_WORK).alias("at_work"),
         _n(scene.isin(*codes.OFF_WORK)).alias("off_work"),
         _n(F.col("if_resubmit_paper") == codes.YES).alias("resubmitted"),
-        F.sum(due).alias("due"),
+        # the total leaves out rows whose expected amount is missing or #N/A, even with a final payment
+        F.sum(F.when(F.col("pre_com") != "#N/A", due)).alias("due"),
         F.sum(F.when(case == codes.DEATH, due)).alias("due_death"),
         F.sum(F.when(disabled, due)).alias("due_disability"),
         F.sum(F.when(scene == codes.AT_WORK, due)).alias("due_at_work"),

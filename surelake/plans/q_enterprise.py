@@ -143,6 +143,7 @@ SELECT policy_id, w AS mode_value FROM r WHERE k = 1""")(
 
 DUE = """CASE WHEN coalesce(regexp_matches(pre_com, '[一-龥]'), false) THEN NULL
   ELSE try_cast(coalesce(nullif(final_payment, ''), pre_com) AS decimal(20,4)) END"""
+DUE_ALL = f"CASE WHEN pre_com <> '#N/A' THEN {DUE} END"
 OWN = "FROM policy JOIN claims ON policy_code = policy_no WHERE length(ent_id) > 0"
 
 
@@ -183,7 +184,7 @@ _claim("large_case_rate", "largecase_rate",
 query("payout_expected", f"""
 WITH m AS (SELECT DISTINCT trim(ent_name) AS name, ent_id FROM channel),
 p AS (SELECT trim(holder_company) AS name, policy_code FROM policy WHERE {VALID}),
-d AS (SELECT policy_no, sum({DUE}) AS due FROM claims GROUP BY 1)
+d AS (SELECT policy_no, sum({DUE_ALL}) AS due FROM claims GROUP BY 1)
 SELECT m.ent_id, cast(sum(coalesce(due, 0)) AS double) AS pre_all_compensation
 FROM m JOIN p USING (name) LEFT JOIN d ON policy_code = policy_no GROUP BY 1""")(
     lambda v: C.payout_expected_of_members(v.claims, v.policy, v.channel)

@@ -58,14 +58,14 @@ def ent_features(v):
 
 
 def _wide_sql():
-    from .q_enterprise import DUE, OWN, VALID
+    from .q_enterprise import DUE_ALL, OWN, VALID
 
     return f"""
 g AS (SELECT ent_id, count(*) AS n, sum(cast(substr(insured_cert_no, 17, 1) AS int) % 2) AS m FROM policy JOIN insured USING (policy_id) GROUP BY 1),
 w AS (SELECT ent_id, ai_level, count(DISTINCT insured_cert_no) AS c FROM policy JOIN insured USING (policy_id) JOIN work_level ON insured_work_type = work_type
   WHERE insure_policy_status = '1' GROUP BY 1, 2),
 wt AS (SELECT ent_id, arg_min(ai_level, ai_level - c * 100) AS wl FROM w GROUP BY 1),
-cl AS (SELECT ent_id, count(*) AS rep, count(*) FILTER (case_type = '死亡') AS dea, count(*) FILTER (case_type = '残疾') AS dis, sum({DUE}) AS due,
+cl AS (SELECT ent_id, count(*) AS rep, count(*) FILTER (case_type = '死亡') AS dea, count(*) FILTER (case_type = '残疾') AS dis, sum({DUE_ALL}) AS due,
   sum(try_cast(nullif(final_payment, '') AS decimal(20,4))) AS paid {OWN} GROUP BY 1),
 rk AS (SELECT ent_id, round(avg(risk_period), 4) AS rp FROM policy JOIN risk_period ON policy_code = policy_no GROUP BY 1),
 cur AS (SELECT ent_id, count(DISTINCT insured_cert_no) AS n FROM policy JOIN insured USING (policy_id) WHERE policy_status = '1' AND insure_policy_status = '1' GROUP BY 1),

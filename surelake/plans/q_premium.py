@@ -12,7 +12,7 @@ from ..operators import members as M
 from ..operators import premium as PR
 from .catalog import query
 from .q_channel import _LIVE, _MAP
-from .q_enterprise import DUE, VALID
+from .q_enterprise import DUE_ALL, VALID
 from .views import AS_OF
 
 TODAY = AS_OF.replace("-", "")
@@ -160,7 +160,7 @@ query("member_tier", f"""
 WITH {PDAY}, {EARNED}, {NOW}, cm AS ({_MAP}),
 due AS (SELECT c.ent_id, sum(coalesce(d, 0)) AS due FROM (SELECT DISTINCT trim(ent_name) AS name, ent_id FROM channel) c
   JOIN policy p ON trim(holder_company) = name
-  LEFT JOIN (SELECT policy_no, sum({DUE}) AS d FROM claims GROUP BY 1) ON policy_no = policy_code WHERE {VALID.replace('ent_id', 'p.ent_id')} GROUP BY 1),
+  LEFT JOIN (SELECT policy_no, sum({DUE_ALL}) AS d FROM claims GROUP BY 1) ON policy_no = policy_code WHERE {VALID.replace('ent_id', 'p.ent_id')} GROUP BY 1),
 tot AS (SELECT ch, cast(sum(due) AS double) AS due, cast(sum(cast(charged_premium AS decimal(24,4))) AS double) AS earned, sum(cur_insured_persons) AS peak
   FROM cm JOIN now_people USING (ent_id) LEFT JOIN due USING (ent_id) LEFT JOIN earn USING (ent_id) GROUP BY 1),
 num AS (SELECT DISTINCT ch, cast(substr(month_id,1,4) AS int) * 12 + cast(substr(month_id,5,2) AS int) AS n FROM ({_LIVE}) JOIN cm USING (ent_id)),

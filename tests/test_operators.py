@@ -73,9 +73,16 @@ def test_delay_is_at_least_one_day_and_needs_strict_dates(spark):
     assert rows(claim.label(claims, policy, "ent_report_time")) == [("e", 2.0)]
 
 
+def test_total_payout_skips_rows_without_expected_amount(spark):
+    policy = frame(spark, "policy_code string, ent_id string", ("P", "e"))
+    claims = frame(spark, CLAIM, a_claim(final_payment="7"), a_claim(pre_com="#N/A", final_payment="5"), a_claim(pre_com=None, final_payment="3"))
+    assert rows(claim.label(claims, policy, "pre_all_compensation")) == [("e", 7.0)]
+    assert rows(claim.label(claims, policy, "pre_wt_compensation")) == [("e", 15.0)]
+
+
 def test_settle_days_text(spark):
     policy = frame(spark, "policy_code string, ent_id string", ("P", "e"))
-    claims = frame(spark, CLAIM, *[a_claim(id=str(i), finish_days=t) for i, t in enumerate(["6", "未结案", "=3", "", "1234567890"])])
+    claims = frame(spark, CLAIM, *[a_claim(id=str(i), finish_days=t) for i, t in enumerate(["6", "=未结", "=3", "", "1234567890"])])
     assert rows(claim.label(claims, policy, "avg_aging_cps")) == [("e", 3.0)]
 
 

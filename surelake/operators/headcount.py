@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .premium import step_days
 
 
 def _spans(insured: DataFrame) -> DataFrame:
@@ -37,15 +38,15 @@ def disjoint_spans(insured: DataFrame, since=None, until=None, policies: DataFra
     ).where(F.col("first") <= F.col("last"))
 
 
-def daily_headcount(
+def headcount_steps(
     policy: DataFrame, insured: DataFrame, product_codes: DataFrame | None = None, since: str | None = None, until: str | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Distinct persons covered on every day of every policy, 0 when there is none.
+    """Distinct persons covered per policy as steps: from ``first`` to ``last`` the headcount is ``n``.
 
-    The bounds of a policy and the bounds of its persons' spans are change points
-    of one running count; days are expanded from the steps after the last
-    shuffle. ``since`` and ``until`` cut policies and spans first, ``carry`` names
+    Steps fill the whole policy term, with 0 when nobody is covered. The bounds of
+    a policy and the bounds of its persons' spans are change points of one running
+    count. ``since`` and ``until`` cut policies and spans first, ``carry`` names
     policy columns to keep.
     """
     pol = policy.where(F.col("policy_code").isNotNull())
@@ -78,10 +79,21 @@ def daily_headcount(
         "policy_id", "day", F.sum("n").over(run).alias("n"), F.sum("inside").over(run).alias("inside"), F.max("p").over(run).alias("p"),
         F.date_sub(F.lead("day").over(w), 1).alias("last"),
     ).where(F.col("inside") > 0)
-    days = steps.select("policy_id", "p", "n", F.explode(S.days("day", "last")).alias("day"))
-    return days.select(
-        "policy_id", *[F.col(f"p.{c}").alias(c) for c in ("policy_code", *carry)], S.day_id("day").alias("day_id"), F.col("n").alias("curr_insured")
-    )
+    return steps.select("policy_id", *[F.col(f"p.{c}").alias(c) for c in ("policy_code", *carry)], F.col("day").alias("first"), "last", "n")
+
+
+def daily_headcount(policy: DataFrame, insured: DataFrame, product_codes: DataFrame | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Distinct persons covered on every day of every policy; days are expanded after the last shuffle."""
+    steps = headcount_steps(policy, insured, product_codes, since, until)
+    days = steps.select("policy_id", "policy_code", "n", F.explode(S.days("first", "last")).alias("day"))
+    return days.select("policy_id", "policy_code", S.day_id("day").alias("day_id"), F.col("n").alias("curr_insured"))
+
+
+def daily_headcount_by_ent(policy: DataFrame, insured: DataFrame, product_codes: DataFrame | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Headcount per enterprise and day, summed step by step: policy-days are never expanded."""
+    steps = headcount_steps(policy.where(S.not_blank("ent_id")), insured, product_codes, since, until, carry=("ent_id",))
+    sums = step_days(steps, "ent_id", {"curr_insured": "n"})
+    return sums.select("ent_id", S.day_id("day").alias("day_id"), "curr_insured")
 
 
 def headcount_on(policy: DataFrame, insured: DataFrame, as_of: str, product_codes: DataFrame | None = None) -> DataFrame:
@@ -124,9 +136,7 @@ def current_headcount(policy, channel, product, snapshot, as_of: str, statuses=N
 
 
 def headcount_ent_day(policy, daily) -> DataFrame:
-    """Headcount per enterprise and day; a daily table that carries ``ent_id`` needs no join."""
-    if "ent_id" in daily.columns:
-        return daily.where(S.not_blank("ent_id")).groupBy("ent_id", "day_id").agg(F.sum("curr_insured").alias("curr_insured"))
+    """Headcount per enterprise and day from a stored daily table."""
     own = policy.where(S.not_blank("ent_id")).select("policy_id", "ent_id")
     return daily.join(own, "policy_id").groupBy("ent_id", "day_id").agg(F.sum("curr_insured").alias("curr_insured"))
 

@@ -26,19 +26,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def _bind(fn) -> Callable[[SparkSession, str], DataFrame]:
+def _bind(fn, prepared: str | None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         session.tune(spark)
-        return fn(Inputs(spark, sf_dir))
+        return fn(Inputs(spark, sf_dir, prepared))
 
     return run
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries(prepared: str | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from . import load_all
 
     load_all()
-    return {k: _bind(v) for k, v in _QUERIES.items()}
+    return {k: _bind(v, prepared) for k, v in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -91,7 +91,7 @@ query("headcount_ent_day", f"""
 WITH {HEAD}, t AS (SELECT ent_id, day_id, sum(curr_insured) AS n FROM head GROUP BY 1, 2)
 SELECT ent_id, substr(day_id, 1, 6) AS month_id, cast(sum(n) AS bigint) AS person_days, cast(max(n) AS bigint) AS peak, count(*) AS days
 FROM t GROUP BY 1, 2""")(
-    lambda v: H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v), carry=("ent_id",))).groupBy(
+    lambda v: H.daily_headcount_by_ent(v.policy, v.insured_term, scope(v)).groupBy(
         "ent_id", F.substring("day_id", 1, 6).alias("month_id")).agg(
         F.sum("curr_insured").alias("person_days"), F.max("curr_insured").alias("peak"), F.count("*").alias("days"))
 )
@@ -100,7 +100,7 @@ WITH {HEAD}, t AS (SELECT ent_id, day_id, sum(curr_insured) AS n FROM head WHERE
 m AS (SELECT ent_id, substr(day_id, 1, 6) AS month_id, max(n) AS peak FROM t GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY ent_id ORDER BY month_id DESC) AS k FROM m)
 SELECT ent_id, month_id, cast(peak AS bigint) AS peak FROM r WHERE k = 1""")(
-    lambda v: H.headcount_month_peak(H.headcount_ent_day(v.policy, H.daily_headcount(v.policy, v.insured_term, scope(v), carry=("ent_id",))), AS_OF)
+    lambda v: H.headcount_month_peak(H.daily_headcount_by_ent(v.policy, v.insured_term, scope(v)), AS_OF)
 )
 
 
@@ -196,8 +196,7 @@ chg AS (SELECT name, cast(y AS bigint) AS y, cast(t AS bigint) AS t, cast(m AS b
 
 
 def _ents(v):
-    daily = H.daily_headcount(v.policy, v.insured_term, scope(v), SINCE, AS_OF, carry=("ent_id",))
-    return AL.alert_input(v.policy, H.headcount_ent_day(v.policy, daily), AS_OF)
+    return AL.alert_input(v.policy, H.daily_headcount_by_ent(v.policy, v.insured_term, scope(v), SINCE, AS_OF), AS_OF)
 
 
 def _changes(v):

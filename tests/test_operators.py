@@ -129,12 +129,12 @@ def test_daily_headcount_brute_force(spark, seed):
             want[(p, f"{d:%Y%m%d}")] = len({c for q, _, c, a, b in spans if q == p and a <= d <= b})
     got = {(r.policy_id, r.day_id): r.curr_insured for r in headcount.daily_headcount(policy, insured).collect()}
     assert got == want
-    cut = headcount.daily_headcount(policy, insured, since=day(10).isoformat(), until=day(15).isoformat(), carry=("ent_id",))
+    cut = headcount.daily_headcount(policy, insured, since=day(10).isoformat(), until=day(15).isoformat())
     assert {(r.policy_id, r.day_id): r.curr_insured for r in cut.collect()} == {k: v for k, v in want.items() if "20200111" <= k[1] <= "20200116"}
     snap = headcount.headcount_on(policy, insured, day(12).isoformat())
     assert {(r.policy_id, r.day_id): r.curr_insured for r in snap.collect()} == {k: v for k, v in want.items() if k[1] == "20200113"}
     by_ent = headcount.headcount_ent_day(policy, headcount.daily_headcount(policy, insured))
-    carried = headcount.headcount_ent_day(policy, headcount.daily_headcount(policy, insured, carry=("ent_id",)))
+    carried = headcount.daily_headcount_by_ent(policy, insured)
     assert rows(by_ent) == rows(carried)
 
 

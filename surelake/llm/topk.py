@@ -229,8 +229,8 @@ def unpacked(raw: bytes, width: int) -> np.ndarray:
 def sql(k: int = 10, every: int = 100, scale: int = 1024) -> str:
     return f"""
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor({scale} * x::DOUBLE)) AS v FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
     FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % {every} = 0

@@ -138,7 +138,7 @@ WITH r AS (
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
     FROM r
 ), g AS (
-    SELECT *, list_filter(string_split(path, '/'), x -> x <> '') AS parts, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM h
+    SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS parts, CASE {rule} END AS rule, CASE {verdict} END AS ruled FROM h
 ), u AS (
     SELECT page_id, host, path, rule, ruled, {segs}, CASE WHEN len(parts) >= {LEVELS} THEN '**' ELSE '' END AS s{LEVELS} FROM g
 ), n0 AS (

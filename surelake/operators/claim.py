@@ -246,31 +246,27 @@ def risk_period_label(policy, risk_period, name: str) -> DataFrame:
 # ------------------------------------------------------------- earned premium
 
 
-def premium_earned_simple(policy, product, charged_persons, as_of: str) -> DataFrame:
-    """Whole premium of plans not paid yearly, plus daily prices of yearly plans before the date.
+def premium_earned_simple(policy, product, accrued) -> DataFrame:
+    """Whole premium of plans not paid yearly, plus what yearly plans have accrued.
 
-    ``charged_persons``: policy_id, day_id (yyyyMMdd), sku_day_price.
+    ``accrued``: policy_id, charged_premium up to the day before the date (``premium.premium_to_date``).
     """
     codes_in = product.select("product_code").distinct()
     pol = policy.where(S.valid_policy() & S.not_blank("ent_id")).join(
         codes_in, F.col("insure_code") == F.col("product_code"), "left_semi"
     )
     whole = pol.where(F.col("sku_charge_type") != "2").select("ent_id", F.col("premium").cast("decimal(20,4)").alias("amount"))
-    per_policy = (
-        charged_persons.where(F.col("day_id") < as_of.replace("-", ""))
-        .groupBy("policy_id")
-        .agg(F.sum("sku_day_price").cast("decimal(20,4)").alias("amount"))
-    )
+    per_policy = accrued.groupBy("policy_id").agg(F.sum("charged_premium").cast("decimal(20,4)").alias("amount"))
     daily = pol.where(F.col("sku_charge_type") == "2").join(per_policy, "policy_id").select("ent_id", "amount")
     return whole.unionByName(daily).groupBy("ent_id").agg(F.sum("amount").cast("double").alias("charged_premium"))
 
 
-def premium_earned(policy, product, channel, charged_month, as_of: str, casual_group: str = codes.CASUAL_GROUP) -> DataFrame:
-    """Accrued premium up to the date, plus the whole premium of casual-labour policies once effective."""
-    today = as_of.replace("-", "")
-    accrued = (
-        charged_month.where(F.col("day_id") <= today).groupBy("policy_id").agg(F.sum("charged_premium").alias("amount"))
-    ).select("policy_id", F.col("amount").cast("decimal(20,4)").alias("amount"))
+def premium_earned(policy, product, channel, accrued, as_of: str, casual_group: str = codes.CASUAL_GROUP) -> DataFrame:
+    """Accrued premium up to the date, plus the whole premium of casual-labour policies once effective.
+
+    ``accrued``: policy_id, charged_premium up to and including the date (``premium.premium_to_date``).
+    """
+    accrued = accrued.select("policy_id", F.col("charged_premium").cast("decimal(20,4)").alias("amount"))
     pol = policy.where(S.valid_policy())
     casual = (
         pol.join(

@@ -19,7 +19,9 @@ def plan_matrix(
     Claims and accrued premium are summed per policy before they are joined, so a
     policy with several of each is counted once. ``repeat_per_join_row`` gives the
     figures of the row-by-row joins instead, in which every policy repeats per
-    claim and accrual day; multiplicities stand in for the repeated rows.
+    claim and accrual day; multiplicities stand in for the repeated rows, and
+    ``charged`` must have a row per day (day_id). Else it may have the sum to the date
+    per policy (``premium.premium_to_date``). Policies out of scope are left out first.
     """
     today = as_of.replace("-", "")
     pol = (
@@ -29,12 +31,16 @@ def plan_matrix(
     )
     price = F.when(F.col("sku_charge_type") == "2", F.col("sku_price") / 12).otherwise(F.col("sku_price")).cast("decimal(13,4)")
     plans = plan.select("policy_code", F.col("sku_coverage").alias("sku_coverage"), price.alias("price"))
+    current = snapshot.where(F.col("day_id") == today).select("policy_id", "curr_insured")
+    inside = pol.join(current.select("policy_id"), "policy_id", "left_semi").select("policy_id", "policy_code")
+    insured = insured.join(inside.select("policy_id"), "policy_id", "left_semi")
+    claims = claims.join(inside.select(F.col("policy_code").alias("policy_no")), "policy_no", "left_semi")
     people = insured.select("policy_id", F.trim("insured_cert_no").alias("c")).distinct().groupBy("policy_id").agg(F.count("*").alias("persons"))
     due = S.clean_amount(F.coalesce(F.trim("final_payment"), F.trim("pre_com")))
     paid = claims.groupBy(F.col("policy_no").alias("policy_code")).agg(F.sum(due).alias("due"), F.count("*").alias("n_claims"))
-    earned = (
-        charged.where(F.col("day_id") <= today).groupBy("policy_id").agg(F.sum("charged_premium").alias("earned"), F.count("*").alias("n_days"))
-    )
+    if "day_id" in charged.columns:
+        charged = charged.where(F.col("day_id") <= today)
+    earned = charged.groupBy("policy_id").agg(F.sum("charged_premium").alias("earned"), F.count("*").alias("n_days"))
     sales = channel_map(salesman).select(F.col("ent_name").alias("holder"), "channel", "ent_id").join(
         salesman.select("ent_id", "salesman", "biz_operator").distinct(), "ent_id"
     )
@@ -43,9 +49,7 @@ def plan_matrix(
     city = place_names.select(F.col("code").alias("office_city"), F.col("short_name").alias("city"))
 
     rows = (
-        snapshot.where(F.col("day_id") == today)
-        .select("policy_id", "curr_insured")
-        .join(pol, "policy_id")
+        current.join(pol, "policy_id")
         .join(plans, "policy_code", "left")
         .join(sales, "holder", "left")
         .where(F.col("channel").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -163,8 +163,10 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def centres(model: PipelineModel) -> list[list[float]]:
-    return [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+def centres(model: PipelineModel, columns: list[str]) -> DataFrame:
+    """Cluster centres as rows, in the scaled space."""
+    rows = [(n, *[float(x) for x in c]) for n, c in enumerate(model.stages[-1].clusterCenters())]  # one per cluster
+    return SparkSession.active().createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in columns))
 
 
 def cluster_sizes(model: PipelineModel, df: DataFrame) -> DataFrame:

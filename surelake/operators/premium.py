@@ -20,14 +20,19 @@ PRICE = "decimal(18,4)"
 PERSON = ("insured_id", "insured_cert_no")
 
 
-def accrual_spans(policy, insured, product_codes=None, by_person: bool = False) -> DataFrame:
+def accrual_spans(policy, insured, product_codes=None, by_person: bool = False, plan=None) -> DataFrame:
     """In-force person spans with their day price and the number of persons sharing them.
 
+    ``plan`` (policy_code, sku_charge_type, sku_price) may hold several plans per policy, each accrues on
+    its own; without it the policy's own price columns are its one plan.
+
     Monthly plans ('1') spread the price over the person's days, yearly plans
     ('2') over the policy's days, so all equal spans of a policy have the same
     price. They are counted before the policy join, which bounds a policy by its
     days; ``by_person`` keeps one row per person instead.
     """
+    if plan is not None:
+        policy = policy.drop("sku_charge_type", "sku_price").join(plan.select("policy_code", "sku_charge_type", "sku_price"), "policy_code")
     pol = policy.where(S.in_force() & F.col("sku_price").isNotNull() & F.col("sku_charge_type").isin("1", "2"))
     if product_codes is not None:
         pol = pol.join(product_codes.select("product_code").distinct(), F.col("insure_code") == F.col("product_code"), "left_semi")
@@ -63,10 +68,10 @@ def _amount(*factors) -> Column:
     return x
 
 
-def premium_daily(policy, insured, product_codes=None) -> DataFrame:
+def premium_daily(policy, insured, product_codes=None, plan=None) -> DataFrame:
     """One row per covered person-day."""
     keep = ("policy_id", "ent_id", "insured_id", "insured_cert_no", "sku_charge_type", "sku_day_price")
-    days = accrual_spans(policy, insured, product_codes, by_person=True).select(*keep, F.explode(S.days("first", "last")).alias("day"))
+    days = accrual_spans(policy, insured, product_codes, by_person=True, plan=plan).select(*keep, F.explode(S.days("first", "last")).alias("day"))
     return days.select(*keep, S.day_id("day").alias("day_id"))
 
 
@@ -95,17 +100,17 @@ def step_days(spans: DataFrame, key: str, amounts: dict[str, str]) -> DataFrame:
     return steps.select(key, F.explode(S.days("day", "until")).alias("day"), "n", *amounts)
 
 
-def premium_policy_day(policy, insured, product_codes=None) -> DataFrame:
+def premium_policy_day(policy, insured, product_codes=None, plan=None) -> DataFrame:
     """Premium per policy and day."""
-    spans = accrual_spans(policy, insured, product_codes).withColumn("amount", _amount(F.col("persons")))
+    spans = accrual_spans(policy, insured, product_codes, plan=plan).withColumn("amount", _amount(F.col("persons")))
     return step_days(spans, "policy_id", {"charged_premium": "amount"}).select(
         "policy_id", S.day_id("day").alias("day_id"), F.col("charged_premium").cast("decimal(20,4)").alias("charged_premium")
     )
 
 
-def premium_to_date(policy, insured, as_of: str, product_codes=None) -> DataFrame:
+def premium_to_date(policy, insured, as_of: str, product_codes=None, plan=None) -> DataFrame:
     """Premium earned per policy up to and including a date."""
-    spans = accrual_spans(policy, insured, product_codes)
+    spans = accrual_spans(policy, insured, product_codes, plan=plan)
     until = F.least(F.col("last"), F.lit(as_of).cast("date"))
     return (
         spans.where(F.col("first") <= F.lit(as_of).cast("date"))
@@ -114,9 +119,9 @@ def premium_to_date(policy, insured, as_of: str, product_codes=None) -> DataFram
     )
 
 
-def premium_ent_month(policy, insured, product_codes=None) -> DataFrame:
+def premium_ent_month(policy, insured, product_codes=None, plan=None) -> DataFrame:
     """Premium per enterprise and calendar month; a span adds one row per month it touches."""
-    spans = accrual_spans(policy, insured, product_codes).where(S.not_blank("ent_id"))
+    spans = accrual_spans(policy, insured, product_codes, plan=plan).where(S.not_blank("ent_id"))
     parts = spans.select("ent_id", "first", "last", "persons", "sku_day_price", F.explode(S.months("first", "last")).alias("m"))
     n = S.day_count(F.greatest("first", "m"), F.least(F.col("last"), F.last_day("m")))
     return (
@@ -175,20 +180,22 @@ def first_premium(policy, changes) -> DataFrame:
     return policy.join(net, "policy_id", "left").select("policy_id", first.cast("double").alias("first_premium"))
 
 
-def job_type_premium(policy, insured, insured_term, as_of: str) -> DataFrame:
-    """Premium and persons per job type: yearly plans by elapsed days over 365, monthly plans by price."""
-    pol = policy.where(S.valid_policy()).select(
-        "policy_id", "sku_charge_type", F.col("sku_price").cast("decimal(18,4)").alias("price"), S.day("start_date").alias("start")
-    )
-    per = (
-        insured.where(S.not_blank("insured_work_type"))
-        .groupBy("policy_id", "insured_work_type")
-        .agg(F.count("*").alias("n"))
-        .join(pol, "policy_id")
-    )
-    elapsed = F.greatest(F.datediff(F.lit(as_of).cast("date"), "start"), F.lit(0))
-    yearly = F.bround(F.col("price").cast("double") * elapsed / 365, 4).cast("decimal(18,4)")
-    amount = F.when(F.col("sku_charge_type") == "2", yearly).otherwise(F.col("price"))
-    return per.groupBy("insured_work_type").agg(
-        F.sum(amount * F.col("n")).cast("double").alias("premium"), F.sum("n").alias("persons")
+def job_type_premium(policy, insured, insured_term, plan, as_of: str) -> DataFrame:
+    """Premium and persons per job type, over policies in effect by the date whatever their status.
+
+    Every plan of a policy charges each of its persons: a yearly plan ('2') the person's own insured days,
+    both ends counted, over 365 times the price, rounded half-even to cents; a monthly plan ('1') the price.
+    Equal (policy, job type, days) are counted before they meet the plans, so a large policy arrives as few rows.
+    """
+    own = policy.where(S.day("effect_date") <= F.lit(as_of).cast("date")).where(S.not_blank("policy_code")).select("policy_id", "policy_code")
+    terms = insured_term.select("policy_id", "insured_id", S.day_count(S.day("insured_start_date"), S.day("insured_end_date")).alias("days"))
+    typed = insured.where(S.not_blank("insured_work_type")).select("policy_id", "insured_id", "insured_work_type")
+    per = typed.join(terms, ["policy_id", "insured_id"], "left").groupBy("policy_id", "insured_work_type", "days").agg(F.count("*").alias("n"))
+    plans = plan.where(F.col("sku_price").isNotNull() & F.col("sku_charge_type").isin("1", "2"))
+    plans = plans.select("policy_code", "sku_charge_type", F.col("sku_price").cast("double").alias("price"))
+    charged = per.join(own, "policy_id").join(plans, "policy_code").where((F.col("sku_charge_type") == "1") | F.col("days").isNotNull())
+    yearly = F.bround(F.greatest(F.col("days"), F.lit(0)) / F.lit(365.0) * F.col("price"), 2)
+    amount = F.when(F.col("sku_charge_type") == "2", yearly).otherwise(F.col("price")).cast("decimal(18,4)")
+    return charged.groupBy("insured_work_type").agg(
+        F.sum((amount * F.col("n")).cast("decimal(28,4)")).cast("double").alias("premium"), F.sum("n").alias("persons")
     )

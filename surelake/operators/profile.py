@@ -98,15 +98,13 @@ def profile_json(profile: DataFrame) -> DataFrame:
     )
 
 
-def ride_facts(rides: DataFrame, as_of: str) -> DataFrame:
-    """Mergeable ride counts per person: one grouped pass, fixed number of counters."""
+def ride_facts(rides: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Mergeable ride counts per person: one grouped pass, fixed number of counters, the same at any date."""
     start, hour = F.col("start_date"), F.hour("start_date")
     wd = S.iso_weekday("start_date")
     owl = (hour >= 22) | (hour <= 3)
     early = ~owl & (hour <= 7)
     commute = wd.between(1, 5) & hour.between(6, 9)
-    today = F.lit(as_of).cast("date")
-    recent = S.day(start).between(F.add_months(today, -3), today)
     product = F.coalesce(F.nullif("product_code", F.lit("")), F.lit("null"))
     return (
         rides.where(S.id_card_plausible("insured_cert_no"))
@@ -116,7 +114,6 @@ def ride_facts(rides: DataFrame, as_of: str) -> DataFrame:
             F.count_if(owl).alias("owl"),
             F.count_if(early).alias("early"),
             F.count_if(commute).alias("commute"),
-            F.count_if(recent).alias("recent"),
             *[F.count_if(wd == i).alias(f"wd{i}") for i in range(1, 8)],
             F.max(F.struct(start.alias("s"), F.col("end_date").alias("e"))).alias("new"),
             F.min(F.struct(start.alias("s"), product.alias("p"))).alias("old"),
@@ -129,6 +126,8 @@ def ride_behaviour(facts: DataFrame, as_of: str, habit: int = 10, commute_habit:
     null = F.lit("null")
     counts = F.array(*[F.col(f"wd{i}") for i in range(1, 8)])
     first = F.col("old.p")
+    today = F.lit(as_of).cast("date")
+    recent = (S.day(F.col("old.s")) >= F.add_months(today, -3)) & (S.day(F.col("new.s")) <= today)  # then all rides are
     edition = F.coalesce(*[F.when(first == k, F.lit(v[0])) for k, v in codes.RIDE_EDITIONS.items()], null)
     cover = F.coalesce(*[F.when(first == k, F.lit(v[1])) for k, v in codes.RIDE_EDITIONS.items()], null)
     return facts.select(
@@ -139,7 +138,7 @@ def ride_behaviour(facts: DataFrame, as_of: str, habit: int = 10, commute_habit:
         .alias("early_night"),
         F.when(F.col("commute") >= commute_habit, codes.COMMUTER).otherwise(null).alias("work"),
         F.array_position(counts, F.array_max(counts)).cast("string").alias("weeks"),
-        F.when(F.col("recent") == F.col("rides"), F.floor(F.lit(90) / F.col("rides")).cast("string")).otherwise(null).alias("frequency"),
+        F.when(recent, F.floor(F.lit(90) / F.col("rides")).cast("string")).otherwise(null).alias("frequency"),
         F.date_format("new.s", "yyyy-MM-dd HH:mm:ss").alias("end_data"),
         F.date_format("new.e", "yyyy-MM-dd HH:mm:ss").alias("b_x_date"),
         F.date_format("old.s", "yyyy-MM-dd HH:mm:ss").alias("start_date"),

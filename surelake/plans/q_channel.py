@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..operators import base as B
 from ..operators import channel as CH
 from ..operators import claim as C
 from ..operators import enterprise as E
 from ..operators import person as P
+from ..sources import sinks
 from .catalog import query
 from .q_enterprise import DUE, OWN, STREAK_SQL, VALID
 from .views import AS_OF
@@ -32,20 +34,31 @@ UNION ALL SELECT ent_id, 'insureinfo', 'total_premium', NULL, cast(sum(premium)
 UNION ALL SELECT ent_id, 'baseinfo', 'ent_scale', ent_scale, cast(ent_scale AS double) FROM sum_level
 UNION ALL SELECT ent_id, 'baseinfo', 'ent_influence_level', ent_influence_level, NULL FROM sum_level"""
 
+
+
+def label_store(v):
+    """The label rows written to a store, the way the label jobs leave them."""
+    path = session.scratch(v.spark, "label-store")
+    sinks.write_labels(label_rows(v), path)
+    return path
+
+
 query("label_scan", f"SELECT entity_id, family, label, num FROM ({LABEL_ROWS})")(
-    lambda v: label_rows(v).select("entity_id", "family", "label", "num")
+    lambda v: sinks.read_labels(v.spark, label_store(v)).select("entity_id", "family", "label", "num")
+)
+query("label_pruned", f"SELECT entity_id, label, num FROM ({LABEL_ROWS}) WHERE family = 'claiminfo' AND label IN ('report_num', 'death_num')")(
+    lambda v: sinks.read_labels(v.spark, label_store(v), "claiminfo", ["report_num", "death_num"]).select("entity_id", "label", "num")
 )
 query("label_wide", f"""
 SELECT entity_id, coalesce(max(num) FILTER (label = 'report_num'), 0) AS report_num,
   coalesce(max(num) FILTER (label = 'effective_policy'), 0) AS effective_policy,
   coalesce(max(num) FILTER (label = 'total_premium'), 0) AS total_premium,
   coalesce(max(value) FILTER (label = 'ent_influence_level'), '') AS ent_influence_level
-FROM ({LABEL_ROWS}) GROUP BY 1""")(
-    lambda v: label_rows(v).groupBy("entity_id").agg(
-        *[F.coalesce(F.max(F.when(F.col("label") == x, F.col("num"))), F.lit(0.0)).alias(x)
-          for x in ("report_num", "effective_policy", "total_premium")],
-        F.coalesce(F.max(F.when(F.col("label") == "ent_influence_level", F.col("value"))), F.lit("")).alias("ent_influence_level"),
-    )
+FROM ({LABEL_ROWS}) WHERE label IN ('report_num', 'effective_policy', 'total_premium', 'ent_influence_level') GROUP BY 1""")(
+    lambda v: sinks.wide(
+        sinks.read_labels(v.spark, label_store(v)), ["report_num", "effective_policy", "total_premium", "ent_influence_level"],
+        {"report_num": 0, "effective_policy": 0, "total_premium": 0},
+    ).withColumn("ent_influence_level", F.coalesce("ent_influence_level", F.lit("")))
 )
 
 _MAP = "SELECT DISTINCT ent_id, trim(ent_name) AS ent_name, CASE WHEN channel_name = '直客' THEN trim(ent_name) ELSE trim(channel_name) END AS ch FROM channel"

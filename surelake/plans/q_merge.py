@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import scalars as S
 from ..operators import facts as FA
 from ..operators import headcount as H
@@ -181,7 +182,7 @@ SELECT channel, profession_type, sku_coverage, min(salesman) AS salesman, min(te
   round(cast(sum(price * persons) AS double) / nullif(sum(persons), 0), 4) AS avg_premium, substr(channel, 1, 5) AS short_name FROM r GROUP BY 1, 2, 3""")(
     lambda v: mart.plan_matrix(
         H.headcount_on(v.policy, v.insured_term, AS_OF, scope(v)), v.policy, v.insured, v.policy.select("policy_code", "sku_coverage", "sku_price", "sku_charge_type"),
-        v.product, v.channel, v.team, v.policy_place, v.place_names, v.claims, PR.premium_policy_day(v.policy, v.insured_term, scope(v)), v.work_grade, AS_OF)
+        v.product, v.channel, v.team, v.policy_place, v.place_names, v.claims, PR.premium_to_date(v.policy, v.insured_term, AS_OF, scope(v)), v.work_grade, AS_OF)
 )
 
 # ---------------------------------------------------------- product flags
@@ -233,10 +234,13 @@ SELECT insured_mobile, insured_cert_no, insured_name FROM r WHERE k = 1""")(
 
 
 def _shards(v):
-    """Order tables by year, as yearly shards with different column orders."""
-    o = v.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"))
-    years = [o.where(F.col("y") == y).drop("y").withColumn("shard", F.lit(str(y))) for y in range(1995, 2002)]
-    return [s.select("shard", "o_custkey", "o_orderkey") if i % 2 else s for i, s in enumerate(years)]
+    """Order tables by year as shards in folders of their own, with different column orders; the years come from the data."""
+    path = session.scratch(v.spark, "shards")
+    o = v.orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("shard"))
+    o.write.partitionBy("shard").parquet(path)
+    names = sorted(r.shard for r in o.select("shard").distinct().collect())  # as many as there are databases
+    shards = [v.spark.read.parquet(f"{path}/shard={n}").withColumn("shard", F.lit(n)) for n in names]
+    return [s.select("shard", "o_custkey", "o_orderkey") if i % 2 else s for i, s in enumerate(shards)]
 
 
 query("union_monthly_shards", "SELECT o_orderkey, o_custkey, cast(year(o_orderdate) AS varchar) AS shard FROM orders")(

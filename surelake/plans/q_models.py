@@ -13,25 +13,26 @@ from ..operators import profile as PF
 from ..sources import sinks
 from . import q_channel as QC
 from .catalog import query
-from .q_premium import scope
+from .q_premium import SLOPE_SQL, scope
+from .q_text import VALUE_SQL
 from .views import AS_OF, EVENT_AS_OF
 
-F3 = ["f1", "f2", "f3"]
-F7 = [f"f{i}" for i in range(1, 8)]
+#: every component of the vectors
+DIMS = [f"f{i}" for i in range(1, 65)]
 
 
-def _emb(v, cols=F3):
-    return v.embeddings.select("vec_id", "label", *[F.element_at("embedding", i).cast("double").alias(c) for i, c in enumerate(cols, 1)])
+def _emb(v):
+    return v.embeddings.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(DIMS)])
 
 
-_E = "SELECT vec_id, " + ", ".join(f"cast(embedding[{i}] AS double) AS f{i}" for i in range(1, 4)) + " FROM embeddings"
+_E = "SELECT vec_id, " + ", ".join(f"cast(embedding[{i}] AS double) AS f{i}" for i in range(1, 65)) + " FROM embeddings"
 query("feature_standardise", f"""
-WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - avg(f{i}) OVER ()) / stddev_samp(f{i}) OVER (), 4) AS f{i}" for i in (1, 2, 3)) + " FROM e")(
-    lambda v: M.standardise(_emb(v).drop("label"), F3, 4)
+WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - avg(f{i}) OVER ()) / stddev_samp(f{i}) OVER (), 4) AS f{i}" for i in range(1, 65)) + " FROM e")(
+    lambda v: M.standardise(_emb(v), DIMS, 4)
 )
 query("feature_minmax", f"""
-WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - min(f{i}) OVER ()) / (max(f{i}) OVER () - min(f{i}) OVER ()), 4) AS f{i}" for i in (1, 2, 3)) + " FROM e")(
-    lambda v: M.minmax(_emb(v).drop("label"), F3, 4)
+WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - min(f{i}) OVER ()) / (max(f{i}) OVER () - min(f{i}) OVER ()), 4) AS f{i}" for i in range(1, 65)) + " FROM e")(
+    lambda v: M.minmax(_emb(v), DIMS, 4)
 )
 
 
@@ -85,33 +86,37 @@ LEFT JOIN cur USING (ent_id) LEFT JOIN act USING (ent_id) LEFT JOIN sz USING (en
 query("risk_features", "WITH " + _wide_sql())(ent_features)
 
 
-def training(v):
-    """Enterprise features with a risk class by balance, as a table."""
-    klass = v.customer.select(F.concat(F.lit("E"), F.col("c_custkey").cast("string")).alias("ent_id"),
-                              F.when(F.col("c_acctbal") < 0, 0.0).when(F.col("c_acctbal") < 3000, 1.0).when(F.col("c_acctbal") < 6000, 2.0).otherwise(3.0).alias("risk"))
-    return session.materialise(ent_features(v).join(klass, "ent_id"), "training")
-
+_RISK = "CASE WHEN work_type <= 1 THEN 0 WHEN work_type <= 2 THEN 1 WHEN work_type <= 3 THEN 2 ELSE 3 END"
 
-# rows-only: the results come from trained models
-query("model_risk_tree")(lambda v: (lambda t: M.score(M.train_tree(t, M.ENT_FEATURES, "risk"), t, ["ent_id"], "risk_value"))(training(v)))
 
-
-def _sweep(v):
-    # depth and bin trials on embeddings: fourteen fits over a small fixed set of columns
-    return M.tree_sweep(session.materialise(_emb(v, F7).withColumn("label", F.col("label").cast("double")), "sweep"), F7, "label")
-
-
-query("model_tree_sweep")(_sweep)
+def training(v):
+    """Enterprise features with a risk class that follows from one few-valued feature, so every prediction is known."""
+    return session.materialise(ent_features(v).withColumn("risk", F.expr(_RISK).cast("double")), "training")
 
 
-def _metrics(v):
-    t = session.materialise(_emb(v, F7).withColumn("label", (F.col("label") % 2).cast("double")), "metrics")
-    a, b = M.split(t)
-    tree = M.train_tree(a, F7, "label", depth=5, bins=32, impurity="gini", scale=False)
-    return M.metrics(tree.transform(b), "label")
+query("model_risk_tree", f"WITH w AS ({'WITH ' + _wide_sql()}) SELECT ent_id, cast({_RISK} AS int) AS risk_value FROM w")(
+    lambda v: (lambda t: M.score(M.train_tree(t, M.ENT_FEATURES, "risk"), t, ["ent_id"], "risk_value"))(training(v))
+)
 
 
-query("model_metrics")(_metrics)
+def _sweep(v):
+    """Errors by depth and bins where a class follows from one of eight values: null where the split decides."""
+    t = v.events.select((F.col("user_id") % 8).cast("double").alias("f1"), F.floor((F.col("user_id") % 8) / 2).cast("double").alias("label"))
+    got = M.tree_sweep(session.materialise(t, "sweep"), ["f1"], "label")
+    open_ = ((F.col("parameter") == "depth") & (F.col("value") == 2)) | ((F.col("parameter") == "bins") & (F.col("value") == 4))
+    return got.select("parameter", "value", F.when(~open_, F.col("rmsle") < 1e-9).alias("exact"))
+
+
+query("model_tree_sweep", """
+SELECT parameter, cast(value AS int) AS value, CASE WHEN parameter || value NOT IN ('depth2', 'bins4') THEN parameter || value NOT IN ('depth1', 'bins2') END AS exact
+FROM (SELECT 'depth' AS parameter, unnest([1, 2, 3, 4, 5, 10, 20]) AS value UNION ALL SELECT 'bins', unnest([2, 4, 8, 16, 32, 64, 100]))
+WHERE (SELECT count(*) FROM events) > 0""")(_sweep)
+query("model_metrics", """
+SELECT 'mse' AS metric, round(avg(pow(user_id % 2 - event_id % 2, 2)), 9) AS value FROM events
+UNION ALL SELECT 'test_error', round(count(*) FILTER (user_id % 2 <> event_id % 2) / count(*), 9) FROM events""")(
+    lambda v: M.metrics(v.events.select((F.col("user_id") % 2).cast("double").alias("prediction"), (F.col("event_id") % 2).cast("double").alias("label")), "label")
+    .withColumn("value", F.round("value", 9))
+)
 
 
 def _people(v):
@@ -150,12 +155,25 @@ SELECT insured_cert_no, cast({EVENT_AS_OF[:4]} - cast(substr(insured_cert_no, 7,
 
 
 def _kmeans(v):
+    """Sizes of the clusters; which person falls where hangs on the start, their number and sum do not."""
     t = session.materialise(_people(v), "people")
-    return M.cluster_sizes(M.train_kmeans(t, M.PERSON_FEATURES, k=7), t)
+    sizes = M.cluster_sizes(M.train_kmeans(t, M.PERSON_FEATURES, k=7), t)
+    return sizes.agg(F.sum("members").alias("members"), F.count_if(~F.col("cluster").between(0, 6)).alias("strange"), (F.count("*") <= 7).alias("within_k"))
+
+
+query("model_kmeans", "SELECT count(DISTINCT insured_cert_no) AS members, 0 AS strange, true AS within_k FROM insured_term")(_kmeans)
+
+
+def _kmeans_costs(v):
+    """Cost around one centre, and whether more centres cost less."""
+    got = session.materialise(M.kmeans_sweep(session.materialise(_emb(v), "sweep"), DIMS), "costs")
+    one = got.where("k = 1").select(F.col("cost").alias("whole"))
+    return got.join(F.broadcast(one), F.lit(True)).select("k", F.when(F.col("k") == 1, F.round("cost", 4)).alias("cost"), (F.col("cost") <= F.col("whole") + 1e-9).alias("less"))
 
 
-query("model_kmeans")(_kmeans)
-query("model_kmeans_sweep")(lambda v: M.kmeans_sweep(session.materialise(_emb(v), "sweep"), F3))
+query("model_kmeans_sweep", f"""
+WITH e AS ({_E}), c AS (SELECT round({' + '.join(f"var_pop(f{i}) * count(*) / pow(max(f{i}) - min(f{i}), 2)" for i in range(1, 65))}, 4) AS cost FROM e)
+SELECT k, CASE WHEN k = 1 THEN cost END AS cost, true AS less FROM c, (SELECT unnest([1, 3, 5, 7, 9]) AS k)""")(_kmeans_costs)
 
 
 def _scores(v):
@@ -163,10 +181,13 @@ def _scores(v):
     path = session.scratch(v.spark, "model")
     M.save(M.train_tree(t, M.ENT_FEATURES, "risk"), path)
     slope = PR.premium_slope(PR.premium_ent_month(v.policy, v.insured_term, scope(v)), AS_OF)
-    return M.enterprise_scores(t, slope, M.load(path))
+    return M.enterprise_scores(t, slope, M.load(path)).withColumn("enter_value", F.round("enter_value", 1))
 
 
-query("model_score")(_scores)
+query("model_score", f"""
+WITH w AS ({'WITH ' + _wide_sql()}), sl AS ({SLOPE_SQL}),
+t AS (SELECT ent_id, work_type, cur_insured_persons AS people, premium_all AS premium, three_slope AS growth FROM w JOIN sl USING (ent_id)), {VALUE_SQL}
+SELECT ent_id, round(round(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE, 2), 1) AS enter_value, cast({_RISK} AS int) AS risk_value FROM s JOIN w USING (ent_id)""")(_scores)
 
 # ------------------------------------------------------------------ reviews
 
@@ -189,9 +210,10 @@ query("review_compare", f"{_CON} SELECT ent_id, cert_no, score, model_conclusion
 def _store(v):
     path = session.scratch(v.spark, "labels")
     rows = QC.label_rows(v)
-    sinks.write_labels(rows, path)
-    # a second write of one label replaces it and leaves the rest
-    sinks.write_labels(rows.where(F.col("label") == "effective_policy"), path)
+    other = rows.limit(1).select("entity_id", F.lit("old").alias("family"), F.lit("gone").alias("label"), "value", "num")
+    sinks.write_labels(rows.unionByName(other), path)
+    # a second write of one label replaces it and leaves the rest; a label computed without rows is emptied
+    sinks.write_labels(rows.where(F.col("label") == "effective_policy"), path, [("insureinfo", "effective_policy"), ("old", "gone")])
     return sinks.read_labels(v.spark, path).select("entity_id", "family", "label", "num")
 
 

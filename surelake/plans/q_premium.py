@@ -1,5 +1,7 @@
 """Premium accrual, headcounts, member tiers and warnings."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from .. import session
@@ -16,6 +18,7 @@ from .q_enterprise import DUE_ALL, VALID
 from .views import AS_OF
 
 TODAY = AS_OF.replace("-", "")
+BEFORE = (datetime.date.fromisoformat(AS_OF) - datetime.timedelta(days=1)).isoformat()
 SCOPE = "'外包雇主', '骑士保', '大货车'"
 
 
@@ -58,7 +61,7 @@ query("premium_policy_to_date", f"""
 WITH {PDAY} SELECT policy_id, ent_id, cast(sum(price) AS double) AS charged_premium FROM pday WHERE day_id <= '{TODAY}' GROUP BY 1, 2""")(
     lambda v: PR.premium_to_date(v.policy, v.insured_term, AS_OF, scope(v)).withColumn("charged_premium", F.col("charged_premium").cast("double"))
 )
-query("premium_slope", f"""
+SLOPE_SQL = f"""
 WITH {PDAY}, m AS (SELECT ent_id, substr(day_id, 1, 6) AS month_id, sum(price) AS p FROM pday GROUP BY 1, 2 HAVING substr(day_id, 1, 6) < '{TODAY[:6]}'),
 o AS (SELECT *, cast(p AS double) AS x, row_number() OVER (PARTITION BY ent_id ORDER BY month_id) AS i,
   row_number() OVER (PARTITION BY ent_id ORDER BY month_id DESC) AS j FROM m),
@@ -67,7 +70,8 @@ s AS (SELECT ent_id, count(*) AS n, min(month_id) AS a, max(month_id) AS b, max(
 SELECT ent_id, a AS first_month, b AS last_month, cast(round(fd, 2) AS double) AS first_premium, cast(round(ld, 2) AS double) AS last_premium,
   round_even(CASE WHEN n < 2 OR f = l THEN 0 ELSE (pow(l / f, 1.0::DOUBLE / (n - 1)) - 1) * 100 END, 2) AS slope,
   round_even(CASE WHEN n >= 3 THEN (sqrt(l / t) - 1) * 100 ELSE 0 END, 2) AS three_slope,
-  cast(round(total, 2) AS double) AS premium_all FROM s""")(
+  cast(round(total, 2) AS double) AS premium_all FROM s"""
+query("premium_slope", SLOPE_SQL)(
     lambda v: PR.premium_slope(PR.premium_ent_month(v.policy, v.insured_term, scope(v)), AS_OF)
 )
 query("first_premium", """
@@ -76,10 +80,19 @@ SELECT policy_id, cast(premium - coalesce(net, 0) AS double) AS first_premium FR
     lambda v: PR.first_premium(v.policy, v.premium_change)
 )
 query("job_type_premium", f"""
-SELECT insured_work_type, cast(sum(CASE WHEN sku_charge_type = '2' THEN cast(round_even(cast(sku_price AS double)
-    * greatest(date_diff('day', start_date, DATE '{AS_OF}'), 0) / 365, 4) AS decimal(18,4)) ELSE cast(sku_price AS decimal(18,4)) END) AS double) AS premium,
-  count(*) AS persons FROM insured JOIN policy USING (policy_id) WHERE policy_status IN ('0','1','7','9','10') GROUP BY 1""")(
-    lambda v: PR.job_type_premium(v.policy, v.insured, v.insured_term, AS_OF)
+WITH p AS (SELECT policy_id, policy_code FROM policy WHERE effect_date <= DATE '{AS_OF}' AND length(policy_code) > 0),
+c AS (SELECT insured_work_type, CASE WHEN sku_charge_type = '2' THEN
+    cast(round_even((date_diff('day', insured_start_date, insured_end_date) + 1) / 365.0::DOUBLE * cast(sku_price AS double), 2) AS decimal(18,4))
+    ELSE cast(sku_price AS decimal(18,4)) END AS amount
+  FROM insured JOIN p USING (policy_id) JOIN insured_term USING (policy_id, insured_id) JOIN product_plan USING (policy_code) WHERE length(insured_work_type) > 0)
+SELECT insured_work_type, cast(sum(amount) AS double) AS premium, count(*) AS persons FROM c GROUP BY 1""")(
+    lambda v: PR.job_type_premium(v.policy, v.insured, v.insured_term, v.product_plan, AS_OF)
+)
+_PLANS = SPAN.replace("policy JOIN insured_term USING (policy_id)", "(SELECT * EXCLUDE (sku_charge_type, sku_price) FROM policy) JOIN product_plan USING (policy_code) JOIN insured_term USING (policy_id)")
+query("premium_by_plans", f"""
+WITH {_PLANS}, pday AS (SELECT *, unnest(generate_series(s, e, INTERVAL 1 DAY)) AS d FROM span)
+SELECT policy_id, ent_id, cast(sum(price) AS double) AS charged_premium FROM pday WHERE d <= DATE '{AS_OF}' GROUP BY 1, 2""")(
+    lambda v: PR.premium_to_date(v.policy, v.insured_term, AS_OF, scope(v), v.product_plan).withColumn("charged_premium", F.col("charged_premium").cast("double"))
 )
 query("daily_headcount", f"""
 WITH {HEAD} SELECT policy_id, policy_code, substr(day_id, 1, 6) AS month_id, count(*) AS days, cast(sum(curr_insured) AS bigint) AS person_days,
@@ -128,8 +141,7 @@ earn AS (SELECT c.ent_id, cast(sum(amount) AS double) AS charged_premium FROM ac
 
 
 def earned(v):
-    charged = PR.premium_policy_day(v.policy, v.insured_term, scope(v))
-    return C.premium_earned(v.policy, v.product, v.channel, charged, AS_OF)
+    return C.premium_earned(v.policy, v.product, v.channel, PR.premium_to_date(v.policy, v.insured_term, AS_OF, scope(v)), AS_OF)
 
 
 query("premium_earned", f"WITH {PDAY}, {EARNED} SELECT * FROM earn")(earned)
@@ -138,7 +150,7 @@ WITH {PDAY}, p AS (SELECT * FROM policy WHERE {VALID} AND insure_code IN (SELECT
 a AS (SELECT ent_id, premium AS amount FROM p WHERE sku_charge_type <> '2'
   UNION ALL SELECT p.ent_id, price FROM p JOIN pday USING (policy_id) WHERE p.sku_charge_type = '2' AND day_id < '{TODAY}')
 SELECT ent_id, cast(sum(amount) AS double) AS charged_premium FROM a GROUP BY 1""")(
-    lambda v: C.premium_earned_simple(v.policy, scope(v), PR.premium_daily(v.policy, v.insured_term, scope(v)), AS_OF)
+    lambda v: C.premium_earned_simple(v.policy, scope(v), PR.premium_to_date(v.policy, v.insured_term, BEFORE, scope(v)))
 )
 
 # small limits for the size of the test data

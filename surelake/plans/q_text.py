@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import scalars as S
 from ..operators import claim as C
 from ..operators import graph as G
@@ -53,14 +54,16 @@ SELECT policy_id, (year(d) - year(s)) * 12 + month(d) - month(s) - CASE WHEN day
 FROM (SELECT policy_id, start_date AS s, DATE '{AS_OF}' AS d FROM policy)""")(
     lambda v: v.policy.select("policy_id", S.whole_months("start_date", F.lit(AS_OF)).alias("months"), S.completed_years("start_date", F.lit(AS_OF)).alias("years"))
 )
-query("value_score", """
-WITH t AS (SELECT ent_id, cast(count(*) * 400 AS double) AS people, cast(sum(premium) AS double) / 4 AS premium, cast(count(*) * 7 - 30 AS double) AS growth
-  FROM policy GROUP BY 1),
+VALUE_SQL = """
 s AS (SELECT ent_id, round(CASE WHEN people < 1000 THEN 30 * (people / 1000) WHEN people < 5000 THEN 20 * ((people - 1000) / 4000) + 30
     WHEN people < 10000 THEN 30 * ((people - 5000) / 5000) + 50 WHEN people < 50000 THEN 20 * ((people - 10000) / 40000) + 80 ELSE 0 END, 2) AS a,
   round(CASE WHEN premium < 1e5 THEN 50 * (premium / 1e5) WHEN premium < 6e5 THEN 30 * ((premium - 1e5) / 5e5) + 50
     WHEN premium < 2e6 THEN 20 * ((premium - 6e5) / 1.4e6) + 80 ELSE 0 END, 2) AS b,
-  round(CASE WHEN growth < 0 THEN 0 WHEN growth < 50 THEN 50 * (growth / 50) WHEN growth < 100 THEN 50 * ((growth - 50) / 50) + 50 ELSE 100 END, 2) AS c FROM t)
+  round(CASE WHEN growth < 0 THEN 0 WHEN growth < 50 THEN 50 * (growth / 50) WHEN growth < 100 THEN 50 * ((growth - 50) / 50) + 50 ELSE 100 END, 2) AS c FROM t)"""
+query("value_score", f"""
+WITH t AS (SELECT ent_id, cast(count(*) * 400 AS double) AS people, cast(sum(premium) AS double) / 4 AS premium, cast(count(*) * 7 - 30 AS double) AS growth
+  FROM policy GROUP BY 1),
+{VALUE_SQL}
 SELECT ent_id, round(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE, 4) AS score FROM s""")(
     lambda v: v.policy.groupBy("ent_id").agg(
         (F.count("*") * 400).cast("double").alias("people"), (F.sum("premium").cast("double") / 4).alias("premium"),
@@ -93,7 +96,7 @@ qa AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC
 query("qa_topk", f"WITH {QA_BEST} SELECT question_id, level, id, cast(overlap AS int) AS overlap, score FROM qa WHERE level <= 6")(
     lambda v: MT.qa_topk(v.questions, v.knowledge)
 )
-_FRAG = "SELECT conv_id AS question_id, trim(substr(text, 3, 40)) AS question FROM conversations WHERE turn = 0 AND role = 'user'"
+_FRAG = "SELECT conv_id * 1000 + turn AS question_id, trim(text) AS question FROM conversations WHERE role = 'user'"
 query("qa_exact_fallback", f"""
 WITH f AS ({_FRAG}) SELECT question_id, min(id) AS id FROM f JOIN knowledge ON contains(query, question) WHERE length(question) > 0 GROUP BY 1""")(
     lambda v: MT.qa_exact(v.sql(_FRAG), v.knowledge)
@@ -211,16 +214,37 @@ SELECT cert_no, cast(date_diff('day', d, r) + 1 AS int) AS report_days, cast(gap
 LOG = """
 SELECT substr(value, 1, 23) AS time, substr(value, 25, 7) AS level, trim(regexp_extract(substr(value, 33), '\\(([^)]*)\\)', 1)) AS class,
   trim(substr(t, instr(t, '-') + 1)) AS cause FROM (SELECT value, substr(substr(value, 33), instr(substr(value, 33), ']') + 1) AS t FROM log_lines)"""
-query("log_parse", LOG)(lambda v: MT.log_parse(v.log_lines))
+
+
+def _log_files(v):
+    """The log as text files, read as a job reads them."""
+    path = session.scratch(v.spark, "log")
+    v.log_lines.select("value").write.text(path)
+    return files.text_lines(v.spark, f"{path}/*.txt")
+
+
+query("log_parse", LOG)(lambda v: MT.log_parse(_log_files(v)))
 query("log_error_groups", f"""
 SELECT level, class, cause, count(*) AS n, max(time) AS latest FROM ({LOG}) WHERE level = '[ERROR]' AND cause <> '' GROUP BY 1, 2, 3""")(
-    lambda v: MT.log_error_groups(MT.log_parse(v.log_lines))
+    lambda v: MT.log_error_groups(MT.log_parse(_log_files(v)))
 )
 query("block_text_records", """
 SELECT doc_id, i - 1 AS block, list_extract(parts, i) AS record FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
   FROM (SELECT doc_id, list_filter(string_split(text, chr(10) || chr(10)), lambda x: regexp_matches(x, '\\S')) AS parts FROM documents))""")(
     lambda v: files.blocks(v.documents.select("doc_id", "text"), "text", ["doc_id"])
 )
+
+
+def _block_files(v):
+    """One whole file per record set: supplier records of a nation, parted by blank lines."""
+    path = session.scratch(v.spark, "blocks")
+    record = F.concat(F.lit("supplier "), F.col("s_suppkey").cast("string"), F.lit("\n"), F.col("s_name"))
+    v.supplier.select("s_nationkey", F.concat(record, F.lit("\n\n")).alias("value")).repartition("s_nationkey").write.partitionBy("s_nationkey").option("lineSep", "\n").text(path)
+    found = files.text_blocks(v.spark, f"{path}/*/*.txt")
+    return found.select(F.regexp_extract("file", "s_nationkey=([0-9]+)", 1).cast("int").alias("s_nationkey"), F.trim(F.regexp_replace("record", "^\\s+|\\s+$", "")).alias("record"))
+
+
+query("text_file_blocks", "SELECT s_nationkey, concat('supplier ', s_suppkey, chr(10), s_name) AS record FROM supplier")(_block_files)
 query("text_cross_expand", "SELECT s_suppkey, s_name, unnest(['a', 'b', 'c']) AS plan FROM supplier")(
     lambda v: MT.cross_expand(v.supplier.select("s_suppkey", "s_name"), ["a", "b", "c"], "plan")
 )
@@ -239,6 +263,27 @@ _EDGES = """
 SELECT DISTINCT concat('part ', cast(l_partkey AS string)) AS src, 'supplied by' AS type, concat('supplier ', cast(l_suppkey AS string)) AS dst FROM lineitem
 UNION SELECT concat('supplier ', cast(s_suppkey AS string)), 'located in', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 _SEEDS = "SELECT concat('part ', cast(p_partkey AS string)) AS id FROM part WHERE p_type = 'PROMO' AND p_size < 10"
+_CHAIN = """
+SELECT concat('order ', cast(o_orderkey AS string)) AS src, 'placed by' AS type, concat('customer ', cast(o_custkey AS string)) AS dst FROM orders
+UNION ALL SELECT concat('customer ', cast(c_custkey AS string)), 'lives in', concat('nation ', cast(c_nationkey AS string)) FROM customer
+UNION ALL SELECT concat('nation ', cast(n_nationkey AS string)), 'part of', concat('region ', cast(n_regionkey AS string)) FROM nation"""
+_PAIRS = """
+SELECT o_orderkey AS q, concat('order ', cast(o_orderkey AS string)) AS id FROM orders
+UNION ALL SELECT a.o_orderkey, concat('order ', cast(b.o_orderkey AS string)) FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1"""
+# two orders meet at a customer, a nation or a region, or nowhere; an order without a next one is a single seed
+query("graph_k_hop_each", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, c_nationkey AS n, n_regionkey AS r FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+p AS (SELECT a.k AS q, a.k AS ak, a.c AS ac, a.n AS an, a.r AS ar, b.k AS bk, b.c AS bc, b.n AS bn, b.r AS br FROM o a LEFT JOIN o b ON b.k = a.k + 1),
+m AS (SELECT *, CASE WHEN bk IS NULL THEN 0 WHEN ac = bc THEN 1 WHEN an = bn THEN 2 WHEN ar = br THEN 3 ELSE 0 END AS lv FROM p)
+SELECT DISTINCT q, src, type, dst FROM (
+  SELECT q, concat('order ', ak) AS src, 'placed by' AS type, concat('customer ', ac) AS dst FROM m WHERE lv IN (0, 1)
+  UNION ALL SELECT q, concat('order ', bk), 'placed by', concat('customer ', bc) FROM m WHERE lv IN (0, 1) AND bk IS NOT NULL
+  UNION ALL SELECT q, concat('customer ', ac), 'lives in', concat('nation ', an) FROM m WHERE lv = 2
+  UNION ALL SELECT q, concat('customer ', bc), 'lives in', concat('nation ', bn) FROM m WHERE lv = 2
+  UNION ALL SELECT q, concat('nation ', an), 'part of', concat('region ', ar) FROM m WHERE lv = 3
+  UNION ALL SELECT q, concat('nation ', bn), 'part of', concat('region ', br) FROM m WHERE lv = 3)""")(
+    lambda v: G.k_hop_each(v.sql(_PAIRS), v.sql(_CHAIN), ["q"])
+)
 query("graph_k_hop", f"""
 WITH e AS ({_EDGES}), s AS ({_SEEDS}), h AS (SELECT e.* FROM e JOIN s ON src = id),
 x AS (SELECT dst FROM h GROUP BY 1 HAVING count(*) > 1) SELECT src, type, dst FROM h WHERE dst IN (SELECT dst FROM x)""")(

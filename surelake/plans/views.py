@@ -42,6 +42,9 @@ SELECT o_orderkey AS policy_id, concat('POL', cast(o_orderkey AS string)) AS pol
        cast(10 * (1 + o_orderkey % 5) AS string) AS sku_coverage,
        concat('K', substr(o_orderpriority, 1, 1), o_orderstatus) AS sku_code
 FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "product_plan": """
+SELECT policy_code, sku_charge_type, sku_price FROM policy
+UNION ALL SELECT policy_code, CASE sku_charge_type WHEN '1' THEN '2' ELSE '1' END, cast(sku_price + 7 AS decimal(15,2)) FROM policy WHERE policy_id % 7 = 0""",
     "person": f"""
 SELECT p_partkey, p_name, p_type, {_CARD.format(p='p_partkey')} AS card,
        DATE '1960-01-01' + cast((p_partkey * 37) % 14600 AS int) AS birthday
@@ -287,7 +290,7 @@ SELECT concat(replace(substr(cast(ts AS string), 1, 19), 'T', ' '), '.000 [', CA
 FROM events""",
     "knowledge": """
 SELECT q.conv_id * 1000 + q.turn AS id, q.text AS query, a.text AS answer,
-       CASE WHEN q.conv_id % 3 = 0 THEN 'business' ELSE 'work' END AS category
+       CASE WHEN q.conv_id % 5 = 0 THEN '默认' WHEN q.conv_id % 3 = 0 THEN 'business' ELSE 'work' END AS category
 FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id AND a.turn = q.turn + 1
 WHERE q.role = 'user' AND a.role = 'assistant'""",
     "questions": "SELECT item_id AS question_id, text AS question FROM benchmark",

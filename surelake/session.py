@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,14 +58,46 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for one run of one job."""
-    return f"{shared_dir(spark)}/surelake/{name}-{uuid.uuid4().hex}"
+_scopes = threading.local()
+_registered: set[str] = set()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can write to, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_quietly(spark: SparkSession, path: str) -> None:
+    try:
+        remove(spark, path)
+    except Exception:  # noqa: BLE001  the JVM may be gone at the end of the process
+        pass
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def _application_folder(spark: SparkSession) -> str:
+    folder = f"{shared_dir(spark)}/surelake/{spark.sparkContext.applicationId}"
+    if folder not in _registered:
+        _registered.add(folder)
+        atexit.register(_remove_quietly, spark, folder)
+    return folder
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Scratch tables written inside (by this thread) are removed at its end."""
+    folder = f"{getattr(_scopes, 'folder', None) or _application_folder(spark)}/scope-{uuid.uuid4().hex}"
+    before, _scopes.folder = getattr(_scopes, "folder", None), folder
+    try:
+        yield folder
+    finally:
+        _scopes.folder = before
+        remove(spark, folder)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder. It lasts as long as the scope, else the application."""
+    return f"{getattr(_scopes, 'folder', None) or _application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df, name: str):

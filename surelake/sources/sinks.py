@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
+
 LABEL_COLUMNS = ("entity_id", "family", "label", "value", "num")
 
 
-def write_labels(labels: DataFrame, path: str) -> None:
+def write_labels(labels: DataFrame, path: str, replaced: list[tuple[str, str]] | None = None) -> None:
     """Replace the given labels in the store and leave all others as they are.
 
     One folder per (family, label). The rebalance lets adaptive execution split a
-    large label over tasks and files and pack small ones together.
+    large label over tasks and files and pack small ones together. ``replaced`` names
+    the (family, label) pairs that were computed: those without rows now are emptied.
     """
     (
         labels.select(*LABEL_COLUMNS)
@@ -23,6 +26,15 @@ def write_labels(labels: DataFrame, path: str) -> None:
         .partitionBy("family", "label")
         .parquet(path)
     )
+    if replaced:
+        present = {(r.family, r.label) for r in labels.select("family", "label").distinct().collect()}  # names of labels
+        for family, label in set(replaced) - present:
+            session.remove(labels.sparkSession, f"{path}/family={escaped(family)}/label={escaped(label)}")
+
+
+def escaped(name: str) -> str:
+    """A value as Spark writes it in a folder name."""
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\\x7f{[]^" or c < " " else c for c in name)
 
 
 def read_labels(spark: SparkSession, path: str, family: str | None = None, labels: list[str] | None = None) -> DataFrame:
@@ -47,9 +59,13 @@ def wide(labels: DataFrame, names: list[str], numbers: dict[str, float] | None =
     return labels.where(F.col("label").isin(*names)).groupBy(key).agg(*[cell(n) for n in names])
 
 
-def replace_days(df: DataFrame, path: str, day: str = "day_id") -> None:
-    """Replace only the days present in ``df``."""
+def replace_days(df: DataFrame, path: str, day: str = "day_id", days: list[str] | None = None) -> None:
+    """Replace only the days present in ``df``, and empty those of ``days`` that it has no rows for."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    if days:
+        present = {str(r[0]) for r in df.select(day).where(F.col(day).isin(days)).distinct().collect()}
+        for gone in set(days) - present:
+            session.remove(df.sparkSession, f"{path}/{day}={escaped(gone)}")
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -71,13 +87,13 @@ def text_lines(df: DataFrame, sep: str = ";") -> DataFrame:
     return df.select(F.concat_ws(sep, *cells).alias("value"))
 
 
-def write_text(df: DataFrame, path: str, sep: str = ";", files: int | None = 1) -> None:
-    """Delimited text export; ``files=None`` keeps the partitioning of large results."""
+def write_text(df: DataFrame, path: str, sep: str = ";", files: int | None = None) -> None:
+    """Delimited text export, in as many files as the result has partitions unless ``files`` asks for fewer."""
     lines = text_lines(df, sep)
     (lines if files is None else lines.coalesce(files)).write.mode("overwrite").text(path)
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = 1, sep: str = ",") -> None:
+def write_csv(df: DataFrame, path: str, files: int | None = None, sep: str = ",") -> None:
     out = df if files is None else df.coalesce(files)
     out.write.mode("overwrite").csv(path, header=True, sep=sep, nullValue="")
 
@@ -91,11 +107,16 @@ def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite")
     df.write.format("jdbc").options(**jdbc_write_options(options)).mode(mode).save()
 
 
-def write_keyed(df: DataFrame, path: str, key: str, value: str, seconds: int = 600, at=None) -> None:
-    """Append latest values with a lifetime. ``at``: event time, else the time of writing."""
+def keyed(df: DataFrame, key: str, value: str, seconds: int = 600, at=None) -> DataFrame:
+    """Values with a lifetime: key, value, written_at, expires_at. ``at``: event time, else the time of writing."""
     at = F.current_timestamp() if at is None else at
     rows = df.select(F.col(key).alias("key"), F.col(value).alias("value"), at.cast("timestamp").alias("written_at"))
-    rows.withColumn("expires_at", F.col("written_at") + F.expr(f"INTERVAL {int(seconds)} SECONDS")).write.mode("append").parquet(path)
+    return rows.withColumn("expires_at", F.col("written_at") + F.expr(f"INTERVAL {int(seconds)} SECONDS"))
+
+
+def write_keyed(df: DataFrame, path: str, key: str, value: str, seconds: int = 600, at=None) -> None:
+    """Append latest values with a lifetime."""
+    keyed(df, key, value, seconds, at).write.mode("append").parquet(path)
 
 
 def read_keyed(spark: SparkSession, path: str, as_of) -> DataFrame:

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import scalars as S
+from .. import session
 from ..operators import matching, models, profile
+from ..sources import sinks
 
 
 def kafka_messages(spark: SparkSession, servers: str, topics: str, starting: str = "latest") -> DataFrame:
@@ -45,14 +46,25 @@ def run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Write one batch under its own folder; a retry of the batch replaces it."""
-    (
-        df.withColumn("batch", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", *partitions)
-        .parquet(path)
-    )
+    """Write one batch as its own folder; a retry of the batch replaces all of it, whatever date it is stamped with."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partitions) if partitions else w).parquet(f"{path}/batch={batch_id}")
+
+
+def compact(spark: SparkSession, folder: str, newest: Callable[[DataFrame], DataFrame], upto: int) -> None:
+    """Put the batches up to ``upto`` into one folder holding only what ``newest`` keeps of them.
+
+    The result stands under the number of the last of them, so later batches still come after it. Not
+    to be run while the job writes one of these batches.
+    """
+    old = spark.read.parquet(folder).where(F.col("batch") <= upto)
+    numbers = sorted(r.batch for r in old.select("batch").distinct().collect())
+    if len(numbers) > 1:
+        with session.scope(spark):
+            kept = session.materialise(newest(old).drop("batch"), "compacted")
+            write_batch(kept, folder, numbers[-1])
+        for n in numbers[:-1]:
+            session.remove(spark, f"{folder}/batch={n}")
 
 
 # ------------------------------------------------------------- change routing
@@ -81,6 +93,7 @@ def route_job(targets: dict[str, tuple[str, list[str]]], folder: str, day: str |
 
 # --------------------------------------------------------------- review score
 
+# Field names of the review messages.
 REVIEW_FIELDS = (
     "reportHours riskDays preCompensation injury entValueScore entRiskLevel insuredRiskLevel policyPayRate requestId policyId entId insuredCertNo"
 ).split()
@@ -118,22 +131,24 @@ def review_job(model, folder: str, seconds: int = 600, at=None):
     def batch(df: DataFrame, batch_id: int) -> None:
         rows = model.transform(parse_reviews(df)).withColumnRenamed("prediction", "cluster")
         out = review_scores(rows)
-        now = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
-        keyed = out.select(
-            F.concat(F.lit("enter_model_res_"), "requestId").alias("key"), F.to_json(F.struct(*out.columns)).alias("value"),
-            now.alias("written_at"), (now + F.expr(f"INTERVAL {int(seconds)} SECONDS")).alias("expires_at"),
-        )
-        write_batch(keyed, folder, batch_id)
+        write_batch(answers(out, "enter_model_res_", "requestId", F.to_json(F.struct(*out.columns)), seconds, at), folder, batch_id)
 
     return batch
 
 
+def answers(rows: DataFrame, prefix: str, request: str, value, seconds: int = 600, at=None) -> DataFrame:
+    """One message per request under its key, with a lifetime. ``at``: fixed time, else that of the batch."""
+    now = F.current_timestamp() if at is None else F.lit(at)
+    return sinks.keyed(rows.select(F.concat(F.lit(prefix), F.col(request).cast("string")).alias("k"), value.alias("v")), "k", "v", seconds, now)
+
+
 # -------------------------------------------------------------- keyed profile
 
 
-def profile_state(rides: DataFrame, as_of: str) -> DataFrame:
-    """Running ride facts per person. Counters and first/last rows merge, so state per person has a fixed size."""
-    return profile.ride_facts(rides, as_of)
+def profile_state(rides: DataFrame) -> DataFrame:
+    """Running ride facts per person. Counters and first/last rows merge, so state per person has a fixed size;
+    the date they are judged at is given when they are read (``profile.ride_behaviour``)."""
+    return profile.ride_facts(rides)
 
 
 def profile_job(folder: str):
@@ -143,37 +158,45 @@ def profile_job(folder: str):
     return batch
 
 
-def latest_state(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    """The newest state of every key out of the update batches."""
-    df = spark.read.parquet(folder)
+def newest_state(df: DataFrame, key: str) -> DataFrame:
+    """The row of the newest batch per key."""
     cols = [c for c in df.columns if c not in (key, "batch")]
     return df.groupBy(key).agg(F.max_by(F.struct(*cols), "batch").alias("s")).select(key, "s.*")
 
 
+def latest_state(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    """The newest state of every key out of the update batches."""
+    return newest_state(spark.read.parquet(folder), key)
+
+
 # ------------------------------------------------------------ text accumulation
 
 
 def text_pieces(messages: DataFrame) -> DataFrame:
-    """Texts of a key glued with tabs, in pieces of one Arrow batch at most; no key is gathered in one place."""
-    def glue(batches):
-        for pdf in batches:
-            g = pdf.groupby("key", sort=False)["value"]
-            out = g.agg("\t".join).rename("text").reset_index()
-            out["rows"] = g.size().to_numpy()
-            yield out[["key", "text", "rows"]]
-
-    return messages.where(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", "value").mapInPandas(glue, "key string, text string, rows long")
+    """Pieces of the keys' texts: key, at (order within the batch), text. ``at`` is the message's offset where it has one."""
+    at = F.col("at") if "at" in messages.columns else F.monotonically_increasing_id()
+    return messages.where(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", at.cast("long").alias("at"), F.col("value").alias("text"))
 
 
 def concat_job(folder: str):
+    """A key's text grows by a piece per message; the pieces are the state, so a key that never ends needs no large row."""
     def batch(df: DataFrame, batch_id: int) -> None:
         write_batch(text_pieces(df), folder, batch_id)
 
     return batch
 
 
+def accumulated(spark: SparkSession, folder: str, keys: list | None = None) -> DataFrame:
+    """The text of every (asked) key so far, its pieces glued with tabs in the order they came."""
+    pieces = spark.read.parquet(folder)
+    pieces = pieces if keys is None else pieces.where(F.col("key").isin(keys))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("batch", "at", "text"))), lambda p: p["text"])
+    return pieces.groupBy("key").agg(F.array_join(texts, "\t").alias("text"))
+
+
 # ------------------------------------------------------------------------- CRM
 
+# Field names of the CRM messages.
 CRM_TEXT = "id name remark customerId saleProcess preSignDate loseReason winRate createTime updateTime changeTimestamp recentActivityRecordTime".split()
 CRM_NESTED = {
     "customer_name": ("customer", "name"), "businessCategory_name": ("businessCategory", "name"), "master_realname": ("master", "realname"),
@@ -195,8 +218,12 @@ def crm_schema() -> T.StructType:
 
 
 def crm_cells(messages: DataFrame) -> DataFrame:
-    """Cells of all records of a message: fixed fields, and dynamic fields that have exactly four properties."""
-    rows = messages.select(F.explode(F.from_json("value", crm_schema()).getField("data").getField("list")).alias("r"))
+    """Cells of all records of a message: fixed fields, and dynamic fields that have exactly four properties.
+
+    ``changed``: when the record changed, as it says itself; ``at``: the message's offset where it has one.
+    """
+    at = (F.col("at") if "at" in messages.columns else F.lit(0)).cast("long")
+    rows = messages.select(at.alias("at"), F.explode(F.from_json("value", crm_schema()).getField("data").getField("list")).alias("r"))
     base = F.map_from_arrays(
         F.array(*[F.lit(c) for c in [*CRM_TEXT[1:], *CRM_NESTED]]),
         F.array(*[F.col(f"r.{c}") for c in CRM_TEXT[1:]], *[F.col(f"r.{o}.{i}") for o, i in CRM_NESTED.values()]),
@@ -207,8 +234,8 @@ def crm_cells(messages: DataFrame) -> DataFrame:
     )
     families = F.array(F.struct(F.lit("baseInfo").alias("family"), base.alias("cells")), F.struct(F.lit("customField").alias("family"), custom.alias("cells")))
     return (
-        rows.select(F.col("r.id").alias("id"), F.explode(families).alias("f"))
-        .select("id", "f.family", F.explode("f.cells").alias("label", "value"))
+        rows.select(F.col("r.id").alias("id"), moment(F.col("r.changeTimestamp"), F.col("r.updateTime")).alias("changed"), "at", F.explode(families).alias("f"))
+        .select("id", "f.family", F.explode("f.cells").alias("label", "value"), "changed", "at")
         .where(F.col("id").isNotNull() & F.col("value").isNotNull() & (F.col("value") != "null"))
     )
 
@@ -220,9 +247,21 @@ def crm_job(folder: str):
     return batch
 
 
+def moment(*texts) -> Column:
+    """Milliseconds of the first text that is a number of them or a date."""
+    each = [F.coalesce(t.try_cast("bigint"), (t.try_cast("timestamp").cast("double") * 1000).cast("bigint")) for t in texts]
+    return F.coalesce(*each)
+
+
+def newest_cells(cells: DataFrame) -> DataFrame:
+    """Of every cell the value changed last, by the record's own time, then batch and offset."""
+    last = F.struct("changed", "batch", "at", "value")
+    return cells.groupBy("id", "family", "label").agg(F.max(last).alias("s")).select("id", "family", "label", "s.*")
+
+
 def crm_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest value of every cell; within one batch the largest value stands."""
-    return spark.read.parquet(folder).groupBy("id", "family", "label").agg(F.max_by("value", F.struct("batch", "value")).alias("value"))
+    """Latest value of every cell."""
+    return newest_cells(spark.read.parquet(folder)).select("id", "family", "label", "value")
 
 
 # ---------------------------------------------------------- answers on a stream
@@ -234,25 +273,46 @@ def parse(messages: DataFrame, fields: dict[str, str]) -> DataFrame:
     return messages.select(F.from_json("value", schema).alias("r")).select(*[F.col(f"r.{f}").alias(c) for c, f in fields.items()])
 
 
-def question_job(knowledge: DataFrame, folder: str, graph_known: DataFrame | None = None):
+#: Fixed value: the category whose entries every question may see.
+DEFAULT_CATEGORY = "默认"
+
+
+def question_job(knowledge: DataFrame, folder: str, nodes: DataFrame | None = None, edges: DataFrame | None = None, default: str = DEFAULT_CATEGORY, seconds: int = 600, at=None):
+    """Answers under ``robot_res_<question>`` for ten minutes. ``knowledge`` has a category; the index is built once, here."""
+    seen = session.materialise(matching.by_category(knowledge, default), "knowledge")
+    index = matching.knowledge_index(seen, ["category"])
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        q = parse(df, {"question_id": "questionId", "question": "question", "category": "category"})
-        write_batch(matching.qa_with_fallback(q, knowledge, graph_known), folder, batch_id)
+        with session.scope(df.sparkSession):
+            q = parse(df, {"question_id": "questionId", "question": "question", "category": "category"})
+            q = session.materialise(matching.asked_category(q, seen, default), "questions")
+            found = matching.qa_with_fallback(q, seen, group=["category"], nodes=nodes, edges=edges, index=index)
+            each = F.struct("level", "id", "overlap", "score", "way")
+            out = found.groupBy("question_id").agg(F.to_json(F.array_sort(F.collect_list(each))).alias("data"))  # k answers at most
+            out = q.select("question_id").distinct().join(out, "question_id", "left").withColumn("data", F.coalesce("data", F.lit("[]")))
+            write_batch(answers(out, "robot_res_", "question_id", F.col("data"), seconds, at), folder, batch_id)
 
     return batch
 
 
-def job_type_job(standard: DataFrame, mapping: DataFrame, folder: str):
+def job_type_job(standard: DataFrame, mapping: DataFrame, folder: str, seconds: int = 600, at=None):
+    """Job types under ``worktype_search_<message>`` for ten minutes."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        r = parse(df, {"msg_id": "msgId", "company": "insuranceCompany", "search": "searchStr"})
-        write_batch(matching.job_type_search(r, standard, mapping), folder, batch_id)
+        with session.scope(df.sparkSession):
+            r = parse(df, {"msg_id": "msgId", "company": "insuranceCompany", "search": "searchStr"})
+            out = matching.job_type_search(r, standard, mapping)
+            value = F.to_json(F.struct(*[c for c in out.columns if c != "msg_id"]))
+            write_batch(answers(out, "worktype_search_", "msg_id", value, seconds, at), folder, batch_id)
 
     return batch
 
 
 def payout_job(history: DataFrame, vocab: DataFrame, rules, folder: str, default: int = 4000):
+    index = matching.payout_index(history, vocab, rules)
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        c = parse(df, {"case_id": "caseId", "text": "text", "policy_no": "policyNo"})
-        write_batch(matching.payout_estimate(c, history, rules, vocab, default=default), folder, batch_id)
+        with session.scope(df.sparkSession):
+            c = parse(df, {"case_id": "caseId", "text": "text", "policy_no": "policyNo"})
+            write_batch(matching.payout_estimate(c, history, rules, vocab, default=default, index=index), folder, batch_id)
 
     return batch

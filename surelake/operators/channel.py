@@ -89,7 +89,6 @@ def channel_facts(chan, policy, insured, insured_term, endorse, summary, sum_lev
     monthly = people.groupBy("ent_id").agg(
         F.count("*").alias("months"), F.sum(F.col("data_val").try_cast("bigint")).alias("month_persons")
     )
-    active = ent._distinct_people(ent._valid(policy), insured.where(F.col("insure_policy_status") == "1"), "active")
     days = F.col("risk_period").cast("bigint")
     risk_pol = risk_period.groupBy("policy_no").agg(
         F.sum(days).alias("risk_days"), F.count(days).alias("risk_n"), F.count(F.when(days < 3, 1)).alias("risk_short")
@@ -104,11 +103,8 @@ def channel_facts(chan, policy, insured, insured_term, endorse, summary, sum_lev
         ent.policy_totals(policy).select("ent_id", "total_premium"),
         monthly,
         ent.regulation_times(policy, endorse),
-        active,
+        ent.people_facts(policy, insured).select("ent_id", "active", "total_insured_count", "total_insured_persons", "gender_n", "men"),
         ent.enterprise_size(sum_level),
-        ent.insured_times(policy, insured),
-        ent.insured_persons(policy, insured),
-        base.gender_counts(policy, insured).withColumnRenamed("persons", "gender_n"),
         base.age_sums(policy, insured_term).withColumnRenamed("persons", "age_n"),
         claim.ent_claim_facts(claims, policy),
         risk,

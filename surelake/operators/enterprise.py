@@ -187,6 +187,56 @@ def _distinct_people(policy: DataFrame, insured: DataFrame, label: str) -> DataF
     return people.join(policy, "policy_id").groupBy("ent_id").agg(F.countDistinct("insured_cert_no").alias(label))
 
 
+def people_facts(policy: DataFrame, insured: DataFrame) -> DataFrame:
+    """All person counts of an enterprise from one pass over the person rows and one join to the policies.
+
+    ``total_insured_count`` rows and ``total_insured_persons`` persons on valid policies, ``active`` persons in force
+    on them, ``cur_insured_persons`` in force on running ones, ``gender_n`` and ``men`` rows with a card,
+    ``active_cards`` rows in force with a card on valid policies. A count is null where there is none.
+    """
+    live, card = F.col("insure_policy_status") == "1", F.length("insured_cert_no") == 18
+    per = insured.groupBy("policy_id", "insured_cert_no").agg(
+        F.count("*").alias("n"), F.count_if(live).alias("live"), F.count_if(card).alias("cards"),
+        F.sum(F.when(card, S.id_is_male("insured_cert_no"))).alias("men"), F.count_if(live & card).alias("live_cards"),
+    )
+    named = S.not_blank("ent_id")
+    pol = policy.where(F.col("ent_id").isNotNull()).select(
+        "policy_id", "ent_id", F.coalesce(S.valid_policy() & named, F.lit(False)).alias("valid"),
+        F.coalesce((F.col("policy_status") == "1") & named, F.lit(False)).alias("running"),
+    )
+    person = per.join(pol, "policy_id").groupBy("ent_id", "insured_cert_no").agg(
+        F.sum(F.when(F.col("valid"), F.col("n"))).alias("n"), F.max("valid").alias("ever"),
+        F.max(F.col("valid") & (F.col("live") > 0)).alias("active"), F.max(F.col("running") & (F.col("live") > 0)).alias("now"),
+        F.sum("cards").alias("cards"), F.sum("men").alias("men"), F.sum(F.when(F.col("valid"), F.col("live_cards"))).alias("live_cards"),
+    )
+    known = F.col("insured_cert_no").isNotNull()
+
+    def some(x: Column) -> Column:
+        return F.nullif(x, F.lit(0))
+
+    return person.groupBy("ent_id").agg(
+        some(F.sum("n")).alias("total_insured_count"), some(F.count_if(known & F.col("ever"))).alias("total_insured_persons"),
+        some(F.count_if(known & F.col("active"))).alias("active"), some(F.count_if(known & F.col("now"))).alias("cur_insured_persons"),
+        some(F.sum("cards")).alias("gender_n"), F.sum("men").alias("men"), some(F.sum("live_cards")).alias("active_cards"),
+    )
+
+
+def people_labels(policy: DataFrame, insured: DataFrame, sum_level: DataFrame) -> DataFrame:
+    """``people_facts`` with the rate and the shortfall against the enterprise's size."""
+    number = F.col("ent_scale").try_cast("int")
+    size = sum_level.where(S.not_blank("ent_id")).groupBy("ent_id").agg(
+        F.max(number).alias("ent_scale"), F.max(F.when(F.length("ent_scale") < 10, number)).alias("short_scale")
+    )
+    rate = F.when(F.col("ent_scale") > 0, F.round(F.col("active") / F.col("ent_scale") * 100, 2))
+    gap = F.when(F.col("short_scale").isNotNull() & F.col("active_cards").isNotNull(), F.greatest(F.col("short_scale") - F.col("active_cards"), F.lit(0)))
+    return (
+        people_facts(policy, insured)
+        .join(size, "ent_id", "left")
+        .withColumns({"insured_rate": rate, "ent_potential_scale": gap.cast("bigint")})
+        .drop("short_scale")
+    )
+
+
 def insured_times(policy, insured) -> DataFrame:
     per_policy = insured.groupBy("policy_id").agg(F.count("*").alias("n"))
     return per_policy.join(_valid(policy), "policy_id").groupBy("ent_id").agg(F.sum("n").alias("total_insured_count"))
@@ -300,7 +350,6 @@ def insure_labels(policy, insured, endorse, summary, sum_level, work_level, clai
         regulation_times_monthly(policy, endorse, summary),
         premium_month_avg(policy, summary),
         premium_year_avg(policy, summary),
-        premium_per_person(policy, insured),
         job_type_count(policy, insured),
         job_type_ranked(policy, insured, work_level).groupBy("ent_id").agg(
             *[
@@ -310,13 +359,11 @@ def insure_labels(policy, insured, endorse, summary, sum_level, work_level, clai
         ),
         job_type_max_paid(policy, insured, work_level, claims),
         job_type_most_claims(policy, insured, claims),
-        insured_times(policy, insured),
-        insured_persons(policy, insured),
-        insured_persons_current(policy, insured),
-        insured_rate(policy, insured, sum_level),
-        potential_headcount(policy, insured, sum_level),
+        people_labels(policy, insured, sum_level).select(
+            "ent_id", "total_insured_count", "total_insured_persons", "cur_insured_persons", "insured_rate", "ent_potential_scale"
+        ),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, "ent_id", "full")
-    return out
+    return out.withColumn("avg_person_premium", S.ratio("total_premium", "total_insured_persons"))

@@ -38,15 +38,16 @@ WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - min(f{i}) OVER (
 
 def ent_wide(v):
     """Wide labels behind the enterprise features."""
+    people = E.people_labels(v.policy, v.insured, v.sum_level).select(
+        "ent_id", F.round(F.col("men") / F.col("gender_n") * 100, 2).alias("men_share"), F.round((F.col("gender_n") - F.col("men")) / F.col("gender_n") * 100, 2).alias("women_share"),
+        "cur_insured_persons", "ent_potential_scale")
     parts = [
-        B.gender_share(v.policy, v.insured),
+        people,
         B.insured_age_avg(v.policy, v.insured_term),
         C.risk_level_pivot(v.policy, v.insured, v.work_level),
         C.claim_labels(v.claims, v.policy).select("ent_id", "death_num", "disability_num", "report_num", "all_compensation", "pre_all_compensation"),
         C.risk_period_labels(v.policy, v.risk_period).select("ent_id", "avg_aging_risk"),
-        E.potential_headcount(v.policy, v.insured, v.sum_level),
         E.enterprise_size(v.sum_level),
-        E.insured_persons_current(v.policy, v.insured),
     ]
     out = v.policy.select("ent_id").distinct()
     for p in parts:

@@ -24,6 +24,18 @@ def test_label_store_replaces_only_what_is_written(spark, tmp_path):
     assert (got.x, got.y) == (9.0, "t")
 
 
+def test_what_was_computed_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "labels")
+    schema = "entity_id string, family string, label string, value string, num double"
+    sinks.write_labels(spark.createDataFrame([("a", "f", "x", "1", 1.0), ("a", "f", "y z", "1", 1.0), ("a", "g", "y", "t", None)], schema), path)
+    sinks.write_labels(spark.createDataFrame([("a", "f", "x", "2", 2.0)], schema), path, [("f", "x"), ("f", "y z")])
+    assert rows(sinks.read_labels(spark, path).select("label", "value")) == [("x", "2"), ("y", "t")]
+    days = str(tmp_path / "days")
+    sinks.replace_days(spark.createDataFrame([("1", "20200101"), ("2", "20200102")], "v string, day_id string"), days)
+    sinks.replace_days(spark.createDataFrame([], "v string, day_id string"), days, days=["20200102"])
+    assert rows(spark.read.parquet(days).select("v")) == [("1",)]
+
+
 def test_keyed_values_expire(spark, tmp_path):
     path = str(tmp_path / "keyed")
     df = spark.createDataFrame([("k", "old", "2020-01-01 00:00:00"), ("k", "new", "2020-01-01 00:05:00"), ("z", "gone", "2019-12-31 23:00:00")], "key string, v string, t string")
@@ -93,7 +105,7 @@ def test_crm_cells(spark):
     msg = """{"data":{"list":[{"id":"7","name":"n","remark":"null","customer":{"name":"c"},"fieldMap":{
       "F1":{"content":"v","a":"1","b":"2","c":"3"},"F2":{"content":"v","a":"1"}}},{"id":"8","name":"m","fieldMap":{}}]}}"""
     got = J.crm_cells(spark.createDataFrame([("k", msg)], "key string, value string"))
-    assert rows(got) == [("7", "baseInfo", "customer_name", "c"), ("7", "baseInfo", "name", "n"), ("7", "customField", "F1", "v"), ("8", "baseInfo", "name", "m")]
+    assert rows(got.select("id", "family", "label", "value")) == [("7", "baseInfo", "customer_name", "c"), ("7", "baseInfo", "name", "n"), ("7", "customField", "F1", "v"), ("8", "baseInfo", "name", "m")]
 
 
 def test_crm_latest_cell_wins(spark, tmp_path):
@@ -106,6 +118,57 @@ def test_crm_latest_cell_wins(spark, tmp_path):
     assert got.first()["value"] == newest
 
 
+def test_crm_newer_record_wins_within_and_across_batches(spark, tmp_path):
+    out = str(tmp_path / "crm")
+    item = lambda n, t: ("k", '{"data":{"list":[{"id":"7","name":"%s","updateTime":"%s","fieldMap":{}}]}}' % (n, t))
+    job = J.crm_job(out)
+    schema = "key string, value string"
+    job(spark.createDataFrame([item("zeta", "2020-01-01 00:00:00"), item("alpha", "2020-01-02 00:00:00")], schema), 0)
+    name = lambda: J.crm_table(spark, out).where("label = 'name'").first()["value"]
+    assert name() == "alpha"
+    job(spark.createDataFrame([item("stale", "2019-01-01 00:00:00")], schema), 1)
+    assert name() == "alpha"
+    job(spark.createDataFrame([item("last", "2020-01-03 00:00:00")], schema), 2)
+    assert name() == "last"
+    J.compact(spark, out, J.newest_cells, upto=2)
+    assert name() == "last" and spark.read.parquet(out).select("batch").distinct().count() == 1
+
+
+def test_a_batch_repeated_on_another_date_replaces_itself(spark, tmp_path):
+    out = str(tmp_path / "cdc")
+    batch = spark.createDataFrame([("open_ride", '{"a":"1"}')], "key string, value string")
+    for day in ("2020-01-01", "2020-01-02"):
+        J.route_job({"rides": ("ride", ["a"])}, out, day)(batch, 5)
+    got = spark.read.parquet(f"{out}/rides").collect()
+    assert len(got) == 1 and str(got[0].month) == "2020-01-02"
+
+
+def test_texts_accumulate_in_order(spark, tmp_path):
+    out = str(tmp_path / "texts")
+    job = J.concat_job(out)
+    job(spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("z", 1, "y"), ("k", 3, None)], "key string, at int, value string"), 0)
+    job(spark.createDataFrame([("k", 1, "c")], "key string, at int, value string"), 1)
+    job(spark.createDataFrame([("k", 1, "c")], "key string, at int, value string"), 1)
+    assert rows(J.accumulated(spark, out)) == [("k", "a\tb\tc"), ("z", "y")]
+    assert rows(J.accumulated(spark, out, ["z"])) == [("z", "y")]
+
+
+def test_batches_leave_no_scratch_folders(spark, tmp_path):
+    import os
+
+    k = spark.createDataFrame([(1, "red car", "x", "work"), (2, "blue sky", "y", "默认")], "id int, query string, answer string, category string")
+    job = J.question_job(k, str(tmp_path / "answers"), at="2020-01-01 00:00:00")
+    folder = os.path.dirname(session.scratch(spark, "x"))
+    counts = []
+    for n in range(4):
+        q = '{"questionId":"%d","question":"red sky","category":"work"}' % n
+        job(spark.createDataFrame([("robot", q)], "key string, value string"), n)
+        counts.append(len(os.listdir(folder)))
+    assert len(set(counts)) == 1
+    live = sinks.read_keyed(spark, str(tmp_path / "answers"), F.lit("2020-01-01 00:05:00").cast("timestamp"))
+    assert live.count() == 4 and all(r.key.startswith("robot_res_") and '"way"' in r.value for r in live.collect())
+
+
 def test_stream_state_equals_batch(spark, inputs, tmp_path):
     import datetime as dt
 
@@ -116,11 +179,15 @@ def test_stream_state_equals_batch(spark, inputs, tmp_path):
         spark.createDataFrame(base[i::3], schema).coalesce(1).write.parquet(f"{src}/{i}")
     stream = spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     out = str(tmp_path / "out")
-    J.run(J.profile_state(stream, "2020-02-01"), J.profile_job(out), str(tmp_path / "cp"), mode="update").awaitTermination()
+    J.run(J.profile_state(stream), J.profile_job(out), str(tmp_path / "cp"), mode="update").awaitTermination()
     state = J.latest_state(spark, out, "insured_cert_no")
-    batch = profile.ride_facts(spark.createDataFrame(base, schema), "2020-02-01")
+    batch = profile.ride_facts(spark.createDataFrame(base, schema))
     assert rows(profile.ride_behaviour(state, "2020-02-01")) == rows(profile.ride_behaviour(batch, "2020-02-01"))
     assert spark.read.parquet(out).select("batch").distinct().count() == 3
+    # the state knows no date: later the rides are no longer recent
+    assert profile.ride_behaviour(state, "2020-02-01").first().frequency != "null" and profile.ride_behaviour(state, "2020-09-01").first().frequency == "null"
+    J.compact(spark, out, lambda d: J.newest_state(d, "insured_cert_no").withColumn("batch", F.lit(0)), upto=2)
+    assert spark.read.parquet(out).count() == 1 and rows(J.latest_state(spark, out, "insured_cert_no").select("rides")) == [(len(base),)]
 
 
 def test_review_score(spark):

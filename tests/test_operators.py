@@ -25,7 +25,7 @@ def frame(spark, schema, *data):
 
 @pytest.mark.parametrize(
     "months,length",
-    [(["201802", "201803", "201804", "201805", "201901", "201902", "201903", "201904", "201905", "201906"], 6), (["201802"], 1), ([None], 0),
+    [(["201607", "201608", "201609", "201703", "201704", "201705", "201706", "201707"], 5), (["201611"], 1), ([None], 0),
      (["201911", "201912", "202001", "202001"], 3), (["201901", "201903"], 1)],
 )
 def test_streak(spark, months, length):
@@ -376,6 +376,69 @@ def test_graph_rounds(spark):
     assert rows(graph.filter_relations(frame(spark, "src string, type string, dst string", ("a", "lives in", "b"), ("a", "owns", "c")), frame(spark, "token string", ("lives",)))) == [("a", "lives in", "b")]
 
 
+def test_graph_of_many_questions(spark):
+    e = frame(spark, "src string, type string, dst string", ("a", "r", "b"), ("b", "r", "c"), ("x", "r", "y"), ("y", "s", "c"), ("c", "r", "d"), ("m", "r", "n"))
+    seeds = frame(spark, "q int, id string", (1, "a"), (2, "a"), (2, "x"), (3, "a"), (3, "m"), (4, "zz"))
+    got = graph.k_hop_each(seeds, e, ["q"])
+    assert rows(got) == [(1, "a", "r", "b"), (2, "b", "r", "c"), (2, "y", "s", "c"), (3, "a", "r", "b"), (3, "m", "r", "n")]
+    nodes = frame(spark, "id string, name string", ("n1", "red car"), ("n2", "blue sky"))
+    assert rows(graph.match_nodes(nodes, frame(spark, "q int, token string", (1, "red"), (2, "sky"), (2, "car")), ["q"])) == [(1, "n1"), (2, "n1"), (2, "n2")]
+
+
+def test_questions_see_their_category_and_the_default(spark):
+    k = frame(spark, "id int, query string, answer string, category string", (1, "red car", "x", "work"), (2, "red car", "y", "business"), (3, "red car", "z", "any"))
+    seen = matching.by_category(k, "any")
+    q = matching.asked_category(frame(spark, "question_id int, question string, category string", (7, "red", "work"), (8, "red", "other"), (9, "red", None)), seen, "any")
+    got = matching.qa_topk(q, seen, group=["category"], index=matching.knowledge_index(seen, ["category"]))
+    assert rows(got.select("question_id", "id")) == [(7, 1), (7, 3), (8, 3), (9, 3)]
+
+
+def test_job_type_premium_counts_insured_days(spark):
+    policy = frame(spark, "policy_id int, policy_code string, policy_status string, effect_date string", (1, "P", "9", "2020-01-01"), (2, "Q", "1", "2031-01-01"))
+    insured = frame(spark, "policy_id int, insured_id string, insured_work_type string", (1, "a", "mason"), (1, "b", "mason"), (1, "c", ""), (2, "d", "mason"))
+    term = frame(spark, "policy_id int, insured_id string, insured_start_date string, insured_end_date string", (1, "a", "2020-01-01", "2020-01-10"), (1, "b", "2020-01-01", "2020-12-30"))
+    plan = frame(spark, "policy_code string, sku_charge_type string, sku_price double", ("P", "2", 365.0), ("P", "1", 7.0))
+    r = premium.job_type_premium(policy, insured, term, plan, "2030-01-01").collect()
+    assert [tuple(x) for x in r] == [("mason", 10.0 + 365.0 + 2 * 7.0, 4)]  # the ended cover charges its ten days only
+
+
+def test_each_plan_of_a_policy_accrues(spark):
+    policy = frame(spark, "policy_id int, policy_code string, ent_id string, policy_status string, insure_code string, start_date string, end_date string, sku_charge_type string, sku_price double",
+                   (1, "P", "e", "1", "x", "2020-01-01", "2020-01-10", "1", 99.0))
+    term = frame(spark, "policy_id int, insured_id string, insured_cert_no string, insured_start_date string, insured_end_date string", (1, "a", "c", "2020-01-01", "2020-01-05"))
+    plan = frame(spark, "policy_code string, sku_charge_type string, sku_price double", ("P", "1", 10.0), ("P", "2", 20.0))
+    got = premium.premium_to_date(policy, term, "2020-01-03", plan=plan).first()
+    assert float(got.charged_premium) == 3 * 2.0 + 3 * 2.0
+
+
+def test_person_facts_equal_the_single_labels(inputs):
+    v = inputs
+    facts = {r.ent_id: r for r in enterprise.people_labels(v.policy, v.insured, v.sum_level).collect()}
+    single = {
+        "total_insured_count": enterprise.insured_times(v.policy, v.insured), "total_insured_persons": enterprise.insured_persons(v.policy, v.insured),
+        "cur_insured_persons": enterprise.insured_persons_current(v.policy, v.insured), "insured_rate": enterprise.insured_rate(v.policy, v.insured, v.sum_level),
+        "ent_potential_scale": enterprise.potential_headcount(v.policy, v.insured, v.sum_level),
+    }
+    for name, df in single.items():
+        assert {r.ent_id: r[name] for r in df.collect()} == {e: r[name] for e, r in facts.items() if r[name] is not None}, name
+
+
+def test_names_by_their_rarest_word(spark):
+    std = frame(spark, "id int, stype string", (1, "crane driver"), (2, "truck driver"), (3, "cook"))
+    names = frame(spark, "name string", ("driver",), ("crane",), ("truck loader",))
+    every = rows(matching.worktype_standardise(std, names).select("id", "name", "result"))
+    kept = rows(matching.worktype_standardise(std, names, only_contained=True).select("id", "name", "result"))
+    assert kept == [x for x in every if x[2] != "-1"] == [(1, "crane", "crane driver"), (1, "driver", "crane driver"), (2, "driver", "truck driver")]
+
+
+def test_cluster_centres(spark):
+    t = frame(spark, "a double, b double", (0.0, 0.0), (1.0, 1.0))
+    from surelake.operators import models
+
+    got = models.centres(models.train_kmeans(t, ["a", "b"], k=2), ["a", "b"])
+    assert sorted((r.a, r.b) for r in got.collect()) == [(0.0, 0.0), (1.0, 1.0)]
+
+
 def test_vocabulary(spark):
     t = frame(spark, "text string", *[("手术 骨折",)] * 10, ("骨折 abcd 手",))
     assert rows(matching.vocab_frequent(t)) == [("手术", 10), ("骨折", 11)]

@@ -58,9 +58,9 @@ def product_flags_by_id(facts: DataFrame) -> DataFrame:
 
 
 def product_flags_by_mobile(facts: DataFrame) -> DataFrame:
-    """Flags by mobile; a mobile that carries more than one id gives none."""
-    card = F.coalesce("insured_cert_no", F.lit(""))
-    flags = flags_per(facts, "insured_mobile", F.min(card).alias("a"), F.max(card).alias("b")).where(F.col("a") == F.col("b")).drop("a", "b")
+    """Flags by mobile; a mobile that carries more than one id gives none. A missing id is no further id."""
+    card = F.col("insured_cert_no")
+    flags = flags_per(facts, "insured_mobile", F.min(card).alias("a"), F.max(card).alias("b")).where(F.col("a").eqNullSafe(F.col("b"))).drop("a", "b")
     return _attach(facts, flags, "insured_mobile")
 
 

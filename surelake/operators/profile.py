@@ -84,6 +84,7 @@ def profile_person(sources: DataFrame, as_of: str) -> DataFrame:
 
 def profile_json(profile: DataFrame) -> DataFrame:
     """The nested JSON document of a profile."""
+    # Key names of the document, spelt as its readers expect them.
     return profile.select(
         "cert",
         F.to_json(

@@ -439,6 +439,13 @@ def test_cluster_centres(spark):
     assert sorted((r.a, r.b) for r in got.collect()) == [(0.0, 0.0), (1.0, 1.0)]
 
 
+def test_a_missing_id_is_no_second_id(spark):
+    f = frame(spark, "insured_name string, insured_cert_no string, insured_mobile string, product_type string",
+              ("a", "1", "m", "雇主"), ("a", None, "m", "体育"), ("b", "2", "n", "雇主"), ("b", "3", "n", "雇主"), ("c", None, "o", "ofo"))
+    got = {(r.insured_name, r.insured_cert_no): (r.employer, r.sport, r.ofo) for r in facts.product_flags_by_mobile(f).collect()}
+    assert got == {("a", "1"): (1, 1, 0), ("a", None): (1, 1, 0), ("b", "2"): (0, 0, 0), ("b", "3"): (0, 0, 0), ("c", None): (0, 0, 1)}
+
+
 def test_vocabulary(spark):
     t = frame(spark, "text string", *[("手术 骨折",)] * 10, ("骨折 abcd 手",))
     assert rows(matching.vocab_frequent(t)) == [("手术", 10), ("骨折", 11)]

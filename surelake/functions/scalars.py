@@ -342,17 +342,24 @@ def char_counts(c: Col) -> Column:
     )
 
 
-def char_cosine(a: Col, b: Col) -> Column:
-    """Cosine of the character-count vectors of two texts, at most 1."""
-    ta, tb = char_counts(a), char_counts(b)
+def char_norm(counts: Col) -> Column:
+    """Length of a character-count vector."""
+    return F.sqrt(F.aggregate(F.map_values(col(counts)), F.lit(0.0), lambda s, v: s + v * v))
 
-    def norm(m):
-        return F.sqrt(F.aggregate(F.map_values(m), F.lit(0.0), lambda s, v: s + v * v))
 
+def count_cosine(a: Col, norm_a: Col, b: Col, norm_b: Col) -> Column:
+    """Cosine of two character-count vectors whose lengths are known, at most 1."""
+    ta, tb = col(a), col(b)
     dot = F.aggregate(
         F.map_keys(ta), F.lit(0.0), lambda s, k: s + F.coalesce(F.try_element_at(ta, k) * F.try_element_at(tb, k), F.lit(0))
     )
-    return F.least(dot / (norm(ta) * norm(tb)), F.lit(1.0))
+    return F.least(dot / (col(norm_a) * col(norm_b)), F.lit(1.0))
+
+
+def char_cosine(a: Col, b: Col) -> Column:
+    """Cosine of the character-count vectors of two texts, at most 1."""
+    ta, tb = char_counts(a), char_counts(b)
+    return count_cosine(ta, char_norm(ta), tb, char_norm(tb))
 
 
 # Positions inside the five-digit term code.

@@ -1,5 +1,6 @@
 """Feature, model and review queries."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import session
@@ -167,9 +168,9 @@ query("model_kmeans", "SELECT count(DISTINCT insured_cert_no) AS members, 0 AS s
 
 def _kmeans_costs(v):
     """Cost around one centre, and whether more centres cost less."""
-    got = session.materialise(M.kmeans_sweep(session.materialise(_emb(v), "sweep"), DIMS), "costs")
-    one = got.where("k = 1").select(F.col("cost").alias("whole"))
-    return got.join(F.broadcast(one), F.lit(True)).select("k", F.when(F.col("k") == 1, F.round("cost", 4)).alias("cost"), (F.col("cost") <= F.col("whole") + 1e-9).alias("less"))
+    got = M.kmeans_sweep(session.materialise(_emb(v), "sweep"), DIMS)
+    whole = F.max(F.when(F.col("k") == 1, F.col("cost"))).over(Window.partitionBy(F.lit(1)))  # one row per k
+    return got.select("k", F.when(F.col("k") == 1, F.round("cost", 4)).alias("cost"), (F.col("cost") <= whole + 1e-9).alias("less"))
 
 
 query("model_kmeans_sweep", f"""

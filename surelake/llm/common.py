@@ -96,7 +96,7 @@ class WordTable:
 def coded(words: pa.Array) -> tuple[np.ndarray, list[str]]:
     """Words as numbers into the list of different words."""
     d = words.dictionary_encode()
-    return d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_pylist()
+    return d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def list_lengths(lists: pa.Array) -> np.ndarray:

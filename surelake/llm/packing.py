@@ -9,6 +9,7 @@ of powers of two, which need no padding.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -20,54 +21,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from surelake.llm.byte_bpe import as_characters
 from surelake.llm.common import WordTable, coded, list_lengths, offsets_of, run_sums, shuffle_partitions, small_batches
 
 HASHED, DIMS, BITS = 1024, 4, 12
+#: Latin letters, and ASCII marks but for the apostrophe.
+LETTERS, MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]"
+#: Letters in lower case that neither the normalizer nor the pre-tokenizer changes or parts.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
-def trimmed(word: str) -> tuple[str, str]:
-    """A word in lower case without one final stop or comma, and that mark.
+def trimmed(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words as a stem and a tail whose tokens follow each other.
 
-    Both are pieces of their own for the tokenizer, which lowers ASCII letters itself.
+    The tokenizer parts a run of letters from the run of marks after it, and lowers letters. So Latin letters
+    with only ASCII marks after them, none an apostrophe, become a stem in lower case and a tail; any
+    other word is a stem as it is.
     """
-    if word.isascii() and "<|" not in word:
-        word = word.lower()
-    if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() and word[-2] < "\u0100":
-        return word[:-1], word[-1]
-    return word, ""
+    both = pc.match_substring_regex(words, f"^{LETTERS}{MARKS}*$")
+    stems = pc.if_else(both, pc.utf8_lower(pc.replace_substring_regex(words, f"{MARKS}+$", "")), words)
+    return stems, pc.if_else(both, pc.replace_substring_regex(words, f"^{LETTERS}", ""), "")
 
 
 class Ids:
     """Token ids of whole texts by the tokenizers library, each different word encoded once.
 
-    White space parts the tokenizer's pieces, so a text's ids are those of its words in turn.
+    White space parts the tokenizer's pieces, so a text's ids are those of its words in turn. A word of plain
+    lower-case letters passes its normalizer and pre-tokenizer as one piece and goes to its BPE model directly.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.stems = WordTable(self._encode, np.uint32)
-        self.words = WordTable(self._words, np.uint32)
+        self.merged = self.model.model.tokenize
+        self.stems = WordTable(self._encode, np.uint32, limit=200_000)
 
     def _encode(self, words: list[str]):
-        found = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        found = [[t.id for t in self.merged(w if w.isascii() else as_characters(w.encode()))] if PLAIN.fullmatch(w) else None for w in words]
+        other = iter(self.model.encode_batch_fast([w for w, ids in zip(words, found) if ids is None], add_special_tokens=False))
+        found = [next(other).ids if ids is None else ids for ids in found]
         return np.fromiter(map(len, found), np.int64, len(found)), np.array([i for ids in found for i in ids], np.uint32)
 
-    def _words(self, words: list[str]):
-        parts = [trimmed(w) for w in words]
-        both = [p for pair in parts for p in pair if p]
-        counts = np.fromiter((1 + bool(mark) for _, mark in parts), np.int64, len(parts))
-        picked = self.stems.slots(both)
-        return run_sums(self.stems.lengths[picked], counts), self.stems.take(picked)
-
     def encode(self, texts: pa.Array, last: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text and ``last`` after them: how many, all ids)."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        index, words = coded(split.flatten())
-        slots = self.words.slots([w or " " for w in words])[index]
-        per_text = run_sums(self.words.lengths[slots], list_lengths(split))
-        ids = self.words.take(slots)
+        words = split.flatten().dictionary_encode()
+        parts = pa.concat_arrays(trimmed(words.dictionary))
+        index, known = coded(parts)
+        pair = self.stems.slots(known)[index].reshape(2, -1)[:, words.indices]  # stem and tail of each word
+        per_text = run_sums(self.stems.lengths[pair].sum(axis=0), list_lengths(split))
+        ids = self.stems.take(pair.T.ravel())
         ends = np.cumsum(per_text + 1)
         out = np.full(ends[-1] if len(ends) else 0, last, np.uint32)
         inner = np.ones(len(out), bool)
@@ -85,46 +89,41 @@ def projection() -> np.ndarray:
     return np.random.default_rng(11).standard_normal((HASHED, DIMS)) / np.sqrt(HASHED)
 
 
-def hilbert_key(point: np.ndarray) -> int:
-    """Place on the Hilbert curve of a grid point with ``BITS`` bits per dimension."""
-    x = [int(v) for v in point]
-    top = 1 << (BITS - 1)
-    q = top
+def hilbert_keys(points: np.ndarray) -> np.ndarray:
+    """Places on the Hilbert curve of grid points, one row each with ``BITS`` bits per dimension."""
+    x = points.astype(np.int64).T.copy()
+    q = 1 << (BITS - 1)
     while q > 1:  # undo the turns and mirrorings of the curve, from the largest cell down
         low = q - 1
         for i in range(DIMS):
-            if x[i] & q:
-                x[0] ^= low
-            else:
-                swap = (x[0] ^ x[i]) & low
-                x[0] ^= swap
-                x[i] ^= swap
+            mirrored = (x[i] & q) > 0
+            swap = np.where(mirrored, 0, (x[0] ^ x[i]) & low)
+            x[0] ^= np.where(mirrored, low, swap)
+            x[i] ^= swap
         q >>= 1
     for i in range(1, DIMS):
         x[i] ^= x[i - 1]
-    turn, q = 0, top
+    turn = np.zeros_like(x[0])
+    q = 1 << (BITS - 1)
     while q > 1:
-        if x[-1] & q:
-            turn ^= q - 1
+        turn ^= np.where(x[-1] & q, q - 1, 0)
         q >>= 1
-    key = 0
+    key = np.zeros_like(turn)
     for bit in range(BITS - 1, -1, -1):
-        for v in x:
-            key = key << 1 | ((v ^ turn) >> bit & 1)
+        for i in range(DIMS):
+            key = key << 1 | ((x[i] ^ turn) >> bit & 1)
     return key
 
 
 def curve_keys(counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Hilbert key of each document from its token ids."""
-    side = projection()
-    out = np.zeros(len(counts), np.int64)
+    bins = (ids.astype(np.int64) * 40503 >> 4) % HASHED
+    hashed = np.zeros((len(counts), HASHED))
     ends = np.cumsum(counts)
     for n, (a, b) in enumerate(zip(ends - counts, ends)):
-        hashed = np.sqrt(np.bincount((ids[a:b].astype(np.int64) * 40503 >> 4) % HASHED, minlength=HASHED))
-        point = (hashed / np.sqrt(b - a)) @ side * np.sqrt(HASHED)
-        grid = np.clip((np.tanh(point) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
-        out[n] = hilbert_key(grid)
-    return out
+        hashed[n] = np.bincount(bins[a:b], minlength=HASHED)
+    points = np.sqrt(hashed / np.maximum(counts, 1)[:, None]) @ projection() * np.sqrt(HASHED)
+    return hilbert_keys(np.clip((np.tanh(points) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1))
 
 
 def keyed(docs: DataFrame, path: str, last: int, with_ids: bool, splitters=None) -> DataFrame:

@@ -227,10 +227,10 @@ def test_packing(docs, empty, limits):
 def test_hilbert_neighbours_touch(monkeypatch):
     monkeypatch.setattr(packing, "BITS", 2)
     monkeypatch.setattr(packing, "DIMS", 3)
-    points = [(a, b, c) for a in range(4) for b in range(4) for c in range(4)]
-    path = sorted(points, key=packing.hilbert_key)
-    assert sorted(map(packing.hilbert_key, points)) == list(range(64))
-    assert all(sum(abs(x - y) for x, y in zip(a, b)) == 1 for a, b in zip(path, path[1:]))
+    points = np.array([(a, b, c) for a in range(4) for b in range(4) for c in range(4)])
+    keys = packing.hilbert_keys(points)
+    path = points[np.argsort(keys)]
+    assert sorted(keys) == list(range(64)) and (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
 
 
 def test_pieces_of_the_given_documents(spark):

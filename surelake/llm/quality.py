@@ -53,7 +53,8 @@ class Votes:
             return
         seen = (counts > 0).sum(axis=0)
         self.weight = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + 1
-        x = counts * self.weight
+        x = counts  # in place: the matrix is the largest thing the driver holds
+        x *= self.weight
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         # randomised range finder with two power steps
         basis = np.random.default_rng(1).standard_normal((WIDTH, dims + 16)).astype(np.float32)
@@ -61,10 +62,13 @@ class Votes:
             basis, _ = np.linalg.qr(x.T @ (x @ basis))
         _, _, rows = np.linalg.svd(x @ basis, full_matrices=False)
         self.space = (basis @ rows.T[:, :dims]).astype(np.float32)
-        self.vectors = self._placed(counts)
+        self.vectors = self._unit(x @ self.space)
 
     def _placed(self, counts: np.ndarray) -> np.ndarray:
-        v = (counts * self.weight) @ self.space
+        return self._unit((counts * self.weight) @ self.space)
+
+    @staticmethod
+    def _unit(v: np.ndarray) -> np.ndarray:
         return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
     def score(self, counts: np.ndarray, block: int = 512) -> np.ndarray:
@@ -83,16 +87,16 @@ class Votes:
         return out
 
 
-def labelled_ids(labels: DataFrame, column: str, per_class: int) -> DataFrame:
-    """(doc_id, label): up to ``per_class`` rows of each class outside the held-out fold, by the hash of their id."""
+def labelled_ids(labels: DataFrame, column: str, per_class: tuple[int, int]) -> DataFrame:
+    """(doc_id, label): up to so many rows of class 0 and of class 1 outside the held-out fold, by the hash of their id."""
     known = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(column).alias("label"))
-    picked = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    picked = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[c]) for c in (0, 1)]
     return picked[0].unionByName(picked[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Votes:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> Votes:
     """The model of at most ``per_class`` labelled documents of each class, that is what the driver holds at most."""
-    picked = docs.select("doc_id", "text").join(F.broadcast(labelled_ids(labels, "quality", per_class)), "doc_id")  # 2 x per_class rows
+    picked = docs.select("doc_id", "text").join(F.broadcast(labelled_ids(labels, "quality", (per_class, per_class))), "doc_id")  # 2 x per_class rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -100,9 +104,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Votes:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())], ["doc_id", "label", "counts"])
 
     rows = picked.mapInArrow(run, "doc_id long, label int, counts binary").toPandas().sort_values(["doc_id", "label", "counts"])
-    counts = np.frombuffer(b"".join(rows.counts), np.float16).reshape(-1, WIDTH).astype(np.float32)
+    known_labels = rows.label.to_numpy()
+    counts = np.zeros((len(rows), WIDTH), np.float32)
+    for n, raw in enumerate(rows.pop("counts")):
+        counts[n] = np.frombuffer(raw, np.float16)
+    del rows
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out()).agg(F.avg("quality")).first()[0]
-    return Votes(counts, rows.label.to_numpy(), 0.5 if known is None else float(known))
+    return Votes(counts, known_labels, 0.5 if known is None else float(known))
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,15 +121,17 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, doc_id: st
     of these three names in ``docs`` are replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text"), labels))
-    return with_scores(docs, lambda texts: model.value.score(pair_counts(texts)), threshold, doc_id, text)
+    return with_scores(docs, lambda: lambda texts: model.value.score(pair_counts(texts)), threshold, doc_id, text)
 
 
-def with_scores(docs: DataFrame, scores, threshold: float, doc_id: str, text: str) -> DataFrame:
-    """Rows with held_out, score and predicted, texts going through ``scores`` in small batches."""
+def with_scores(docs: DataFrame, scorer, threshold: float, doc_id: str, text: str) -> DataFrame:
+    """Rows with held_out, score and predicted. Each task calls ``scorer`` once for a function of texts, which it
+    gives small batches; what that function remembers goes with the task."""
     given = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text):
+        scores = scorer()
+        for batch in small_batches(batches, text, 3 << 20):
             got = pa.array(np.asarray(scores(batch.column(text).to_pylist()), np.float64))
             yield pa.RecordBatch.from_arrays([*batch.columns, got], [*batch.schema.names, "score"])
 

@@ -19,15 +19,21 @@ from surelake.llm.quality import labelled_ids, with_scores
 
 BUCKETS = 1 << 16
 WINDOW = 3
-WORD = re.compile(r"[^\s.,;:!?()\[\]{}\"|]+")
+#: Marks part words; a word has at least one letter.
+WORD = re.compile(r"[^\s.,;:!?()\[\]{}\"|]*[^\W\d_][^\s.,;:!?()\[\]{}\"|]*")
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def gram_ids(words: list[str], low: int = 3, high: int = 6) -> tuple[np.ndarray, np.ndarray]:
-    """(number of n-grams, bucket of each) per word marked with < and >, for all words at once."""
+def gram_ids(words: list[str], low: int = 3, high: int = 6, chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """(number of n-grams, bucket of each) per word marked with < and >, a chunk of the words at a time."""
+    parts = [_gram_ids(words[at : at + chunk], low, high) for at in range(0, len(words), chunk)] or [(np.zeros(0, np.int64), np.zeros(0, np.uint16))]
+    return np.concatenate([n for n, _ in parts]), np.concatenate([g for _, g in parts])
+
+
+def _gram_ids(words: list[str], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     marked = "".join([f"<{w}>" for w in words])
     data = np.frombuffer(marked.encode("utf-32-le"), np.uint32).astype(np.uint64)
     length = np.fromiter(map(len, words), np.int64, len(words)) + 2
@@ -35,21 +41,21 @@ def gram_ids(words: list[str], low: int = 3, high: int = 6) -> tuple[np.ndarray,
     owner = np.repeat(np.arange(len(words)), length)
     rolled, found, word_of = np.zeros(len(data), np.uint64), [], []
     for n in range(1, high + 1):
+        if len(data) < n:
+            break
         rolled = rolled[: len(data) - n + 1] * np.uint64(0x100000001B3) + data[n - 1 :] + np.uint64(n)
         if n >= low:
             inside = np.arange(len(rolled)) + n <= ends[: len(rolled)]
-            found.append((rolled[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48))
+            found.append(((rolled[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16))
             word_of.append(owner[: len(rolled)][inside])
-        if len(rolled) <= 1:
-            break
     word_of = np.concatenate(word_of)
     order = np.argsort(word_of, kind="stable")
-    return np.bincount(word_of, minlength=len(words)), np.concatenate(found).astype(np.int64)[order]
+    return np.bincount(word_of, minlength=len(words)), np.concatenate(found)[order]
 
 
-def sums_by(group: np.ndarray, values: np.ndarray, groups: int) -> np.ndarray:
-    """Sums of the columns of ``values`` (one row per dimension) that belong to each group."""
-    return np.stack([np.bincount(group, v, groups) for v in values]).astype(np.float32)
+def sums_by(group: np.ndarray, values: np.ndarray, at: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the columns ``at`` of ``values`` (one row per dimension) that belong to each group."""
+    return np.stack([np.bincount(group, v[at], groups).astype(np.float32) for v in values])
 
 
 class Model:
@@ -59,30 +65,36 @@ class Model:
         self.out = (rng.standard_normal((2, dims)) / dims).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
         self.shift = 0.0
-        self.words: WordTable | None = None
 
     def fit(self, texts: list[str], labels: np.ndarray, rounds: int = 40, rate: float = 0.1, least_docs: int = 6) -> None:
-        """Adam on three quarters of the documents at once, the rest set the threshold. The loss is that of each
-        document's smoothly pooled windows; n-grams of fewer than ``least_docs`` documents are not learned."""
+        """Adam on some 1200 documents at once, three quarters of a class at most; the rest set the threshold. The loss is that of each
+        document's smoothly pooled windows; n-grams whose words occur in fewer than ``least_docs`` documents are not learned."""
         split = [words_of(t) for t in texts]
         usable = [n for n, w in enumerate(split) if w]
         if len(set(labels[usable])) < 2:
             share = float(np.mean(labels)) if len(labels) else 0.0
             self.out[:], self.shift = 0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
             return
-        chosen = [n for k, n in enumerate(usable) if k % 4 or len(usable) < 40]
-        rest = [n for k, n in enumerate(usable) if not k % 4] if len(usable) >= 40 else usable
+        toxic, clean = ([n for n in usable if labels[n] == k] for k in (1, 0))
+        if min(len(toxic), len(clean)) < 20:
+            chosen = rest = usable
+        else:
+            a, b = (min(3 * len(c) // 4, max(600, 1200 - 3 * len(o) // 4)) for c, o in ((toxic, clean), (clean, toxic)))
+            chosen, rest = toxic[:a] + clean[:b], toxic[a:] + clean[b:]
         index: dict[str, int] = {}
         docs = [np.array([index.setdefault(w, len(index)) for w in split[n]], np.int64) for n in chosen]
         y = labels[chosen].astype(np.float32)
         size, grams = gram_ids(list(index))
-        word_of = np.repeat(np.arange(len(size)), size)
+        word_of = np.repeat(np.arange(len(size), dtype=np.int32), size)
         length = np.array([len(d) for d in docs])
         words, owner = np.concatenate(docs), np.repeat(np.arange(len(docs)), length)
-        spread = self._document_counts(words, owner, size, grams)
-        known = spread[grams] >= least_docs
+        # in how many documents the words of an n-gram occur
+        seen = np.bincount(np.unique(owner * np.int64(len(size)) + words) % len(size), minlength=len(size))
+        known = np.bincount(grams, seen[word_of], BUCKETS)[grams] >= least_docs
         grams, word_of = grams[known], word_of[known]
-        bucket, local = np.unique(grams, return_inverse=True)
+        bucket = np.unique(grams)
+        local = np.searchsorted(bucket, grams).astype(np.int32)
+        del grams, known
         per_doc = (length + WINDOW - 1) // WINDOW
         doc_at = np.cumsum(per_doc) - per_doc
         doc_of = np.repeat(np.arange(len(docs)), per_doc)
@@ -94,8 +106,8 @@ class Model:
         moment = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
         for step in range(1, rounds + 1):
             e, out, bias = params
-            vec = sums_by(word_of, e[:, local], len(size)) / size
-            win = sums_by(window, vec[:, words], len(windows)) / windows
+            vec = sums_by(word_of, e, local, len(size)) / size
+            win = sums_by(window, vec, words, len(windows)) / windows
             z = (out[1] - out[0]) @ win + bias[1] - bias[0]
             top = np.maximum.reduceat(z, doc_at)
             soft = np.exp(z - top[doc_of])
@@ -104,8 +116,8 @@ class Model:
             p = 1 / (1 + np.exp(-np.clip(pooled, -30, 30)))
             dz = ((p - y) * weight)[doc_of] * soft / total[doc_of]
             dlog = np.stack([-dz, dz]).astype(np.float32)
-            dvec = sums_by(words, (out.T @ dlog / windows)[:, window], len(size)) / size
-            de = sums_by(local, dvec[:, word_of], len(bucket))
+            dvec = sums_by(words, out.T @ dlog / windows, window, len(size)) / size
+            de = sums_by(local, dvec, word_of, len(bucket))
             grads = [de + 2e-6 * e, dlog @ win.T + 1e-4 * out, dlog.sum(1)]
             for p_, g, (m, v) in zip(params, grads, moment):
                 m += 0.1 * (g - m)
@@ -115,22 +127,10 @@ class Model:
         self.grams[:, bucket], self.out, self.bias = params
         self._calibrate([texts[n] for n in rest], labels[rest])
 
-    @staticmethod
-    def _document_counts(words: np.ndarray, owner: np.ndarray, size: np.ndarray, grams: np.ndarray) -> np.ndarray:
-        """In how many documents each bucket occurs."""
-        pairs = np.unique(owner * np.int64(len(size)) + words)
-        owner, words = pairs // len(size), pairs % len(size)
-        seen = np.zeros(BUCKETS, np.int64)
-        at = offsets_of(size)
-        ends = np.cumsum(size[words])
-        where = np.arange(ends[-1]) - np.repeat(ends - size[words] - at[words], size[words])
-        cells = np.unique(np.repeat(owner, size[words]) * BUCKETS + grams[where])
-        np.add.at(seen, cells % BUCKETS, 1)
-        return seen
-
     def _calibrate(self, texts: list[str], labels: np.ndarray) -> None:
         """Shift of the logit at which 0.5 parts the training documents best, classes counting alike."""
-        z = self.logits(texts)
+        known = self.word_table()
+        z = np.concatenate([self.logits(texts[at : at + 200], known) for at in range(0, len(texts), 200)])
         order = np.argsort(z)
         z, y = z[order], labels[order]
         missed = np.append(0, np.cumsum(y == 1)) / max((y == 1).sum(), 1)
@@ -146,13 +146,14 @@ class Model:
         side = (self.out[1] - self.out[0]) @ self.grams
         return np.ones(len(words), np.int64), np.bincount(np.repeat(np.arange(len(words)), size), side[grams], len(words)) / size
 
-    def logits(self, texts: list[str | None]) -> np.ndarray:
-        if self.words is None:
-            self.words = WordTable(self._word_vectors, np.float32, most_chars=12_000_000)
+    def word_table(self) -> WordTable:
+        return WordTable(self._word_vectors, np.float32, limit=200_000, most_chars=8_000_000)
+
+    def logits(self, texts: list[str | None], known: WordTable) -> np.ndarray:
         split = [words_of(t) for t in texts]
         length = np.fromiter(map(len, split), np.int64, len(split))
-        picked = self.words.slots([w for s in split for w in s])
-        value = self.words.flat[picked].astype(np.float64)
+        picked = known.slots([w for s in split for w in s])
+        value = known.flat[picked].astype(np.float64)
         ends = np.cumsum(length)
         offset = float(self.bias[1] - self.bias[0])
         out = np.full(len(texts), -20.0)
@@ -163,14 +164,19 @@ class Model:
                 out[n] = (sums / sizes).max() + offset
         return out
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(texts) + self.shift, -40, 40)))
+    def score(self, texts: list[str | None], known: WordTable | None = None) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts, known or self.word_table()) + self.shift, -40, 40)))
+
+    def scorer(self):
+        """A scoring function with a memory of words of its own."""
+        known = self.word_table()
+        return lambda texts: self.score(texts, known)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_chars: int = 20_000) -> Model:
-    """The model of at most ``per_class`` labelled documents of each class, whole texts of at most ``most_chars``
+def train(docs: DataFrame, labels: DataFrame, clean: int = 2600, toxic: int = 800, most_chars: int = 20_000) -> Model:
+    """The model of at most ``clean`` and ``toxic`` labelled documents, whole texts of at most ``most_chars``
     characters: that bounds what the driver holds. Scores have no such bound."""
-    picked = docs.select("doc_id", "text").join(F.broadcast(labelled_ids(labels, "toxic", per_class)), "doc_id")  # 2 x per_class rows
+    picked = docs.select("doc_id", "text").join(F.broadcast(labelled_ids(labels, "toxic", (clean, toxic))), "doc_id")  # as many rows at most
     rows = picked.where(F.char_length("text") <= most_chars).toPandas().sort_values(["doc_id", "label", "text"])
     model = Model()
     model.fit(list(rows.text), rows.label.to_numpy())
@@ -185,4 +191,4 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, doc_id: st
     no rows. Columns of these three names in ``docs`` are replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text"), labels))
-    return with_scores(docs, lambda texts: model.value.score(texts), threshold, doc_id, text)
+    return with_scores(docs, lambda: model.value.scorer(), threshold, doc_id, text)

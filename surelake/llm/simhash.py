@@ -46,16 +46,22 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, digest: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) and, if asked, the text's digest (null for a null text)."""
+    others = ["doc_id", "sha"] if digest else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             fp = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(fp, pa.int64())], [*others, "fp"])
 
-    given = docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text")
-    return given.mapInArrow(run, f"doc_id {given.schema['doc_id'].dataType.simpleString()}, fp long")
+    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *[sha_of(text).alias(c) for c in others[1:]])
+    kinds = [f"{c} {given.schema[c].dataType.simpleString()}" for c in others]
+    return given.mapInArrow(run, ", ".join([*kinds, "fp long"]))
+
+
+def sha_of(text: str) -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256)
 
 
 def gray_rank(code: np.ndarray) -> np.ndarray:
@@ -213,12 +219,17 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     table gives no rows; other columns are not read.
     """
     prints = session.materialise(fingerprints(docs, doc_id, text, shingle), "simhash")
+    named = named_codes(prints, distance)
+    return prints.join(named, "fp", "left").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def named_codes(prints: DataFrame, distance: int) -> DataFrame:
+    """Different fingerprints ``fp`` of rows (doc_id, fp) with the ``root`` of their component, one number for each, and its component_id."""
     codes = session.materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-codes")
     roots = components(links(codes.select("fp"), distance))
     rooted = codes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     groups = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("codes")).where("codes > 1")
-    named = rooted.join(groups, "root", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return prints.join(named, "fp", "left").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+    return rooted.join(groups, "root", "left").select("fp", "root", F.coalesce("component_id", "first_id").alias("component_id"))
 
 
 def hex_of(fp: Column) -> Column:
@@ -226,10 +237,14 @@ def hex_of(fp: Column) -> Column:
 
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The document of the smallest id of every component, with all columns; of repeated rows of that id one, by the other columns."""
-    stays = near_groups(docs, doc_id, text, shingle, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    own = docs.withColumn("_id", F.col(doc_id))
-    joined = own.join(stays, own["_id"].eqNullSafe(stays["_id"]), "left_semi")
-    order = [F.col(f"`{c}`").cast("string") for c in docs.columns if c != text] + [F.xxhash64(F.col(f"`{text}`"))]
-    once = F.row_number().over(Window.partitionBy("_id").orderBy(*order))
-    return joined.withColumn("_once", once).where("_once = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of every component, with all columns: the smallest id, null last, then by fingerprint and digest of the text; of
+    rows equal in id and text one, by the other columns. Rows with one id or none are separate rows."""
+    prints = session.materialise(fingerprints(docs, doc_id, text, shingle, digest=True), "simhash")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "sha")
+    best = prints.join(named_codes(prints, distance).select("fp", "root"), "fp").groupBy("root").agg(F.min(rank).alias("best"))
+    stays = best.select(F.col("best.doc_id").alias("_id"), F.col("best.sha").alias("_sha"))  # the digest settles the fingerprint
+    own = docs.withColumns({"_id": F.col(doc_id), "_sha": sha_of(text)})
+    joined = own.join(stays, [own[k].eqNullSafe(stays[k]) for k in ("_id", "_sha")], "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c != text] or [F.lit(0)])
+    return joined.groupBy("_id", "_sha").agg(F.min_by(row, order).alias("_row")).select("_row.*")

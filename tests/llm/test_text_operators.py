@@ -173,6 +173,25 @@ def test_simhash_groups(spark, docs, empty):
     assert simhash.near_groups(empty).count() == 0 and simhash.keep_one_of_each(empty).count() == 0
 
 
+def test_one_of_each_component_stays_when_ids_are_missing_or_shared(spark):
+    rnd = random.Random(11)
+    prose = [" ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") * rnd.randint(1, 9) for _ in range(80)) for _ in range(60)]
+    rows = [(None, t) for t in prose[:40]] + [(7, t) for t in prose[40:50]] + [(100 + n, t) for n, t in enumerate(prose[50:])]
+    rows += [(None, prose[0]), (None, prose[0].upper()), (None, prose[50]), (900, prose[41]), (7, prose[42]), (900, prose[3]), (None, None), (None, "")]
+    frame = spark.createDataFrame([(i, t, None, None, None, None, n, None) for n, (i, t) in enumerate(rows)], SCHEMA)
+    code = [simhash.fingerprint(t) for _, t in rows]
+    root = brute_components(set(code), 4)
+    best = {}
+    for c, (i, t) in zip(code, rows):
+        key = (i is None, i or 0, simhash.signed(c), t is not None, hashlib.sha256((t or "").encode()).hexdigest())
+        best[root[c]] = min(best.get(root[c], (key, i, t)), (key, i, t), key=lambda x: x[0])
+    kept = simhash.keep_one_of_each(frame)
+    assert kept.schema.simpleString() == frame.schema.simpleString()
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(i, t) for _, i, t in best.values()], key=str)
+    assert len(got) == len(best) == 61 and sum(i is None for i, _ in got) == 40 and sum(i == 7 for i, _ in got) == 10
+
+
 @pytest.mark.parametrize("chunk", [2, 7, 4096])
 def test_links_span_all_groups_when_routes_are_split(spark, chunk):
     rnd = random.Random(chunk)

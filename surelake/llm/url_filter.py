@@ -1,7 +1,9 @@
 """URL verdicts from rules and, where no rule fits, from a tree of path templates. DataFrame functions only.
 
-The tree grows level by level below each host. A path segment with a digit, or one that few urls of its node
-have, becomes a wildcard; branches of a node whose labelled shares do not differ significantly are merged.
+The tree grows level by level below each host. A path segment with a digit becomes a wildcard; segments that few
+urls of their node have become wildcards too, one for those without labels and one for each kind of labels, so
+that a few blocked ones say nothing about the others. Branches of a node whose labelled shares do not differ
+significantly are merged, but never the wildcard without labels with another one.
 Labels are the verdicts of the rules; a template is rejected when its smoothed share of blocked urls is high.
 """
 
@@ -69,11 +71,17 @@ def share(b: Column, a: Column) -> Column:
     return (b + F.lit(1.0)) / (b + a + F.lit(4.0))
 
 
+def wildcard(b: Column, a: Column) -> Column:
+    """The wildcard of a rare segment by its labels; paths hold no ``#``, so no segment has such a name."""
+    some = F.when(a == 0, "*#block").when(b == 0, "*#allow").when(b > a, "*#more").otherwise("*#less")
+    return F.when((b == 0) & (a == 0), "*").otherwise(some)
+
+
 def templates(paths: DataFrame, rare: int, apart: float) -> DataFrame:
     """Distinct paths (host, s1.., n, b, a) with their ``template``.
 
     Counts are summed before they meet, so a host with a third of all urls arrives as its few templates;
-    a node has at most ``rare`` literal branches, one wildcard and its end.
+    a node has at most ``rare`` literal branches, five wildcards and its end. The only wildcard left of a node is ``*``.
     """
     now = paths.withColumn("t", F.lit(""))
     for level in range(1, LEVELS + 1):
@@ -82,16 +90,19 @@ def templates(paths: DataFrame, rare: int, apart: float) -> DataFrame:
         child = now.groupBy("host", "t", seg).agg(*sums)
         total = child.groupBy("host", "t").agg(F.sum("n").alias("total"))
         common = (F.col(seg) == "") | (F.col("n") * rare >= F.col("total"))
-        child = child.join(total, ["host", "t"]).withColumn("branch", F.when(common, F.col(seg)).otherwise("*"))
+        child = child.join(total, ["host", "t"]).withColumn("branch", F.when(common, F.col(seg)).otherwise(wildcard(F.col("b"), F.col("a"))))
         child = session.materialise(child, "url-branches")
         branch = child.groupBy("host", "t", "branch").agg(*sums)
-        p, node = F.col("p"), Window.partitionBy("host", "t").orderBy("p", "branch")
+        p, wild, every = F.col("p"), (F.col("branch") == "*") | F.col("branch").startswith("*#"), Window.partitionBy("host", "t")
+        bare = F.max(F.col("branch") == "*").over(every)
+        branch = branch.withColumns({"lane": bare & F.col("branch").startswith("*#"), "shown": F.when(wild & (F.sum(wild.cast("int")).over(every) == 1), "*").otherwise(F.col("branch"))})
+        node = Window.partitionBy("host", "t", "lane").orderBy("p", "shown")
         measured = branch.withColumn("p", share(F.col("b"), F.col("a"))).withColumn("v", p * (F.lit(1.0) - p) / (F.col("b") + F.col("a") + F.lit(4.0)))
         step = p - F.lag("p").over(node)
         parts = F.coalesce(step * step > F.lit(apart) * (F.col("v") + F.lag("v").over(node)), F.lit(True))
         merged = measured.withColumn("new", parts.cast("int")).withColumn("cluster", F.sum("new").over(node.rowsBetween(Window.unboundedPreceding, 0)))
-        every = F.sort_array(F.collect_set("branch").over(Window.partitionBy("host", "t", "cluster")))  # at most rare + 2 names
-        named = merged.select("host", "t", "branch", F.array_join(every, "|").alias("name"))
+        names = F.sort_array(F.collect_set("shown").over(Window.partitionBy("host", "t", "lane", "cluster")))  # at most rare + 6 names
+        named = merged.select("host", "t", "branch", F.array_join(names, "|").alias("name"))
         known = child.select("host", "t", seg, "branch").join(named, ["host", "t", "branch"]).select("host", "t", seg, "name")
         now = now.join(known, ["host", "t", seg]).withColumn("t", F.concat("t", F.lit("/"), "name")).drop("name")
         now = session.materialise(now, "url-paths")
@@ -103,7 +114,8 @@ def judge(
 ) -> DataFrame:
     """page_id, host, path, rule (null if none fits), verdict, template.
 
-    A segment stays literal with at least one in ``rare`` urls of its node; branches next to each other by
+    A segment stays literal with at least one in ``rare`` urls of its node, others are wildcards by their labels,
+    and those without labels never share a template with labelled ones as rare; branches next to each other by
     share are merged unless their difference squared exceeds ``apart`` times the sum of their variances;
     a template is blocked from a smoothed share of ``reject`` on. A null url has empty host and path. Repeated
     rows count each. An empty table gives no rows; other columns are not read.

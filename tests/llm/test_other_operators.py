@@ -161,6 +161,20 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_rare_blocked_segments_block_no_others(spark):
+    few = ["about", "contact", "de", "jobs", "legal", "press", "shop", "team", *[f"page-{chr(97 + n)}" for n in range(20)]]
+    first = ["fr"] * 30 + ["es"] * 25 + ["home"] * 300 + [few[n % len(few)] for n in range(645)]
+    urls = [f"http://big.net/{s}/x{n}" for n, s in enumerate(first)] + [f"http://big.net//fr/y{n}" for n in range(3)]
+    urls += [f"http://www.example.com/{s}/z{n}" for n, s in enumerate(["en"] * 10 + few * 10)] + [f"http://m.example.com/{s}/z" for s in ["en"] * 10 + few * 10]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame([(n, u, None, None, None, 0) for n, u in enumerate(urls)], PAGES)).collect()}
+    assert len(got) == len(urls)
+    for n, s in enumerate(first):
+        assert got[n].verdict == ("block" if s in ("fr", "es") else "allow"), urls[n]
+    assert all(got[n].rule is None and got[n].verdict == "block" for n in range(1000, 1003))  # the same segment as the blocked ones
+    assert all((r.verdict == "block") == r.path.startswith("/en/") for r in got.values() if r.host == "m.example.com")
+    assert len({got[n].template.split("/")[1] for n, s in enumerate(first) if s in few}) == 1
+
+
 def brute(rows, k, every, scale):
     sound = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surelake.llm import byte_bpe, chat, exact_dedup, packing, period_runs, quality, simhash, suffix_dedup, token_count, topk, toxicity, url_filter
+from surelake.llm import byte_bpe, chat, exact_dedup, packing, period_runs, quality, simhash, spelling, suffix_dedup, token_count, topk, toxicity, url_filter
 from surelake.llm.common import table
 
 #: Control strings of the usual templates inside the texts of one more conversation.
@@ -63,13 +63,17 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True).drop("spans")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"), misspell=97)
+
+
 def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_runs.run_digests(table(spark, sf_dir, "documents"), planted=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_quality, op3_chat_windows, op4_simhash, op5_toxicity, op6_packing, op7_token_counts, op8_url_filter, op9_top_k, op10_byte_bpe, op11_suffix_dedup, op13_period_runs)
+    for f in (op1_exact_dedup, op2_quality, op3_chat_windows, op4_simhash, op5_toxicity, op6_packing, op7_token_counts, op8_url_filter, op9_top_k, op10_byte_bpe, op11_suffix_dedup, op12_spelling, op13_period_runs)
 }
 
 SQL = {

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from surelake.llm import period_runs, suffix_dedup
+from surelake.llm import period_runs, spelling, suffix_dedup
 from tests.conftest import SF
 
 SCHEMA = "doc_id long, text string, lang string, gram long, k1 long, spans int, word string"
@@ -111,6 +112,104 @@ def test_removal_digests_and_odd_tables(spark):
     assert (got[3].n_bytes, got[3].n_spans) == (0, 0)
 
 
+# Spelling variants
+
+def counted(texts, ids, misspell):
+    out = Counter()
+    for doc, text in zip(ids, texts):
+        for w in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            w = "".join(c.lower() if c.isascii() else c for c in w)
+            h = zlib.crc32(f"{'null' if doc is None else doc}:{w}".encode())
+            if misspell and h % misspell == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            out[w] += 1
+    return out
+
+
+def is_near(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) == len(b) + 1 and any(a[:k] + a[k + 1 :] == b for k in range(len(a)))
+
+
+def grouped(counts):
+    words = {w: n for w, n in counts.items() if n >= 3 and len(w) >= 5}
+    near = defaultdict(set)
+    masks = defaultdict(list)
+    for w in words:
+        for k in range(len(w)):
+            masks[w[:k], w[k + 1 :]].append(w)
+            masks[w[:k] + w[k + 1 :]].append(w)
+        masks[w].append(w)
+    for alike in masks.values():
+        for a in alike:
+            near[a].update(b for b in alike if is_near(a, b))
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        yield w, form[w], root, n, len(near[w]), form[w] and words[form[w]]
+
+
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"list_goal": 3}), (3, {"list_goal": 8, "most_grams": 20}), (4, {"list_goal": 2, "list_rows_at_once": 5})])
+def test_word_groups(spark, seed, limits):
+    rnd = random.Random(seed)
+    parts = ["th", "er", "in", "a", "ab", "tion", "é", "ö", "aaa", "x", "Ł", "漢"]
+    words = {"".join(rnd.choice(parts) for _ in range(rnd.randint(2, 6))) for _ in range(150)}
+    for w in list(words):
+        for _ in range(rnd.randint(0, 3)):
+            k = rnd.randrange(len(w))
+            words.add(w[:k] + rnd.choice(["", "e", "t", "zq", "é"]) + w[k + rnd.randint(0, 1) :])
+    words |= {"a" * 5, "a" * 6, "a" * 7, "ab" * 200, "ab" * 199 + "a", "ab" * 100 + "x" + "ba" * 100}
+    counts = {w: rnd.choice([2, 3, 3, 5, 6, 12, 40, 100]) for w in sorted(words)}
+    rows = [(w, n - 1) for w, n in counts.items()] + [(w, 1) for w in counts] + [(None, 9), ("nullcount", None)]
+    got = spelling.group_variants(spark.createDataFrame(rows, "word string, n long").repartition(3), **limits).collect()
+    assert sorted(map(tuple, got)) == sorted(grouped(counts))
+
+
+def test_grams_left_by_an_edit():
+    """No word one letter shorter or replaced keeps fewer grams than the bound says."""
+    rnd = random.Random(6)
+    for _ in range(60):
+        words = ["".join(rnd.choice("aab" if rnd.random() < 0.5 else "abc") for _ in range(rnd.randint(5, 12))) for _ in range(20)]
+        places = Counter(w[p : p + q] for w in words for q in range(2, 6) for p in range(len(w) - q + 1))
+        least = rnd.choice([1, 4, 10])
+        grams = spelling.Grams({g: n for g, n in places.items() if n > least})
+        for w in words:
+            for q in spelling.LEVELS:
+                own = grams.cut(w, q)
+                left = len(own) - grams.spoiled(w, own, q)
+                for k in range(len(w)):
+                    for new in ("", "a", "b", "c"):
+                        v = w[:k] + new + w[k + 1 :]
+                        other = {(p, v[p:e]) for p, e in grams.cut(v, q)}
+                        shift = 1 - len(new)
+                        kept = sum((p, w[p:e]) in other or (p - shift, w[p:e]) in other for p, e in own)
+                        assert kept >= left
+
+
+def test_counted_words(spark):
+    rnd = random.Random(7)
+    letters = "aAzZéÉÀÿ×÷ -'1漢Łı\u0301\xbf"
+    texts = [None, "", "÷×÷×÷ a", "A" * 100_000, *("".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(150))]
+    ids = [None, *range(1, len(texts) - 1), 3]
+    for misspell in (0, 1, 3):
+        got = spelling.count_words(frame(spark, texts, ids), least_letters=1, misspell=misspell, most_held=20)
+        assert {r.word: r.n for r in got.collect()} == {w: n for w, n in counted(texts, ids, misspell).items() if w}
+    empty = frame(spark, [])
+    assert spelling.variant_groups(empty).count() == 0
+    got = spelling.variant_groups(frame(spark, ["where wheree where wheree wheree where " * 4, "wherre " * 3, "Were " * 3]))
+    assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in got.collect()} == {
+        "where": (None, "where", 12, 2, None), "wheree": (None, "wheree", 12, 2, None), "wherre": ("where", "where", 3, 2, 12),
+    }
+
+
 # Periodic runs
 
 def runs(w, least=12):
@@ -194,4 +293,6 @@ def test_new_queries_on_given_tables(spark):
     for doc, (n, spans, kept) in zip(docs, removed(docs.values(), 200)):
         r = got[doc]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len((docs[doc] or "").encode()), n, spans, hashlib.sha256(kept).hexdigest())
+    words = registry.op12_spelling(spark, SF).collect()
+    assert sorted(map(tuple, words)) == sorted(grouped(counted(docs.values(), docs, 97)))
     assert len(got) == len(docs) == registry.op13_period_runs(spark, SF).count()

@@ -344,8 +344,9 @@ def shared_ends(groups: list[int], ends: list[bytes], flank: int) -> np.ndarray:
 def repeated_runs(groups: list[int], lefts: list[bytes], rights: list[bytes], twice: list[bool], length: int) -> list[list[tuple[int, int]]]:
     """Of each context (bytes before and after the anchor of its group) the runs of repeated starts, as bytes before the anchor: (most, least).
 
-    Bytes that no other context of the group shares are cut off first, contexts equal after that are one with
-    a weight; the anchor counts as one symbol of its group.
+    Bytes that no other context of the group shares are cut off first; contexts equal after that are one with
+    a weight, and some that lie in another are part of it. The rest are sorted; the anchor counts as one symbol of its group.
+    Runs may overlap.
     """
     flank = length - length // 2
     backward = [x[::-1] for x in lefts]
@@ -355,18 +356,28 @@ def repeated_runs(groups: list[int], lefts: list[bytes], rights: list[bytes], tw
     for i in np.flatnonzero(left + right >= flank).tolist():
         alike.setdefault((groups[i], backward[i][: left[i]], rights[i][: right[i]]), []).append(i)
     out: list[list[tuple[int, int]]] = [[] for _ in groups]
-    if not alike:
-        return out
-    names = {g: 257 + n for n, g in enumerate(dict.fromkeys(groups))}
-    symbols, center, tail, weighty = [], [], [], []
+    by_group: dict[int, list[tuple]] = {}
     for (g, back, after), own in alike.items():
+        by_group.setdefault(g, []).append((back, after, own, len(own) > 1 or twice[own[0]]))
+    left_over = []  # (group, bytes backward, bytes forward, contexts, whether all of it is repeated, runs known to be)
+    for g, own in by_group.items():
+        outer = take_inner(own, flank, out)
+        if len(outer) > 1:
+            left_over += [(g, *x) for x in outer]
+        else:
+            settle_alone(outer, flank, out)
+    if not left_over:
+        return out
+    names = {g: 257 + n for n, g in enumerate(dict.fromkeys(x[0] for x in left_over))}
+    symbols, center, tail, known = [], [], [], []
+    for g, back, after, own, weighty, inner in left_over:
         symbols += [c + 1 for c in reversed(back)]
         center.append(len(symbols))
         symbols.append(names[g])
         symbols += [c + 1 for c in after]
         symbols.append(0)
         tail.append(len(after))
-        weighty.append(len(own) > 1 or twice[own[0]])
+        known += [(center[-1] - most, center[-1] - least) for most, least in ([(len(back), max(0, flank - len(after)))] if weighty else inner)]
     center, tail = np.array(center), np.array(tail)
     lead = np.diff(np.insert(center + tail + 2, 0, 0)) - tail - 2  # bytes before each center
     n = lead - np.maximum(flank - tail, 0) + 1  # starts of whole strings: no more than ``lead``, no less than ``flank - tail`` before the center
@@ -375,7 +386,8 @@ def repeated_runs(groups: list[int], lefts: list[bytes], rights: list[bytes], tw
     valid = np.zeros(len(symbols), bool)
     valid[starts] = True
     repeated = np.zeros(len(symbols), bool)
-    repeated[starts[np.array(weighty)[context]]] = True
+    for first, last in known:
+        repeated[first : last + 1] = True
     order = np.array(suffix_array(symbols))
     both = valid[order[1:]] & valid[order[:-1]]
     x, y = order[:-1][both], order[1:][both]
@@ -393,13 +405,40 @@ def repeated_runs(groups: list[int], lefts: list[bytes], rights: list[bytes], tw
     before = center[context] - starts
     edge = np.concatenate([[True], ~hit[:-1] | (context[1:] != context[:-1])]) & hit
     close = np.concatenate([~hit[1:] | (context[1:] != context[:-1]), [True]]) & hit
-    members = list(alike.values())
     for c, most, least in zip(context[edge].tolist(), before[edge].tolist(), before[close].tolist()):
-        for i in members[c]:
+        for i in left_over[c][3]:
             out[i].append((most, least))
     return out
 
 
+def take_inner(contexts: list[tuple], flank: int, out: list[list[tuple[int, int]]], rounds: int = 4) -> list[tuple]:
+    """The contexts of one anchor without those that lie in one of the longest: these are repeated whole, and known runs of the longer one."""
+    rest, outer = sorted(contexts, key=lambda c: -len(c[0]) - len(c[1])), []
+    for _ in range(rounds):
+        if not rest:
+            break
+        back, after, own, weighty = rest[0]
+        inner, others = [], []
+        for c in rest[1:]:
+            if back.startswith(c[0]) and after.startswith(c[1]):
+                run = len(c[0]), max(0, flank - len(c[1]))
+                inner.append(run)
+                for i in c[2]:
+                    out[i].append(run)
+            else:
+                others.append(c)
+        outer.append((back, after, own, weighty, inner))
+        rest = others
+    return outer + [(*c, []) for c in rest]
+
+
+def settle_alone(outer: list[tuple], flank: int, out: list[list[tuple[int, int]]]) -> None:
+    """Runs of the only context left of an anchor."""
+    for back, after, own, weighty, inner in outer:
+        for i in own:
+            out[i] += [(len(back), max(0, flank - len(after)))] if weighty else inner
+
+
 def suffix_spans(rows: DataFrame, length: int, most_symbols: int = 40_000) -> DataFrame:
     """Repeated spans of contexts that come sorted by anchor; anchors are taken together up to ``most_symbols`` bytes."""
 

@@ -285,7 +285,7 @@ def near_words(words: DataFrame, list_goal: int = 300, most_grams: int = 100_000
     grams = spark.sparkContext.broadcast(frequent_grams(words, list_goal, most_grams))
     rows = session.materialise(list_rows(words, grams, list_goal), "gram-lists")
     long_ones = rows.where(F.col("kind") == INDEXED).groupBy("list").count().where(F.col("count") > list_rows_at_once)
-    long_ones = long_ones.select("list", F.ceil(F.col("count") / list_rows_at_once).cast("int").alias("parts"))
+    long_ones = session.materialise(long_ones.select("list", F.ceil(F.col("count") / list_rows_at_once).cast("int").alias("parts")), "long-lists")  # of known size
     dealt = rows.join(long_ones, "list", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     to = F.when(F.col("kind") == INDEXED, F.array(F.pmod("id", "parts").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = dealt.withColumn("part", F.explode(to)).drop("parts").repartition(parts, "list", "part").sortWithinPartitions("list", "part", "kind")

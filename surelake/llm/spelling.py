@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from surelake import session
 from surelake.llm.common import coded, list_lengths, shuffle_partitions, small_batches, text_of
 
+#: What words consist of.
 LETTERS = "A-Za-zÀ-ÿ"
 #: Longest gram of each level. At the first, all grams are pairs, and every word of five letters or more keeps two of them.
 LEVELS = (2, 3, 4, 6)
@@ -57,6 +58,20 @@ def checksums(before: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> np.nd
     return out
 
 
+def letters_only(texts: pa.Array) -> pa.Array:
+    """Texts without nulls, every byte outside ``LETTERS`` a space and A-Z in lower case. À to ÿ are the byte C3 and one more."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
+    lower = np.full(256, ord(" "), np.uint8)
+    for c in range(ord("a"), ord("z") + 1):
+        lower[[c, c - 32]] = c
+    out = lower[raw]
+    lead = np.flatnonzero(raw == 0xC3)
+    out[lead], out[lead + 1] = 0xC3, raw[lead + 1]
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), pa.py_buffer(out))
+
+
 def count_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_letters: int = 5, misspell: int = 0, most_held: int = 400_000) -> DataFrame:
     """(word, n): runs of ``LETTERS`` of whole texts, A-Z in lower case, of at least ``least_letters`` code points, with their counts.
 
@@ -69,9 +84,9 @@ def count_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in small_batches(batches, "text", 8 << 20):
-            parts = pc.split_pattern_regex(batch.column("text"), f"[^{LETTERS}]+")
+            parts = pc.ascii_split_whitespace(letters_only(batch.column("text")))
             found = parts.flatten().dictionary_encode()
-            words = pc.ascii_lower(found.dictionary).to_pylist()
+            words = found.dictionary.to_pylist()
             at = found.indices.to_numpy(zero_copy_only=False)
             counts = np.bincount(at, minlength=len(words))
             if misspell:

@@ -298,7 +298,7 @@ def banded(x: Col, bands: list[tuple[float, float, float, float]], beyond: Colum
     x = col(x).cast("double")
     out = None
     for lo, hi, s_lo, s_hi in bands:
-        part = F.round((s_hi - s_lo) * ((x - lo) / (hi - lo)) + s_lo, 2)
+        part = F.round(((s_hi - s_lo) * ((x - lo) / (hi - lo)) + s_lo).cast("decimal(20,8)"), 2).cast("double")  # halves exactly
         cond = (x >= lo) & (x < hi)
         out = F.when(cond, part) if out is None else out.when(cond, part)
     return out.otherwise(F.lit(0.0) if beyond is None else beyond)

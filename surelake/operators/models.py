@@ -248,7 +248,7 @@ def review_compare(model: DataFrame, old: DataFrame) -> DataFrame:
 
 
 def enterprise_scores(features: DataFrame, slope: DataFrame, model: PipelineModel) -> DataFrame:
-    """Daily value score and risk class of an enterprise."""
+    """Daily value score and risk class of an enterprise. The score is rounded once, from six places, which hold it exactly."""
     scored = model.transform(features.join(slope.select("ent_id", "premium_all", "three_slope"), "ent_id"))
     value = S.value_score("cur_insured_persons", "premium_all", "three_slope")
-    return scored.select("ent_id", F.round(value, 2).alias("enter_value"), F.col("prediction").cast("int").alias("risk_value"))
+    return scored.select("ent_id", F.round(value.cast("decimal(18,6)"), 2).cast("double").alias("enter_value"), F.col("prediction").cast("int").alias("risk_value"))

@@ -183,13 +183,13 @@ def _scores(v):
     path = session.scratch(v.spark, "model")
     M.save(M.train_tree(t, M.ENT_FEATURES, "risk"), path)
     slope = PR.premium_slope(PR.premium_ent_month(v.policy, v.insured_term, scope(v)), AS_OF)
-    return M.enterprise_scores(t, slope, M.load(path)).withColumn("enter_value", F.round("enter_value", 1))
+    return M.enterprise_scores(t, slope, M.load(path))
 
 
 query("model_score", f"""
 WITH w AS ({'WITH ' + _wide_sql()}), sl AS ({SLOPE_SQL}),
 t AS (SELECT ent_id, work_type, cur_insured_persons AS people, premium_all AS premium, three_slope AS growth FROM w JOIN sl USING (ent_id)), {VALUE_SQL}
-SELECT ent_id, round(round(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE, 2), 1) AS enter_value, cast({_RISK} AS int) AS risk_value FROM s JOIN w USING (ent_id)""")(_scores)
+SELECT ent_id, cast(round(cast(a * 0.3::DOUBLE + b * 0.35::DOUBLE + c * 0.35::DOUBLE AS decimal(18,6)), 2) AS double) AS enter_value, cast({_RISK} AS int) AS risk_value FROM s JOIN w USING (ent_id)""")(_scores)
 
 # ------------------------------------------------------------------ reviews
 

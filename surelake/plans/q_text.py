@@ -55,11 +55,13 @@ FROM (SELECT policy_id, start_date AS s, DATE '{AS_OF}' AS d FROM policy)""")(
     lambda v: v.policy.select("policy_id", S.whole_months("start_date", F.lit(AS_OF)).alias("months"), S.completed_years("start_date", F.lit(AS_OF)).alias("years"))
 )
 VALUE_SQL = """
-s AS (SELECT ent_id, round(CASE WHEN people < 1000 THEN 30 * (people / 1000) WHEN people < 5000 THEN 20 * ((people - 1000) / 4000) + 30
-    WHEN people < 10000 THEN 30 * ((people - 5000) / 5000) + 50 WHEN people < 50000 THEN 20 * ((people - 10000) / 40000) + 80 ELSE 0 END, 2) AS a,
-  round(CASE WHEN premium < 1e5 THEN 50 * (premium / 1e5) WHEN premium < 6e5 THEN 30 * ((premium - 1e5) / 5e5) + 50
-    WHEN premium < 2e6 THEN 20 * ((premium - 6e5) / 1.4e6) + 80 ELSE 0 END, 2) AS b,
-  round(CASE WHEN growth < 0 THEN 0 WHEN growth < 50 THEN 50 * (growth / 50) WHEN growth < 100 THEN 50 * ((growth - 50) / 50) + 50 ELSE 100 END, 2) AS c FROM t)"""
+e AS (SELECT ent_id, CASE WHEN people < 1000 THEN 30 * (people / 1000) WHEN people < 5000 THEN 20 * ((people - 1000) / 4000) + 30
+    WHEN people < 10000 THEN 30 * ((people - 5000) / 5000) + 50 WHEN people < 50000 THEN 20 * ((people - 10000) / 40000) + 80 ELSE 0 END AS a,
+  CASE WHEN premium < 1e5 THEN 50 * (premium / 1e5) WHEN premium < 6e5 THEN 30 * ((premium - 1e5) / 5e5) + 50
+    WHEN premium < 2e6 THEN 20 * ((premium - 6e5) / 1.4e6) + 80 ELSE 0 END AS b,
+  CASE WHEN growth < 0 THEN 0 WHEN growth < 50 THEN 50 * (growth / 50) WHEN growth < 100 THEN 50 * ((growth - 50) / 50) + 50 ELSE 100 END AS c FROM t),
+s AS (SELECT ent_id, cast(round(cast(a AS decimal(20,8)), 2) AS double) AS a, cast(round(cast(b AS decimal(20,8)), 2) AS double) AS b,
+  cast(round(cast(c AS decimal(20,8)), 2) AS double) AS c FROM e)"""
 query("value_score", f"""
 WITH t AS (SELECT ent_id, cast(count(*) * 400 AS double) AS people, cast(sum(premium) AS double) / 4 AS premium, cast(count(*) * 7 - 30 AS double) AS growth
   FROM policy GROUP BY 1),

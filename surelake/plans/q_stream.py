@@ -159,14 +159,23 @@ SELECT insured_cert_no, CASE WHEN o > e AND o >= 10 THEN '夜猫子' WHEN e > o
 FROM g JOIN w USING (insured_cert_no) WHERE k = 1""")(_profile)
 
 
-def _concat(v):
+def _texts(v, key):
     folder = session.scratch(v.spark, "texts")
-    msgs = _stream(v, "conversations").select(F.col("conv_id").cast("string").alias("key"), F.col("turn").alias("at"), F.col("text").alias("value"))
+    at = (F.col("conv_id") * 1000 + F.col("turn")) if key == "role" else F.col("turn")
+    msgs = _stream(v, "conversations").select(F.col(key).cast("string").alias("key"), at.alias("at"), F.col("text").alias("value"))
     _run(v, msgs, J.concat_job(folder))
-    return J.accumulated(v.spark, folder)
+    return folder
 
 
-query("stream_state_concat", "SELECT cast(conv_id AS varchar) AS key, string_agg(text, chr(9) ORDER BY turn, text) AS text FROM conversations WHERE text IS NOT NULL AND conv_id IS NOT NULL GROUP BY 1")(_concat)
+query("stream_state_concat", "SELECT cast(conv_id AS varchar) AS key, string_agg(text, chr(9) ORDER BY turn, text) AS text FROM conversations WHERE text IS NOT NULL AND conv_id IS NOT NULL GROUP BY 1")(
+    lambda v: J.accumulated(v.spark, _texts(v, "conv_id"))
+)
+# few keys, each with a large share of all messages, read as chunks
+CHUNK = 5000
+query("stream_text_chunks", f"""
+WITH t AS (SELECT role AS key, string_agg(text, chr(9) ORDER BY conv_id * 1000 + turn, text) AS text FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL GROUP BY 1),
+c AS (SELECT key, text, unnest(generate_series(0, (greatest(length(text), 1) - 1) // {CHUNK})) AS chunk FROM t)
+SELECT key, chunk, substr(text, chunk * {CHUNK} + 1, {CHUNK}) AS text FROM c""")(lambda v: J.text_chunks(v.spark, _texts(v, "role"), CHUNK))
 
 # --------------------------------------------------------------------- CRM
 

@@ -68,6 +68,21 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name, which must be free."""
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark can read; none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def _remove_quietly(spark: SparkSession, path: str) -> None:
     try:
         remove(spark, path)

@@ -17,6 +17,7 @@ def write_labels(labels: DataFrame, path: str, replaced: list[tuple[str, str]] |
     large label over tasks and files and pack small ones together. ``replaced`` names
     the (family, label) pairs that were computed: those without rows now are emptied.
     """
+    standing = files_of(labels.sparkSession, [f"{path}/family={escaped(family)}/label={escaped(label)}" for family, label in replaced or []])
     (
         labels.select(*LABEL_COLUMNS)
         .hint("rebalance", F.col("family"), F.col("label"))
@@ -26,10 +27,18 @@ def write_labels(labels: DataFrame, path: str, replaced: list[tuple[str, str]] |
         .partitionBy("family", "label")
         .parquet(path)
     )
-    if replaced:
-        present = {(r.family, r.label) for r in labels.select("family", "label").distinct().collect()}  # names of labels
-        for family, label in set(replaced) - present:
-            session.remove(labels.sparkSession, f"{path}/family={escaped(family)}/label={escaped(label)}")
+    empty_unless_written(labels.sparkSession, standing)
+
+
+def files_of(spark: SparkSession, folders: list[str]) -> dict[str, list[str]]:
+    return {f: session.names(spark, f) for f in folders}
+
+
+def empty_unless_written(spark: SparkSession, standing: dict[str, list[str]]) -> None:
+    """Delete the folders whose files are still those from before a write: it had no rows for them. The written files tell, nothing is computed again."""
+    for folder, files in standing.items():
+        if files and session.names(spark, folder) == files:  # every write names its files anew
+            session.remove(spark, folder)
 
 
 def escaped(name: str) -> str:
@@ -61,11 +70,9 @@ def wide(labels: DataFrame, names: list[str], numbers: dict[str, float] | None =
 
 def replace_days(df: DataFrame, path: str, day: str = "day_id", days: list[str] | None = None) -> None:
     """Replace only the days present in ``df``, and empty those of ``days`` that it has no rows for."""
+    standing = files_of(df.sparkSession, [f"{path}/{day}={escaped(each)}" for each in days or []])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
-    if days:
-        present = {str(r[0]) for r in df.select(day).where(F.col(day).isin(days)).distinct().collect()}
-        for gone in set(days) - present:
-            session.remove(df.sparkSession, f"{path}/{day}={escaped(gone)}")
+    empty_unless_written(df.sparkSession, standing)
 
 
 def overwrite(df: DataFrame, path: str) -> None:

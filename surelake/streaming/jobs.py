@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,17 +54,46 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> No
 def compact(spark: SparkSession, folder: str, newest: Callable[[DataFrame], DataFrame], upto: int) -> None:
     """Put the batches up to ``upto`` into one folder holding only what ``newest`` keeps of them.
 
-    The result stands under the number of the last of them, so later batches still come after it. Not
-    to be run while the job writes one of these batches.
+    The result stands under the number of the last of them, so later batches still come after it. It is written beside
+    the batches first and takes the place of the last one by renames; only then do the earlier ones go. A run that stops in
+    between loses nothing: ``batches`` and the next run see either the old folders or the new one. Not to be run while the job writes one of
+    these batches.
     """
-    old = spark.read.parquet(folder).where(F.col("batch") <= upto)
+    _finish_swap(spark, folder)
+    old = batches(spark, folder).where(F.col("batch") <= upto)
     numbers = sorted(r.batch for r in old.select("batch").distinct().collect())
     if len(numbers) > 1:
-        with session.scope(spark):
-            kept = session.materialise(newest(old).drop("batch"), "compacted")
-            write_batch(kept, folder, numbers[-1])
-        for n in numbers[:-1]:
-            session.remove(spark, f"{folder}/batch={n}")
+        ready, building = f"{folder}/_compacted-{numbers[0]}-{numbers[-1]}", f"{folder}/_building"
+        session.remove(spark, building)
+        newest(old).drop("batch").write.parquet(building)
+        session.rename(spark, building, ready)  # from here on the result counts
+        _finish_swap(spark, folder)
+
+
+def _finish_swap(spark: SparkSession, folder: str) -> None:
+    """Put a finished result of ``compact`` in the place of its batches; repeating it does no harm."""
+    for name in session.names(spark, folder):
+        if name.startswith("_compacted-"):
+            low, high = map(int, name.split("-")[1:])
+            for other in session.names(spark, folder):
+                if other.startswith("batch=") and low <= int(other[6:]) <= high:
+                    session.remove(spark, f"{folder}/{other}")
+            session.rename(spark, f"{folder}/{name}", f"{folder}/batch={high}")
+
+
+def batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of the batch folders with their batch; a finished result of ``compact`` that has not taken its place yet stands for its batches."""
+    ready = [tuple(map(int, n.split("-")[1:])) for n in session.names(spark, folder) if n.startswith("_compacted-")]
+    rows = None
+    for low, high in ready:
+        part = spark.read.parquet(f"{folder}/_compacted-{low}-{high}").withColumn("batch", F.lit(high))
+        rows = part if rows is None else rows.unionByName(part)
+    for low, high in ready:
+        left = [n for n in session.names(spark, folder) if n.startswith("batch=") and not low <= int(n[6:]) <= high]
+        if not left:
+            return rows
+        return spark.read.option("basePath", folder).parquet(*[f"{folder}/{n}" for n in left]).unionByName(rows)
+    return spark.read.parquet(folder)
 
 
 # ------------------------------------------------------------- change routing
@@ -166,7 +195,7 @@ def newest_state(df: DataFrame, key: str) -> DataFrame:
 
 def latest_state(spark: SparkSession, folder: str, key: str) -> DataFrame:
     """The newest state of every key out of the update batches."""
-    return newest_state(spark.read.parquet(folder), key)
+    return newest_state(batches(spark, folder), key)
 
 
 # ------------------------------------------------------------ text accumulation
@@ -186,12 +215,40 @@ def concat_job(folder: str):
     return batch
 
 
-def accumulated(spark: SparkSession, folder: str, keys: list | None = None) -> DataFrame:
-    """The text of every (asked) key so far, its pieces glued with tabs in the order they came."""
-    pieces = spark.read.parquet(folder)
+def text_chunks(spark: SparkSession, folder: str, size: int = 1 << 16, keys: list | None = None, sep: str = "\t") -> DataFrame:
+    """The text of every (asked) key so far as (key, chunk, text): pieces in the order they came, glued, cut every ``size`` characters.
+
+    Pieces are sorted by range, so a key with very many fills several tasks; where its text goes on in the next range is told by
+    one row per range and key. No task holds more than its range, no row more than ``size`` characters.
+    """
+    pieces = batches(spark, folder)
     pieces = pieces if keys is None else pieces.where(F.col("key").isin(keys))
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("batch", "at", "text"))), lambda p: p["text"])
-    return pieces.groupBy("key").agg(F.array_join(texts, "\t").alias("text"))
+    dealt = pieces.select("key", "batch", "at", "text").repartitionByRange("key", "batch", "at", F.substring("text", 1, 32))
+    # written down, so that every later step sees the same ranges
+    dealt = session.materialise(dealt.withColumn("range", F.spark_partition_id()), "pieces")
+    n = F.char_length("text") + F.lit(len(sep))
+    sums = dealt.groupBy("key", "range").agg(F.sum(n).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select("key", "range", F.coalesce(before, F.lit(0)).alias("first"), before.isNull().alias("opens"))
+    order = Window.partitionBy("key", "range").orderBy("batch", "at", "text")
+    placed = dealt.join(offsets, ["key", "range"]).select(
+        "key", (F.col("first") + F.sum(n).over(order) - n).alias("start"),
+        F.when(F.col("opens") & (F.row_number().over(order) == 1), F.col("text")).otherwise(F.concat(F.lit(sep), "text")).alias("text"),
+    )
+    # every piece but a key's first begins with the separator, so places run one separator ahead of them
+    placed = placed.withColumn("start", F.greatest(F.col("start") - len(sep), F.lit(0)))
+    ends = F.col("start") + F.greatest(F.char_length("text"), F.lit(1)) - 1
+    cut = placed.select("key", "start", "text", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor(ends / size))).alias("chunk"))
+    low = F.greatest(F.col("start"), F.col("chunk") * size)
+    cut = cut.select("key", "chunk", low.alias("low"), F.substr("text", (low - F.col("start") + 1).cast("int"), (((F.col("chunk") + 1) * size) - low).cast("int")).alias("part"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("low", "part"))), lambda p: p["part"])  # at most ``size`` characters
+    return cut.groupBy("key", "chunk").agg(F.array_join(parts, "").alias("text"))
+
+
+def accumulated(spark: SparkSession, folder: str, keys: list | None = None, sep: str = "\t") -> DataFrame:
+    """The whole text of every (asked) key, for keys whose text fits into a row; ``text_chunks`` serves any length."""
+    chunks = text_chunks(spark, folder, keys=keys, sep=sep)
+    return chunks.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda c: c["text"]), "").alias("text"))
 
 
 # ------------------------------------------------------------------------- CRM
@@ -261,7 +318,7 @@ def newest_cells(cells: DataFrame) -> DataFrame:
 
 def crm_table(spark: SparkSession, folder: str) -> DataFrame:
     """Latest value of every cell."""
-    return newest_cells(spark.read.parquet(folder)).select("id", "family", "label", "value")
+    return newest_cells(batches(spark, folder)).select("id", "family", "label", "value")
 
 
 # ---------------------------------------------------------- answers on a stream

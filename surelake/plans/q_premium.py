@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..operators import alerts as AL
+from ..operators import base as B
 from ..operators import channel as CH
 from ..operators import claim as C
 from ..operators import enterprise as E
 from ..operators import headcount as H
+from ..operators import headcount_store as HS
 from ..operators import members as M
 from ..operators import premium as PR
 from .catalog import query
@@ -100,6 +102,27 @@ WITH {HEAD} SELECT policy_id, policy_code, substr(day_id, 1, 6) AS month_id, cou
     lambda v: H.daily_headcount(v.policy, v.insured_term, scope(v)).groupBy("policy_id", "policy_code", F.substring("day_id", 1, 6).alias("month_id")).agg(
         F.count("*").alias("days"), F.sum("curr_insured").alias("person_days"), F.max("curr_insured").alias("peak"))
 )
+
+
+def _kept_up(v):
+    """Three runs: a part of the persons with some wrong ends, the others, and the corrections with some policies again."""
+    path = session.scratch(v.spark, "headcounts")
+    policy = B.in_scope_policies(v.policy, v.product).select(*HS.POLICY)
+    persons = session.materialise(v.insured_term.join(policy.select("policy_id"), "policy_id", "left_semi").select(*HS.SPAN), "persons")
+    early, wrong = F.col("policy_id") % 3 == 0, F.xxhash64("insured_id") % 5 == 0
+    first = persons.where(early).withColumn("insured_end_date", F.when(wrong, F.date_add("insured_end_date", 9)).otherwise(F.col("insured_end_date")))
+    HS.apply_changes(v.spark, path, policy.where(early), first, 16, 6)
+    HS.apply_changes(v.spark, path, policy.where(~early), persons.where(~early), 16, 6)
+    HS.apply_changes(v.spark, path, policy.where(early & (F.col("policy_id") % 2 == 0)), persons.where(early & wrong), 16, 6)
+    return HS.daily_headcount(v.spark, path)
+
+
+query("headcount_kept_up", f"""
+WITH {HEAD} SELECT policy_id, policy_code, substr(day_id, 1, 6) AS month_id, count(*) AS days, cast(sum(curr_insured) AS bigint) AS person_days,
+  max(curr_insured) AS peak FROM head GROUP BY 1, 2, 3""")(
+    lambda v: _kept_up(v).groupBy("policy_id", "policy_code", F.substring("day_id", 1, 6).alias("month_id")).agg(
+        F.count("*").alias("days"), F.sum("curr_insured").alias("person_days"), F.max("curr_insured").alias("peak"))
+)
 query("headcount_ent_day", f"""
 WITH {HEAD}, t AS (SELECT ent_id, day_id, sum(curr_insured) AS n FROM head GROUP BY 1, 2)
 SELECT ent_id, substr(day_id, 1, 6) AS month_id, cast(sum(n) AS bigint) AS person_days, cast(max(n) AS bigint) AS peak, count(*) AS days

@@ -205,3 +205,46 @@ def test_replays_and_late_messages(spark, tmp_path):
     assert K.write_late(spark.read.parquet(f"{given}/*"), out, late) == 1
     assert [(r.id, r.body) for r in spark.read.parquet(late).collect()] == [(7777, "too late")]
     assert K.write_late(spark.read.parquet(f"{given}/*"), out, late) == 1
+
+
+# ------------------------------------------------------ headcounts kept up
+
+
+@pytest.mark.parametrize("digits", [8, 6])
+def test_ten_days_equal_one_run(spark, tmp_path, digits):
+    from surelake.operators import headcount as H
+    from surelake.operators import headcount_store as HS
+
+    rnd = random.Random(5)
+    path, buckets = str(tmp_path / "store"), 8
+    p_schema = "policy_id long, policy_code string, start_date date, end_date date"
+    s_schema = "policy_id long, insured_id string, insured_cert_no string, insured_start_date date, insured_end_date date"
+    on = lambda n: DAY.date() + dt.timedelta(days=n)
+    policies, persons = {}, {}
+    for _ in range(10 if digits == 8 else 4):
+        new_p = {p: (p, rnd.choice([f"C{p}", f"C{p}", None]), on(rnd.randrange(20)), on(rnd.randrange(10, 40))) for p in rnd.sample(range(30), 3)}
+        new_s = {}
+        for _ in range(6):
+            p, i = rnd.randrange(30), rnd.randrange(6)
+            first = rnd.randrange(-3, 30)
+            new_s[p, str(i)] = (p, str(i), rnd.choice(["a", "b", "c", None]), rnd.choice([on(first), on(first), None]), on(first + rnd.randrange(-1, 15)))
+        before = {f: session.names(spark, f"{path}/{f}") for f in ("policies", "spans", "steps", "daily")}
+        files = {f"{f}/{n}": session.names(spark, f"{path}/{f}/{n}") for f, names in before.items() for n in names}
+        told = HS.apply_changes(spark, path, spark.createDataFrame(list(new_p.values()), p_schema), spark.createDataFrame(list(new_s.values()), s_schema), buckets, digits)
+        policies |= new_p
+        persons |= new_s
+        hit = {r.bucket for r in spark.createDataFrame([(p,) for p in {*new_p, *(k[0] for k in new_s)}], "policy_id long").select(HS.bucket_of(buckets)).collect()}
+        assert set(told["buckets"]) == hit
+        for name, old in files.items():  # folders of other buckets and days are as they were
+            part = name.split("=")[1]
+            if part not in {*map(str, told["buckets"]), *told["days"]}:
+                assert session.names(spark, f"{path}/{name}") == old
+        full = H.daily_headcount(
+            spark.createDataFrame([p for p in policies.values() if p[1]], p_schema), spark.createDataFrame([s for s in persons.values() if s[3]], s_schema)
+        )
+        want = sorted((r.policy_id, r.policy_code, r.day_id, r.curr_insured) for r in full.collect())
+        assert sorted(map(tuple, HS.daily_headcount(spark, path).collect())) == want
+    again = HS.apply_changes(spark, path, spark.createDataFrame(list(new_p.values()), p_schema), spark.createDataFrame(list(new_s.values()), s_schema), buckets, digits)
+    some = ["20240110", "20240205"]
+    assert sorted(map(tuple, HS.daily_headcount(spark, path, some).collect())) == [w for w in want if w[2] in some]
+    assert again["days"] == [] and sorted(map(tuple, HS.daily_headcount(spark, path).collect())) == want

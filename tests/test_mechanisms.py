@@ -248,3 +248,34 @@ def test_ten_days_equal_one_run(spark, tmp_path, digits):
     some = ["20240110", "20240205"]
     assert sorted(map(tuple, HS.daily_headcount(spark, path, some).collect())) == [w for w in want if w[2] in some]
     assert again["days"] == [] and sorted(map(tuple, HS.daily_headcount(spark, path).collect())) == want
+
+
+# ------------------------------------------------------------------- names
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_names_equal_brute_force(spark, seed):
+    from collections import Counter
+    from math import sqrt
+
+    from surelake.operators import matching as MT
+
+    rnd = random.Random(seed)
+    kind = ["abc", "abcdefghij kl", "劳务公司有限科技北京上海ab"][seed - 1]
+    made = lambda: "".join(rnd.choice(kind) for _ in range(rnd.randint(0, 14)))
+    holders = [None, "", "zzz", *(made() for _ in range(150))]
+    buyers = [None, "", "?!", "z", *(made() for _ in range(60)), *(h[::-1] for h in holders[3:20]), *(h + "a" for h in holders[3:20])]
+    h, b = (spark.createDataFrame([(n,) for n in d], "name string") for d in (holders, buyers))
+    got = {r.name: r for r in MT.search_names(b, h).collect()}
+    bags = {n: Counter(n) for n in {*holders, *buyers} - {None, ""}}
+    norm = {n: sqrt(sum(v * v for v in c.values())) for n, c in bags.items()}
+    for name in {*buyers} - {None, ""}:
+        best = None
+        for other in {*holders} - {None, ""}:
+            dot = sum(v * bags[other][c] for c, v in bags[name].items())
+            if dot:
+                s = round(min(dot / (norm[name] * norm[other]), 1.0) + 1e-12, 4)
+                best = min(best or (0, ""), (-s, other)) if best else (-s, other)
+        assert (name in got) == (best is not None)
+        if best:
+            assert (-got[name].similarity, got[name].holder) == best and 1 <= got[name].compared <= len(set(holders))

@@ -87,23 +87,32 @@ class Votes:
         return out
 
 
-def labelled_ids(labels: DataFrame, column: str, per_class: tuple[int, int]) -> DataFrame:
-    """(doc_id, label): up to so many rows of class 0 and of class 1 outside the held-out fold, by the hash of their id."""
+def labelled_ids(labels: DataFrame, column: str, per_class: tuple[int, int], docs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, label): up to so many rows of class 0 and of class 1 outside the held-out fold, by the hash of their id; only ids of ``docs``."""
     known = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(column).alias("label"))
+    if docs is not None:
+        known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[c]) for c in (0, 1)]
     return picked[0].unionByName(picked[1])
 
 
+def labelled_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """(doc_id, label, text) of picked ids, one text each: that of smallest hash where an id has several."""
+    both = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # as many rows as were picked
+    return both.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("s")).select("doc_id", "label", "s.text")
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> Votes:
     """The model of at most ``per_class`` labelled documents of each class, that is what the driver holds at most."""
-    picked = docs.select("doc_id", "text").join(F.broadcast(labelled_ids(labels, "quality", (per_class, per_class))), "doc_id")  # 2 x per_class rows
+    picked = labelled_texts(docs, labelled_ids(labels, "quality", (per_class, per_class), docs))
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             counts = pair_counts(batch.column("text").to_pylist()).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())], ["doc_id", "label", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label").cast(pa.int32()), pa.array([c.tobytes() for c in counts], pa.binary())], ["doc_id", "label", "counts"])
 
-    rows = picked.mapInArrow(run, "doc_id long, label int, counts binary").toPandas().sort_values(["doc_id", "label", "counts"])
+    rows = picked.mapInArrow(run, f"doc_id {kind}, label int, counts binary").toPandas().sort_values(["doc_id", "label", "counts"])
     known_labels = rows.label.to_numpy()
     counts = np.zeros((len(rows), WIDTH), np.float32)
     for n, raw in enumerate(rows.pop("counts")):

@@ -26,7 +26,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
-    return chat.window_digests(turns.unionByName(probe))
+    return chat.window_digests(turns.unionByName(probe), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

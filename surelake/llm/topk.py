@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from surelake import session
 
 LEAF, FANOUT, SHRINK = 64, 16, 0.7
+#: Below every score.
+NONE = np.iinfo(np.int64).min
 
 
 class CoverTree:
@@ -70,7 +72,7 @@ class Best:
     """The k best (score, id) of each query so far; ties go to the smaller id."""
 
     def __init__(self, queries: int, k: int, floor: np.ndarray):
-        self.score = np.full((queries, k), -np.inf)
+        self.score = np.full((queries, k), NONE)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
         self.floor = floor  # scores known from elsewhere: lower ones are of no use
 
@@ -81,7 +83,7 @@ class Best:
         k = self.score.shape[1]
         all_scores = np.concatenate([self.score[rows], scores], axis=1)
         all_ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
+        order = np.lexsort((all_ids, ~all_scores), axis=1)[:, :k]  # ~ turns the order and cannot overflow
         self.score[rows] = np.take_along_axis(all_scores, order, 1)
         self.ids[rows] = np.take_along_axis(all_ids, order, 1)
 
@@ -97,8 +99,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
             continue
         if not asked.children[q] and not given.children[p]:
             rows, cols = asked.rows[q], given.rows[p]
-            scores = queries[rows] @ points[cols].T
-            scores[query_ids[rows][:, None] == ids[cols][None, :]] = -np.inf
+            scores = products(queries[rows], points[cols])
+            scores[query_ids[rows][:, None] == ids[cols][None, :]] = NONE
             best.offer(rows, scores, ids[cols])
         elif given.children[p] and (not asked.children[q] or given.radius[p] >= asked.radius[q]):
             kids = given.children[p]
@@ -109,6 +111,19 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
     return best
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole-numbered rows, exact to 64 bits; larger ones are refused.
+
+    Doubles hold all partial sums below 2^53. Beyond, sums of 64-bit integers wrap around and come out right where the result fits.
+    """
+    near = a @ b.T
+    if abs(a).max(initial=0) * abs(b).max(initial=0) * max(a.shape[1], 1) < 2**53:
+        return near.astype(np.int64)
+    if abs(near).max(initial=0) > 9.2e18 or max(abs(a).max(initial=0), abs(b).max(initial=0)) >= 2**63:
+        raise OverflowError("an inner product does not fit into 64 bits")
+    return a.astype(np.int64) @ b.T.astype(np.int64)
+
+
 def _bound(asked: CoverTree, q: int, given: CoverTree, nodes: list[int]) -> np.ndarray:
     """No product of a query below ``q`` and a row below a node is larger."""
     centres = [given.centre[n] for n in nodes]
@@ -134,16 +149,15 @@ def exact_top_k(
 
     Queries are the rows whose id is divisible by ``every``. A shorter vector counts as filled up with zeros.
     Rows with one id are rows of their own, but a query never meets its own id; a query id that occurs twice
-    is asked once, with its smallest vector. An empty table gives no rows; other columns are not read.
-    The driver holds at most ``most_pivots`` vectors.
+    is asked once, with its smallest vector. An empty table gives no rows; other columns are not read. Scores are exact
+    to 64 bits, a larger one is refused. The driver holds at most ``most_pivots`` vectors.
     """
     spark = vectors.sparkSession
     sound = session.materialise(integers(vectors, vec_id, embedding, scale), "vectors")
-    asked = sound.where(F.col("vec_id") % every == 0)
     rows, dims, n_queries = sound.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     width = max(dims or 0, 1)
-    n_pivots = min(most_pivots, max(1, n_queries // query_block))
-    sample = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
+    n_pivots = min(most_pivots, max(1, rows // block)) if n_queries else 1
+    sample = sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
     pivots = spark.sparkContext.broadcast(matrix([r.v for r in sample], width))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,24 +185,24 @@ def exact_top_k(
         return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.coalesce(known[F.col("pivot")], F.lit(1))).cast("int")
 
     queries = placed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("raw", "pivot")).alias("x")).select("vec_id", "x.raw", "x.pivot")
-    queries = queries.withColumn("ask", part_of(asks, 1)).withColumn("floor", F.lit(float("-inf")))
+    queries = queries.withColumn("ask", part_of(asks, 1)).withColumn("floor", F.lit(int(NONE)).cast("long"))
     data = placed.select("vec_id", "raw", "pivot", part_of(parts, 2).alias("part"))
 
     def met(pairs: list[tuple[int, int, int]], queries: DataFrame) -> DataFrame:
         """Best rows where query blocks (pivot, ask) meet the blocks of a pivot; pairs: (query pivot, ask, pivot)."""
         table = spark.createDataFrame([(a, b, c) for a, b, c in pairs], "qp int, ask int, pivot int")
         blocks = spark.createDataFrame([(p, n) for p, c in parts.items() for n in range(c)], "pivot int, part int")
-        right = data.join(table, "pivot").select("qp", "ask", "pivot", "part", "vec_id", "raw", F.lit(None).cast("double").alias("floor"))
+        right = data.join(table, "pivot").select("qp", "ask", "pivot", "part", "vec_id", "raw", F.lit(None).cast("long").alias("floor"))
         left = queries.withColumnRenamed("pivot", "qp").join(table, ["qp", "ask"]).join(blocks, "pivot").select("qp", "ask", "pivot", "part", "vec_id", "raw", "floor")
         return right.unionByName(left).groupBy("qp", "ask", "pivot", "part").applyInArrow(found, "query_id long, vec_id long, score long")
 
     def found(rows: pa.Table) -> pa.Table:
-        ids, floor = rows.column("vec_id").to_numpy(), rows.column("floor").to_numpy()
+        ids, floor = rows.column("vec_id").to_numpy(), rows.column("floor")
         m = np.stack([unpacked(x, width) for x in rows.column("raw").to_pylist()])
-        q = ~np.isnan(floor)
-        best = search(m[q], ids[q], m[~q], ids[~q], k, floor[q])
-        n, at = np.nonzero(np.isfinite(best.score) & (best.score >= floor[q][:, None]))
-        return pa.table({"query_id": pa.array(ids[q][n], pa.int64()), "vec_id": pa.array(best.ids[n, at], pa.int64()), "score": pa.array(best.score[n, at].astype(np.int64))})
+        q, floor = floor.is_valid().to_numpy(), floor.drop_null().to_numpy()
+        best = search(m[q], ids[q], m[~q], ids[~q], k, floor)
+        n, at = np.nonzero((best.score > NONE) & (best.score >= floor[:, None]))
+        return pa.table({"query_id": pa.array(ids[q][n], pa.int64()), "vec_id": pa.array(best.ids[n, at], pa.int64()), "score": pa.array(best.score[n, at])})
 
     def best_of(found_rows: DataFrame) -> DataFrame:
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -196,8 +210,8 @@ def exact_top_k(
 
     own = [(p, a, p) for p, c in asks.items() for a in range(c)]
     first = session.materialise(best_of(met(own, queries)), "top-k")
-    kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("kth"))
-    queries = session.materialise(queries.drop("floor").join(kth, "vec_id", "left").select("vec_id", "raw", "pivot", "ask", F.coalesce("kth", F.lit(float("-inf"))).alias("floor")), "queries")
+    kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
+    queries = session.materialise(queries.drop("floor").join(kth, "vec_id", "left").select("vec_id", "raw", "pivot", "ask", F.coalesce("kth", F.lit(int(NONE)).cast("long")).alias("floor")), "queries")
 
     def reachable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pivots whose rows may beat the k-th score of a query."""
@@ -205,7 +219,8 @@ def exact_top_k(
         for batch in batches:
             m = np.stack([unpacked(x, width) for x in batch.column("raw").to_pylist()]) if batch.num_rows else np.zeros((0, width))
             reach = np.array([radius.value.get(p, -np.inf) for p in range(len(norms))])
-            top = m @ pivots.value.T + np.sqrt((m * m).sum(1))[:, None] * np.maximum(reach, 0)[None, :] + 1e-3
+            top = m @ pivots.value.T + np.sqrt((m * m).sum(1))[:, None] * np.maximum(reach, 0)[None, :]
+            top += 1e-3 + 1e-9 * np.abs(top)
             open_ = (top >= batch.column("floor").to_numpy()[:, None]) & (reach >= 0)[None, :]
             n, p = np.nonzero(open_ & (batch.column("pivot").to_numpy()[:, None] != np.arange(len(norms))[None, :]))
             yield pa.RecordBatch.from_arrays([batch.column("pivot").take(pa.array(n)), batch.column("ask").take(pa.array(n)), pa.array(p, pa.int32())], ["qp", "ask", "pivot"])

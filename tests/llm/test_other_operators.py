@@ -8,7 +8,9 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import public_tokenizers as P
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -82,12 +84,79 @@ def test_misspelt_words_share_vectors():
         texts.append(" ".join(words))
         labels.append(n % 2)
     model = toxicity.Model()
-    model.fit(texts, np.array(labels))
+    model.fit(texts[:300], np.array(labels[:300]))
+    model.calibrate(model.logits(texts[300:], model.word_table()), np.array(labels[300:]))
     clean = " ".join(rnd.choice(plain) for _ in range(60))
     scores = model.score([clean, clean + " blockhed", clean + " numbskul!", "dimwited " + clean])
     assert scores[0] < 0.5 < scores[1:].min()
 
 
+def test_loss_gradients_and_logits_by_plain_loops():
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["able", "baker", "charlie", "dog-eared", "easy"]) for _ in range(n)) for n in (1, 2, 3, 4, 9, 30)]
+    words = sorted({w for t in texts for w in t.split()})
+    size, grams = toxicity.gram_ids(words)
+    bucket, local = np.unique(grams, return_inverse=True)
+    rng = np.random.default_rng(1)
+    e, out, bias = rng.standard_normal((4, len(bucket))), rng.standard_normal((2, 4)), rng.standard_normal(2)
+    y, weight = np.array([0, 1, 0, 1, 1, 0.0]), np.arange(1, 7) / 21
+    batch = toxicity.Batch([np.array([words.index(w) for w in t.split()]) for t in texts], y, weight, local, toxicity.offsets_of(size), size)
+    first = toxicity.offsets_of(size)
+    vec = {w: e[:, local[first[k] : first[k + 1]]].mean(axis=1) for k, w in enumerate(words)}
+    for mean in (True, False):
+        want = 0.0
+        for t, label, share in zip(texts, y, weight):
+            w = t.split()
+            windows = [w[k : k + 3] for k in range(max(1, len(w) - 2))]
+            z = [float((out[1] - out[0]) @ (sum(vec[x] for x in win) / 3) + bias[1] - bias[0]) for win in windows]
+            pooled = math.log(sum(math.exp(v) for v in z) / (len(z) if mean else 1))
+            want += share * (math.log1p(math.exp(pooled)) - label * pooled)
+        loss, grads = batch.loss(e, out, bias, mean)
+        assert abs(loss - want) < 1e-9
+        for p, g in zip((e, out, bias), grads):
+            for _ in range(12):
+                at = tuple(rnd.randrange(n) for n in p.shape)
+                kept, p[at] = p[at], p[at] + 1e-5
+                up = batch.loss(e, out, bias, mean)[0]
+                p[at] = kept - 1e-5
+                down = batch.loss(e, out, bias, mean)[0]
+                p[at] = kept
+                assert abs((up - down) / 2e-5 - g[at]) < 1e-5
+    model = toxicity.Model()
+    model.grams[:, bucket], model.out, model.bias = np.zeros((6, len(bucket))), np.zeros((2, 6), np.float32), bias
+    model.grams[:4, bucket], model.out[:, :4] = e, out
+    for t, z in zip(texts, model.logits(texts, model.word_table())):
+        w = t.split()
+        assert abs(z - max(float((out[1] - out[0]) @ (sum(vec[x] for x in w[k : k + 3]) / 3) + bias[1] - bias[0]) for k in range(max(1, len(w) - 2)))) < 1e-4
+    assert model.logits([None, "", " .,;"], model.word_table()).tolist() == [-20.0] * 3
+
+
+def test_votes_by_plain_loops():
+    rng = np.random.default_rng(2)
+    counts = rng.random((60, quality.WIDTH)).astype(np.float32) * (rng.random((60, quality.WIDTH)) < 0.02)
+    labels = rng.integers(0, 2, 60)
+    votes = quality.Votes(counts.copy(), labels, 0.4, dims=8, neighbours=5)
+    asked = np.concatenate([counts[:10], rng.random((20, quality.WIDTH)).astype(np.float32) * (rng.random((20, quality.WIDTH)) < 0.02), np.zeros((1, quality.WIDTH), np.float32)])
+    got = votes.score(asked.copy(), block=7)
+    for x, s in zip(asked, got):
+        v = (x * votes.weight) @ votes.space
+        v = v / max(np.linalg.norm(v), 1e-9)
+        near = sorted(((float(v @ u), int(k)) for u, k in zip(votes.vectors, labels)), reverse=True)[:5]
+        by = [max(c, 0.0) ** 8 for c, _ in near]
+        assert abs(s - (sum(b * k for b, (_, k) in zip(by, near)) / sum(by) if sum(by) else 0.4)) < 1e-4
+
+
+def test_one_id_on_many_rows_is_learned_once(spark):
+    docs, labels = tiny(spark)
+    many = docs.select("doc_id", "text").unionByName(spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")))
+    picked = quality.labelled_texts(many, quality.labelled_ids(labels, "quality", (50, 50), many))
+    assert picked.count() == picked.select("doc_id").distinct().count() <= 100
+    few = quality.labelled_ids(labels, "quality", (50, 50), docs.where("doc_id < 5"))
+    assert 0 < few.count() <= 5
+    named = quality.score(many.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), labels.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
+    assert named.count() == many.count()
+
+
 TURNS = "conv_id long, turn long, role string, text string, window long"
 
 
@@ -108,14 +177,16 @@ def in_order(rows):
     return {c: [(r, t) for _, r, t in sorted(v)] for c, v in convs.items()}
 
 
-@pytest.mark.parametrize("budget,history", [(2048, 256), (60, 20), (1, 0)])
-def test_chat_windows(spark, budget, history):
+@pytest.mark.parametrize("budget,history,tokenizer", [(2048, 256, None), (60, 20, "byte_bpe_50k.json"), (1, 0, None), (90, 80, "byte_bpe_50k.json")])
+def test_chat_windows(spark, budget, history, tokenizer):
+    path = tokenizer and P.path(tokenizer)
+    lib = path and Tokenizer.from_file(path)
     rows = conversations()
     frame = spark.createDataFrame(rows, TURNS)
     windows = defaultdict(list)
-    for w in chat.format_windows(frame, budget, history).collect():
+    for w in chat.format_windows(frame, budget, history, path).collect():
         windows[w.conv_id].append(w)
-    digests = {r.conv_id: r for r in chat.window_digests(frame, budget, history).collect()}
+    digests = {r.conv_id: r for r in chat.window_digests(frame, budget, history, path).collect()}
     for conv, turns in in_order(rows).items():
         said = [t for r, t in turns if r == "assistant"]
         d = digests[conv]
@@ -127,11 +198,14 @@ def test_chat_windows(spark, budget, history):
         back = []
         for n, w in enumerate(own):
             read = chat.parsed(w.text)
-            cost = [chat.tokens(t) for _, t in read]
-            assert sum(cost) <= budget or len(read) - w.repeated == 1
-            if n and turns[0][0] == "system":
-                assert read[0] == turns[0]
-            assert read[: w.repeated] == (([turns[0]] if turns[0][0] == "system" and n else []) + back[len(back) - w.repeated + (turns[0][0] == "system" and n > 0) :] if w.repeated else [])
+            cost = chat.counter(path)([chat.formatted(r, t) for r, t in read])
+            assert sum(cost) <= budget or len(read) == 1
+            if lib and len(read) > 1:
+                assert len(lib.encode(w.text, add_special_tokens=False).ids) <= budget
+            led = n > 0 and turns[0][0] == "system" and w.repeated > 0 and read[0] == turns[0]
+            if n and turns[0][0] == "system" and not led:  # only a turn that leaves it no room is without the system turn
+                assert w.repeated == 0 and sum(chat.counter(path)([chat.formatted(*turns[0]), chat.formatted(*read[0])])) > budget
+            assert read[led : w.repeated] == back[len(back) - (w.repeated - led) :][: w.repeated - led]
             back += read[w.repeated :]
         assert back == turns
     assert len(digests) == len(in_order(rows))
@@ -161,18 +235,70 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
-def test_rare_blocked_segments_block_no_others(spark):
+def learned(rows, reject=0.5, apart=3.84):
+    """Verdicts and templates of (host, path, ruled) by plain recursion."""
+    def segments(path):
+        return ["{n}" if any(c in "0123456789" for c in x) else x for x in path.split("/") if x]
+
+    def grow(own, level, template):
+        b, a = (sum(r[2] == v for r in own) for v in ("block", "allow"))
+        if not (b + a and (len(own) > b + a or (b and a))):
+            yield from ((r, template + "/**") for r in own)
+            return
+        kids, kinds = defaultdict(list), defaultdict(list)
+        for r in own:
+            s = segments(r[1])
+            kids[s[level] if level < len(s) else ""].append(r)
+        for s, rs in kids.items():
+            kb, km = sum(r[2] == "block" for r in rs), sum(r[2] is not None for r in rs)
+            gap = kb * (b + a) - b * km
+            far = gap * gap > apart * b * a * km
+            kinds["" if s == "" else "?" if not km else "+" if far and gap > 0 else "-" if far else "="].append(s)
+        for kind, names in kinds.items():
+            at = template + "/" + (names[0] if len(names) == 1 else kind)
+            rs = [r for s in names for r in kids[s]]
+            if kind == "":
+                yield from ((r, at) for r in rs)
+            else:
+                yield from grow(rs, level + 1, at)
+
+    out = {}
+    for host in {r[1] for r in rows}:
+        found = list(grow([(n, path, ruled) for n, h, path, ruled in rows if h == host], 0, ""))
+        for t in {t for _, t in found}:
+            own = [r for r, at in found if at == t]
+            b, a = (sum(r[2] == v for r in own) for v in ("block", "allow"))
+            out |= {r[0]: (t, r[2] or ("block" if (b + 1) / (b + a + 4) >= reject else "allow")) for r in own}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_equal_plain_recursion(spark, seed):
+    rnd = random.Random(seed)
+    words = ["a", "b", "c", "d1", "", "x", "en", "fr"]
+    rules = (url_filter.Rule("block", "h.net", "/a/b/"), url_filter.Rule("allow", "h.net", "/a/"), url_filter.Rule("block", "h.net", "/fr"), url_filter.Rule("block", "k.org", "/x/x/x/x/x/x/x/en"), url_filter.Rule("allow", "k.org", "/x/7"))
+    urls = ["http://" + rnd.choice(["h.net", "m.h.net", "k.org", "z.io"]) + "".join("/" + rnd.choice(words) for _ in range(rnd.randint(0, 4))) for _ in range(500)]
+    urls += ["http://k.org" + "/x" * rnd.randint(0, 9) + rnd.choice(["", "/en", "/fr", "/7", "/8"]) for _ in range(200)]
+    got = url_filter.judge(spark.createDataFrame([(n, u, None, None, None, 0) for n, u in enumerate(urls)], PAGES), rules).collect()
+    verdicts = {r.name: r.verdict for r in rules}
+    want = learned([(r.page_id, r.host, r.path, verdicts.get(r.rule)) for r in got])
+    assert {r.page_id: (r.template, r.verdict) for r in got} == want and len(got) == len(urls)
+
+
+def test_no_page_is_blocked_without_labels_of_its_own(spark):
     few = ["about", "contact", "de", "jobs", "legal", "press", "shop", "team", *[f"page-{chr(97 + n)}" for n in range(20)]]
     first = ["fr"] * 30 + ["es"] * 25 + ["home"] * 300 + [few[n % len(few)] for n in range(645)]
     urls = [f"http://big.net/{s}/x{n}" for n, s in enumerate(first)] + [f"http://big.net//fr/y{n}" for n in range(3)]
     urls += [f"http://www.example.com/{s}/z{n}" for n, s in enumerate(["en"] * 10 + few * 10)] + [f"http://m.example.com/{s}/z" for s in ["en"] * 10 + few * 10]
+    # a common segment without labels beside a few blocked ones
+    urls += [f"http://small.net/{s}/1" for s in ["fr", "es", "fr"] + ["en"] * 20 + ["de"] * 3]
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame([(n, u, None, None, None, 0) for n, u in enumerate(urls)], PAGES)).collect()}
     assert len(got) == len(urls)
     for n, s in enumerate(first):
         assert got[n].verdict == ("block" if s in ("fr", "es") else "allow"), urls[n]
-    assert all(got[n].rule is None and got[n].verdict == "block" for n in range(1000, 1003))  # the same segment as the blocked ones
+    assert all(got[n].rule is None and got[n].verdict == "block" for n in range(1000, 1003))  # the same segments as the blocked ones
     assert all((r.verdict == "block") == r.path.startswith("/en/") for r in got.values() if r.host == "m.example.com")
-    assert len({got[n].template.split("/")[1] for n, s in enumerate(first) if s in few}) == 1
+    assert all((r.verdict == "block") == r.path.startswith(("/fr/", "/es/")) for r in got.values() if r.host == "small.net")
 
 
 def brute(rows, k, every, scale):
@@ -199,6 +325,17 @@ def test_top_k(spark, limits):
     assert few.count() == 2 and topk.exact_top_k(vectors.limit(0)).count() == 0
 
 
+def test_top_k_beyond_doubles(spark):
+    rnd = random.Random(9)
+    rows = [(n, [rnd.choice([300_000.0, 3e5 + 1, -3e5]), *(rnd.randint(-5, 5) / 1024 for _ in range(3))], "x") for n in range(120)]
+    rows += [(n, [2.0**20, rnd.randint(-3, 3) / 1024, 0.0, 0.0], "x") for n in range(200, 260)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, raw string")
+    got = topk.exact_top_k(vectors, 10, 20, 1024, block=50)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute([(i, v) for i, v, _ in rows], 10, 20, 1024))
+    with pytest.raises(Exception, match="64 bits"):
+        topk.exact_top_k(spark.createDataFrame([(0, [2.0**40], "x"), (1, [2.0**40], "x")], "vec_id long, embedding array<double>, raw string")).collect()
+
+
 def test_cover_tree_radii_cover(spark):
     points = np.random.default_rng(1).integers(-50, 50, (900, 5)).astype(float)
     tree = topk.CoverTree(points)

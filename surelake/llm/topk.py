@@ -4,7 +4,7 @@ Rows and queries are dealt to the nearest of a few pivots, the top level of the
 of bounded size. Where a block of queries meets a block of rows both are indexed by a cover tree: nodes with
 a centre and the radius that covers all below. The trees are searched together; a pair of nodes whose largest
 possible product cannot beat the worst k-th score of the query group is dropped. A first round meets the
-blocks of the queries' own pivot and gives that score; the second round meets only pivots that may beat it.
+blocks of the queries' own pivot and gives that score; in the second a query meets only pivots that may beat it.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from surelake import session
 
-LEAF, FANOUT, SHRINK = 64, 16, 0.7
+LEAF, FANOUT, SHRINK = 256, 16, 0.7
 #: Below every score.
 NONE = np.iinfo(np.int64).min
 
@@ -143,7 +143,7 @@ def integers(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> Dat
 
 def exact_top_k(
     vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, vec_id: str = "vec_id", embedding: str = "embedding",
-    block: int = 8192, query_block: int = 1024, most_pivots: int = 256,
+    block: int = 16384, query_block: int = 16384, most_pivots: int = 256,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query its k rows of the highest product, ties to the smaller id.
 
@@ -188,13 +188,14 @@ def exact_top_k(
     queries = queries.withColumn("ask", part_of(asks, 1)).withColumn("floor", F.lit(int(NONE)).cast("long"))
     data = placed.select("vec_id", "raw", "pivot", part_of(parts, 2).alias("part"))
 
-    def met(pairs: list[tuple[int, int, int]], queries: DataFrame) -> DataFrame:
-        """Best rows where query blocks (pivot, ask) meet the blocks of a pivot; pairs: (query pivot, ask, pivot)."""
-        table = spark.createDataFrame([(a, b, c) for a, b, c in pairs], "qp int, ask int, pivot int")
-        blocks = spark.createDataFrame([(p, n) for p, c in parts.items() for n in range(c)], "pivot int, part int")
-        right = data.join(table, "pivot").select("qp", "ask", "pivot", "part", "vec_id", "raw", F.lit(None).cast("long").alias("floor"))
-        left = queries.withColumnRenamed("pivot", "qp").join(table, ["qp", "ask"]).join(blocks, "pivot").select("qp", "ask", "pivot", "part", "vec_id", "raw", "floor")
-        return right.unionByName(left).groupBy("qp", "ask", "pivot", "part").applyInArrow(found, "query_id long, vec_id long, score long")
+    blocks = spark.createDataFrame([(p, n) for p, c in parts.items() for n in range(c)], "pivot int, part int")
+
+    def met(queries: DataFrame) -> DataFrame:
+        """Best rows where groups of queries (ask) meet the blocks of the pivots they are given. A block is sent once for each group."""
+        table = queries.select("ask", "pivot").distinct()
+        right = data.join(table, "pivot").select("ask", "pivot", "part", "vec_id", "raw", F.lit(None).cast("long").alias("floor"))
+        left = queries.join(blocks, "pivot").select("ask", "pivot", "part", "vec_id", "raw", "floor")
+        return right.unionByName(left).groupBy("ask", "pivot", "part").applyInArrow(found, "query_id long, vec_id long, score long")
 
     def found(rows: pa.Table) -> pa.Table:
         ids, floor = rows.column("vec_id").to_numpy(), rows.column("floor")
@@ -208,25 +209,27 @@ def exact_top_k(
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return found_rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    own = [(p, a, p) for p, c in asks.items() for a in range(c)]
-    first = session.materialise(best_of(met(own, queries)), "top-k")
+    first = session.materialise(best_of(met(queries)), "top-k")
     kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
     queries = session.materialise(queries.drop("floor").join(kth, "vec_id", "left").select("vec_id", "raw", "pivot", "ask", F.coalesce("kth", F.lit(int(NONE)).cast("long")).alias("floor")), "queries")
 
+    groups = max(1, math.ceil(n_queries / query_block))
+
     def reachable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pivots whose rows may beat the k-th score of a query."""
+        """Queries with each other pivot whose rows may beat their k-th score."""
         norms = np.sqrt((pivots.value**2).sum(axis=1))
+        reach = np.array([radius.value.get(p, -np.inf) for p in range(len(norms))])
         for batch in batches:
             m = np.stack([unpacked(x, width) for x in batch.column("raw").to_pylist()]) if batch.num_rows else np.zeros((0, width))
-            reach = np.array([radius.value.get(p, -np.inf) for p in range(len(norms))])
             top = m @ pivots.value.T + np.sqrt((m * m).sum(1))[:, None] * np.maximum(reach, 0)[None, :]
             top += 1e-3 + 1e-9 * np.abs(top)
             open_ = (top >= batch.column("floor").to_numpy()[:, None]) & (reach >= 0)[None, :]
             n, p = np.nonzero(open_ & (batch.column("pivot").to_numpy()[:, None] != np.arange(len(norms))[None, :]))
-            yield pa.RecordBatch.from_arrays([batch.column("pivot").take(pa.array(n)), batch.column("ask").take(pa.array(n)), pa.array(p, pa.int32())], ["qp", "ask", "pivot"])
+            rows = batch.take(pa.array(n))
+            yield pa.RecordBatch.from_arrays([rows.column("vec_id"), rows.column("raw"), rows.column("floor"), pa.array(p, pa.int32())], ["vec_id", "raw", "floor", "pivot"])
 
-    pairs = queries.select("raw", "pivot", "ask", "floor").mapInArrow(reachable, "qp int, ask int, pivot int").distinct().collect()  # blocks, not rows
-    rest = met([tuple(r) for r in pairs], queries)
+    open_pairs = queries.select("vec_id", "raw", "floor", "pivot").mapInArrow(reachable, "vec_id long, raw binary, floor long, pivot int")
+    rest = met(open_pairs.withColumn("ask", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")))
     return best_of(first.drop("rank").unionByName(rest)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -25,7 +25,7 @@ def frame(spark, schema, *data):
 
 @pytest.mark.parametrize(
     "months,length",
-    [(["201607", "201608", "201609", "201703", "201704", "201705", "201706", "201707"], 5), (["201611"], 1), ([None], 0),
+    [(["201802", "201803", "201806", "201808", "201809", "201810"], 3), (["201611"], 1), ([None], 0),
      (["201911", "201912", "202001", "202001"], 3), (["201901", "201903"], 1)],
 )
 def test_streak(spark, months, length):

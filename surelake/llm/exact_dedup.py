@@ -35,7 +35,7 @@ def bucket_of(key: Column, splitters: list[str]) -> Column:
     """How many splitters are at most the key, by halving steps over the sorted splitters."""
     if not splitters:
         return F.lit(0)
-    known = F.split(F.lit("\n".join(splitters)), "\n")
+    known = F.array(*[F.lit(s) for s in splitters]) if len(splitters) < 64 or any("\n" in s for s in splitters) else F.split(F.lit("\n".join(splitters)), "\n")
     steps = F.array(*[F.lit(1 << k) for k in range(len(splitters).bit_length() - 1, -1, -1)])
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(known, at + step - 1) <= key, at + step).otherwise(at))
 
@@ -103,11 +103,15 @@ def chains(local: DataFrame) -> DataFrame:
 
 
 def keep_unique(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows with one id and text the first by the other columns."""
-    stays = mark_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n"))
-    own = docs.withColumns({"_id": F.col(doc_id), "_sha": F.sha2(normalised(text_of(text)).cast("binary"), 256), "_n": F.char_length(text_of(text))})
-    keys = ["_id", "_sha", "_n"]
-    joined = own.join(stays, [own[k].eqNullSafe(stays[k]) for k in keys], "left_semi")
-    others = [F.col(f"`{c}`").cast("string") for c in docs.columns if c != text] or [F.lit(0)]
-    once = F.row_number().over(Window.partitionBy(*keys).orderBy(*others))
-    return joined.withColumn("_once", once).where("_once = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that stay, with all their columns; of repeated rows with one id and text the first by the other columns.
+
+    Nulls, empty and long texts and ties as in ``mark_duplicates``. Columns may have any names; an empty table gives no rows.
+    """
+    stays = mark_duplicates(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), F.col("n_points").alias("n"))
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+        F.sha2(normalised(text_of(f"`{text}`")).cast("binary"), 256).alias("sha"), F.char_length(text_of(f"`{text}`")).alias("n"),
+    )
+    joined = own.join(stays, [own[k].eqNullSafe(stays[k]) for k in ("id", "sha", "n")], "left_semi")
+    order = F.struct(*[F.col(f"row.`{c}`").cast("string") for c in docs.columns if c != text] or [F.lit(0)])
+    return joined.groupBy("id", "sha", "n").agg(F.min_by("row", order).alias("row")).select("row.*")

@@ -238,13 +238,13 @@ def hex_of(fp: Column) -> Column:
 
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
     """One document of every component, with all columns: the smallest id, null last, then by fingerprint and digest of the text; of
-    rows equal in id and text one, by the other columns. Rows with one id or none are separate rows."""
+    rows equal in id and text one, by the other columns. Rows with one id or none are separate rows. Texts without words are linked like any
+    other, long ones are read whole. Columns may have any names; an empty table gives no rows."""
     prints = session.materialise(fingerprints(docs, doc_id, text, shingle, digest=True), "simhash")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "sha")
     best = prints.join(named_codes(prints, distance).select("fp", "root"), "fp").groupBy("root").agg(F.min(rank).alias("best"))
-    stays = best.select(F.col("best.doc_id").alias("_id"), F.col("best.sha").alias("_sha"))  # the digest settles the fingerprint
-    own = docs.withColumns({"_id": F.col(doc_id), "_sha": sha_of(text)})
-    joined = own.join(stays, [own[k].eqNullSafe(stays[k]) for k in ("_id", "_sha")], "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    order = F.struct(*[F.col(f"`{c}`").cast("string") for c in docs.columns if c != text] or [F.lit(0)])
-    return joined.groupBy("_id", "_sha").agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    stays = best.select(F.col("best.doc_id").alias("id"), F.col("best.sha").alias("sha"))  # the digest settles the fingerprint
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{doc_id}`").alias("id"), sha_of(text).alias("sha"))
+    joined = own.join(stays, [own[k].eqNullSafe(stays[k]) for k in ("id", "sha")], "left_semi")
+    order = F.struct(*[F.col(f"row.`{c}`").cast("string") for c in docs.columns if c != text] or [F.lit(0)])
+    return joined.groupBy("id", "sha").agg(F.min_by("row", order).alias("row")).select("row.*")

@@ -52,12 +52,28 @@ def piece_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
+def supported(spec: dict) -> str:
+    """What a vocabulary file has that the merger does not know; empty for a plain byte-level BPE."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    odd = [name for name, there in (
+        ("a normalizer", spec.get("normalizer")), ("a model other than BPE", model.get("type", "BPE") != "BPE"),
+        ("another pre-tokenizer than ByteLevel", pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space")),
+        ("ignore_merges", model.get("ignore_merges")), ("dropout", model.get("dropout")), ("byte_fallback", model.get("byte_fallback")),
+        ("a prefix or suffix of subwords", model.get("continuing_subword_prefix") or model.get("end_of_word_suffix")),
+        ("added tokens that strip or match words only", any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") for t in spec["added_tokens"])),
+    ) if there]
+    return ", ".join(odd)
+
+
 class Merger:
     """Merges of one vocabulary file of the tokenizers library."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        unsupported = supported(spec)
+        if unsupported:
+            raise ValueError(f"{path}: not a plain byte-level BPE, it has {unsupported}")
         vocab = spec["model"]["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.special = [t["content"] for t in spec["added_tokens"]]

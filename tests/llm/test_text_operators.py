@@ -67,6 +67,34 @@ def test_exact_dedup_keeps_rows_whole(docs, empty):
     assert exact_dedup.mark_duplicates(empty).count() == 0 and exact_dedup.keep_unique(empty).count() == 0
 
 
+@pytest.mark.parametrize("keep", [exact_dedup.keep_unique, simhash.keep_one_of_each])
+def test_columns_may_have_any_names(spark, keep):
+    rows = [(1, "one text of some words here", "a", "b", "c", 1, 2, "d.e"), (2, "one text of some words here", "f", "g", "h", 3, 4, "i"), (3, "quite another matter it is", None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _sha string, sha string, n int, id int, `x.y` string")
+    kept = keep(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[2]], key=repr)
+
+
+def test_text_ids_may_hold_line_feeds(spark):
+    rows = [(f"id\n{n}\n", "the same" if n % 3 else f"text {n}") for n in range(300)]
+    got = exact_dedup.mark_duplicates(spark.createDataFrame(rows, "doc_id string, text string").repartition(4), bucket_bytes=50, most_buckets=100).collect()
+    want = defaultdict(list)
+    for i, t in rows:
+        want[squeezed(t)].append(i)
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == sorted((i, min(v, key=lambda x: x), len(v)) for v in want.values() for i in v)
+
+
+def test_other_vocabulary_files_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(P.path("byte_bpe_50k.json"), encoding="utf-8"))
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": {**spec["model"], "ignore_merges": True}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**spec, **change}))
+        with pytest.raises(ValueError):
+            token_count.Merger(str(path))
+
+
 def test_counts_equal_the_library(docs, empty):
     lib = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     want = sorted((r.doc_id if r.doc_id is not None else -1, len((r.text or "").encode()), len(lib.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())

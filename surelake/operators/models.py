@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import scalars as S
+from . import model_columns
 
 # ------------------------------------------------------------------- features
 
@@ -173,6 +174,15 @@ def cluster_sizes(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("members"))
 
 
+def cluster_report(model: PipelineModel, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per cluster its members, the sum of squared distances of their scaled features to the centre, and the centre."""
+    near = model_columns.nearest(model.stages[-1], features := model_columns.scaled(model.stages[1], [F.col(c).cast("double") for c in columns]))
+    rows = df.select(near.alias("cluster"), *[f.alias(c) for f, c in zip(features, columns)])
+    middle = centres(model, [f"centre_{c}" for c in columns])
+    gap = sum((F.col(c) - F.col(f"centre_{c}")) * (F.col(c) - F.col(f"centre_{c}")) for c in columns)
+    return rows.join(F.broadcast(middle), "cluster").groupBy("cluster", *[f"centre_{c}" for c in columns]).agg(F.count("*").alias("members"), F.sum(gap).alias("cost"))  # one row per cluster
+
+
 def rmsle(scored: DataFrame, label: str) -> float:
     """Root mean squared difference of log(1 + value)."""
     d = F.log1p(F.col("prediction")) - F.log1p(F.col(label))
@@ -249,6 +259,6 @@ def review_compare(model: DataFrame, old: DataFrame) -> DataFrame:
 
 def enterprise_scores(features: DataFrame, slope: DataFrame, model: PipelineModel) -> DataFrame:
     """Daily value score and risk class of an enterprise. The score is rounded once, from six places, which hold it exactly."""
-    scored = model.transform(features.join(slope.select("ent_id", "premium_all", "three_slope"), "ent_id"))
+    scored = features.join(slope.select("ent_id", "premium_all", "three_slope"), "ent_id").withColumn("prediction", model_columns.prediction(model))
     value = S.value_score("cur_insured_persons", "premium_all", "three_slope")
     return scored.select("ent_id", F.round(value.cast("decimal(18,6)"), 2).cast("double").alias("enter_value"), F.col("prediction").cast("int").alias("risk_value"))

@@ -166,6 +166,25 @@ def _kmeans(v):
 query("model_kmeans", "SELECT count(DISTINCT insured_cert_no) AS members, 0 AS strange, true AS within_k FROM insured_term")(_kmeans)
 
 
+# groups so far apart that every start ends in them: sizes, centres and costs are known
+_GROUPS = "SELECT cast((user_id % {k}) * 1000 + event_id % 10 AS double) AS x, cast((user_id % {k}) * 500 AS double) + value / 1000 AS y FROM events"
+
+
+def _centres(v, k):
+    t = session.materialise(v.sql(_GROUPS.format(k=k)), "groups")
+    model = M.train_kmeans(t, ["x", "y"], k=k, scaler="standard" if k == 3 else "minmax")
+    got = M.cluster_report(model, t, ["x", "y"])
+    return got.select("members", *[F.round(c, 6).alias(c) for c in ("centre_x", "centre_y", "cost")])
+
+
+for _k, _scale in ((3, "(x - avg(x) OVER ()) / stddev_samp(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_samp(y) OVER () AS y"),
+                   (7, "(x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ()) AS x, (y - min(y) OVER ()) / (max(y) OVER () - min(y) OVER ()) AS y")):
+    query(f"model_kmeans_centres_{_k}", f"""
+WITH g AS ({_GROUPS.format(k=_k)}), n AS (SELECT cast(floor(x / 1000) AS int) AS c, {_scale} FROM g)
+SELECT count(*) AS members, round(avg(x), 6) AS centre_x, round(avg(y), 6) AS centre_y, round((var_pop(x) + var_pop(y)) * count(*), 6) AS cost FROM n GROUP BY c""")(
+        lambda v, k=_k: _centres(v, k))
+
+
 def _kmeans_costs(v):
     """Cost around one centre, and whether more centres cost less."""
     got = M.kmeans_sweep(session.materialise(_emb(v), "sweep"), DIMS)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import session
-from ..operators import matching, models, profile
+from ..operators import matching, model_columns, models, profile
 from ..sources import sinks
 
 
@@ -156,9 +156,11 @@ def review_scores(rows: DataFrame) -> DataFrame:
 
 
 def review_job(model, folder: str, seconds: int = 600, at=None):
-    """Scores under ``enter_model_res_<request>`` for ten minutes; the scaler belongs to the stored model."""
+    """Scores under ``enter_model_res_<request>`` for ten minutes; the stored model, its scaler included, is an expression in the batch's plan."""
+    cluster = model_columns.prediction(model)
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        rows = model.transform(parse_reviews(df)).withColumnRenamed("prediction", "cluster")
+        rows = parse_reviews(df).withColumn("cluster", cluster)
         out = review_scores(rows)
         write_batch(answers(out, "enter_model_res_", "requestId", F.to_json(F.struct(*out.columns)), seconds, at), folder, batch_id)
 

@@ -279,3 +279,31 @@ def test_names_equal_brute_force(spark, seed):
         assert (name in got) == (best is not None)
         if best:
             assert (-got[name].similarity, got[name].holder) == best and 1 <= got[name].compared <= len(set(holders))
+
+
+# ------------------------------------------------- models as expressions
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_expressions_predict_as_the_stored_models(spark, tmp_path, seed):
+    from surelake.operators import model_columns as MC
+    from surelake.operators import models as M
+
+    rnd = random.Random(seed)
+    rows = [(rnd.gauss(0, 3), float(rnd.randrange(9)), rnd.random() * 1e5, 4.0, float(rnd.randrange(4))) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, `c.d` double, same double, label double").withColumnRenamed("c.d", "c")
+    cols = ["a", "b", "c", "same"]
+    models = [M.train_tree(df, cols, "label", depth=5), M.train_tree(df, cols, "label", scale=False, impurity="gini")]
+    models += [M.train_kmeans(df, cols, k=5, scaler=s) for s in ("minmax", "standard")]
+    for n, model in enumerate(models):
+        path = str(tmp_path / f"m{n}")
+        M.save(model, path)
+        stored = M.load(path)
+        both = stored.transform(df).withColumn("mine", MC.prediction(stored).cast("double"))
+        assert both.where(F.col("mine") != F.col("prediction")).isEmpty() and both.where("mine IS NULL").isEmpty()
+        assert df.limit(1).withColumn("b", F.lit(None).cast("double")).select(MC.prediction(stored).alias("p")).first().p is None
+        plan = df.select(MC.prediction(stored).alias("p"))._jdf.queryExecution().executedPlan().toString()
+        assert "UDF" not in plan and "Python" not in plan
+    report = {r.cluster: (r.members, r.cost) for r in M.cluster_report(models[2], df, cols).collect()}
+    assert sum(m for m, _ in report.values()) == 400
+    assert abs(sum(c for _, c in report.values()) - models[2].stages[-1].summary.trainingCost) < 1e-6

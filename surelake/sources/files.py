@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +29,29 @@ def blocks(df: DataFrame, column: str, keys: list[str], separator: str = "\\n\\n
     return df.select(*keys, F.posexplode(parts).alias("block", "record"))
 
 
-def text_blocks(spark: SparkSession, path: str, separator: str = "\\n\\n") -> DataFrame:
-    """Whole files split into records."""
-    files = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    return blocks(files, "value", ["file"], separator)
+def text_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, record): records of files, parted by empty lines and numbered from 0 in each file.
+
+    Files are read line by line, so a large one is read by many tasks. A record that goes on in the next part of its file is known from one row
+    per part: whether it begins and ends inside a record, and how many begin in it. Only the lines of one record meet.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("line")
+    )
+    order = Window.partitionBy("file", "part").orderBy("place")
+    lines = lines.withColumn("empty", F.col("line") == "").withColumn("after_empty", F.lag("empty").over(order))
+    begins = ~F.col("empty") & F.coalesce("after_empty", F.lit(True))
+    parts = lines.groupBy("file", "part").agg(
+        F.count_if(begins).alias("n"), F.min_by("empty", "place").alias("first_empty"), F.max_by("empty", "place").alias("last_empty")
+    )
+    by_file = Window.partitionBy("file").orderBy("part")
+    parts = parts.withColumn("fresh", F.coalesce(F.lag("last_empty").over(by_file), F.lit(True)))
+    own = F.col("n") - (~F.col("first_empty") & ~F.col("fresh")).cast("int")
+    parts = parts.select("file", "part", "fresh", F.coalesce(F.sum(own).over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    starts = (~F.col("empty") & F.coalesce("after_empty", "fresh")).cast("int")
+    numbered = lines.join(parts, ["file", "part"]).withColumn("block", F.col("before") + F.sum(starts).over(order) - 1).where(~F.col("empty"))
+    text = F.transform(F.array_sort(F.collect_list(F.struct("part", "place", "line"))), lambda x: x["line"])
+    return numbered.groupBy("file", "block").agg(F.array_join(text, "\n").alias("record"))
 
 
 # --------------------------------------------------------------------- JDBC

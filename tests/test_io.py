@@ -51,6 +51,34 @@ def test_text_blocks_and_lines(spark, tmp_path):
     assert files.text_lines(spark, str(tmp_path / "*.txt")).count() == 6
 
 
+@pytest.mark.parametrize("part", [97, 1000, 1 << 20])
+def test_blocks_of_a_file_read_in_parts(spark, tmp_path, part):
+    import random
+
+    rnd = random.Random(part)
+    want = {}
+    for name in ("a", "b", "c"):
+        records = [f"{name}{n} " + "word\n" * rnd.randint(0, 3) + "é漢" * rnd.randint(1, 30) for n in range(rnd.randint(1, 120))]
+        (tmp_path / f"{name}.txt").write_text("\n\n".join(r + rnd.choice(["", "\n", "\n\n\n"]) for r in records) + "\n\n")
+        want[name] = records
+    (tmp_path / "empty.txt").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(part))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        table = files.text_blocks(spark, str(tmp_path / "*.txt"))
+        got = table.collect()
+        if part < 1 << 20:
+            assert spark.read.text(str(tmp_path / "a.txt")).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    read = {}
+    for r in sorted(got):
+        read.setdefault(r.file.rsplit("/", 1)[1][0], []).append((r.block, r.record))
+    assert read == {name: list(enumerate(r.strip("\n") for r in records)) for name, records in want.items()}
+
+
 def test_jdbc_options():
     o = files.jdbc_options("jdbc:x", "t", user="u")
     assert files.jdbc_ranges(o, "id", 5, 900, 10) == {**o, "partitionColumn": "id", "lowerBound": "5", "upperBound": "900", "numPartitions": "10"}

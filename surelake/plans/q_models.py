@@ -8,6 +8,7 @@ from ..operators import base as B
 from ..operators import claim as C
 from ..operators import enterprise as E
 from ..operators import models as M
+from ..operators import tree_sweep as TS
 from ..operators import person as P
 from ..operators import premium as PR
 from ..operators import profile as PF
@@ -113,6 +114,16 @@ query("model_tree_sweep", """
 SELECT parameter, cast(value AS int) AS value, CASE WHEN parameter || value NOT IN ('depth2', 'bins4') THEN parameter || value NOT IN ('depth1', 'bins2') END AS exact
 FROM (SELECT 'depth' AS parameter, unnest([1, 2, 3, 4, 5, 10, 20]) AS value UNION ALL SELECT 'bins', unnest([2, 4, 8, 16, 32, 64, 100]))
 WHERE (SELECT count(*) FROM events) > 0""")(_sweep)
+# four classes of two values each: the first cut parts the lower two from the upper two, the second level is exact; with two bins there is one cut
+query("model_tree_errors", """
+WITH e AS (SELECT cast(user_id % 8 AS int) // 2 AS label, event_id % 5 = 0 AS test FROM events),
+p AS (SELECT label // 2 AS half, arg_max(label, (n, -label)) AS pred FROM (SELECT label, count(*) AS n FROM e WHERE NOT test GROUP BY 1) GROUP BY 1),
+r AS (SELECT round(sqrt(avg(pow(ln(1 + pred) - ln(1 + label), 2))), 9) AS x FROM e JOIN p ON half = label // 2 WHERE test)
+SELECT parameter, cast(value AS int) AS value, CASE WHEN parameter || value IN ('depth1', 'bins2') THEN x ELSE 0.0 END AS rmsle
+FROM r, (SELECT 'depth' AS parameter, unnest([1, 2, 3, 4, 5, 10, 20]) AS value UNION ALL SELECT 'bins', unnest([2, 4, 8, 16, 32, 64, 100]))""")(
+    lambda v: (lambda t: TS.sweep(t.where("event_id % 5 <> 0"), t.where("event_id % 5 = 0"), ["noise", "f1"], "label", 4).withColumn("rmsle", F.round("rmsle", 9)))(
+        v.events.select("event_id", F.lit(1.0).alias("noise"), (F.col("user_id") % 8).cast("double").alias("f1"), F.floor((F.col("user_id") % 8) / 2).cast("int").alias("label")))
+)
 query("model_metrics", """
 SELECT 'mse' AS metric, round(avg(pow(user_id % 2 - event_id % 2, 2)), 9) AS value FROM events
 UNION ALL SELECT 'test_error', round(count(*) FILTER (user_id % 2 <> event_id % 2) / count(*), 9) FROM events""")(

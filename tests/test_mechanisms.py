@@ -307,3 +307,74 @@ def test_expressions_predict_as_the_stored_models(spark, tmp_path, seed):
     report = {r.cluster: (r.members, r.cost) for r in M.cluster_report(models[2], df, cols).collect()}
     assert sum(m for m, _ in report.values()) == 400
     assert abs(sum(c for _, c in report.values()) - models[2].stages[-1].summary.trainingCost) < 1e-6
+
+
+def _plain_tree(rows, feats, cuts, bins, depth):
+    """The same trees grown row by row: {node: (prediction, feature, cut)}."""
+    from math import log2
+
+    from surelake.operators.tree_sweep import allowed
+
+    def entropy(labels):
+        return -sum(labels.count(k) / len(labels) * log2(labels.count(k) / len(labels)) for k in set(labels))
+
+    def cell(r, f):
+        return sum(r[f] > x for x in cuts[f])
+
+    out = {}
+
+    def go(own, node, left):
+        labels = [r[-1] for r in own]
+        best = None
+        for f in range(feats):
+            for j in allowed(len(cuts[f]), bins):
+                a, b = [r[-1] for r in own if cell(r, f) <= j], [r[-1] for r in own if cell(r, f) > j]
+                if a and b:
+                    gain = entropy(labels) - len(a) / len(own) * entropy(a) - len(b) / len(own) * entropy(b)
+                    if gain > 1e-12 and (best is None or round(gain, 12) > best[0]):
+                        best = round(gain, 12), f, j
+        split = best[1:] if best and left else (None, None)
+        out[node] = (min(set(labels), key=lambda k: (-labels.count(k), k)), *split)
+        if split[0] is not None:
+            f, j = split
+            go([r for r in own if cell(r, f) <= j], 2 * node, left - 1)
+            go([r for r in own if cell(r, f) > j], 2 * node + 1, left - 1)
+
+    go(rows, 1, depth)
+    return out
+
+
+def test_trees_from_shared_counts_equal_trees_grown_alone(spark):
+    from math import log1p, sqrt
+
+    from surelake.operators import tree_sweep as TS
+
+    rnd = random.Random(12)
+    rows = [(rnd.gauss(0, 1), float(rnd.randrange(6)), rnd.random()) for _ in range(160)]
+    rows = [(*r, (int(r[0] > 0.3) + 2 * int(r[1] > 2) if rnd.random() < 0.85 else rnd.randrange(4))) for r in rows]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    cuts = TS.fine_cuts(df, ["a", "b", "c"], 16)
+    got = TS.grow(TS._cells(df, ["a", "b", "c"], cuts, "label", [2, 5, 16]), cuts, 4, [2, 5, 16], 4)
+    for bins in (2, 5, 16):
+        alone = {n: v for n, v in _plain_tree(rows, 3, cuts, bins, 4).items()}
+        mine = {n: (p, f, c) for b, n, p, f, c in got if b == bins}
+        # equal cuts may stand for several allowed numbers: compare what they part
+        side = lambda f, c: None if f is None else (f, frozenset(n for n, r in enumerate(rows) if sum(r[f] > x for x in cuts[f]) <= c))
+        assert {n: v[0] for n, v in mine.items()} == {n: v[0] for n, v in alone.items()}
+        assert mine.keys() == alone.keys() and all((mine[n][1] is None) == (alone[n][1] is None) for n in mine)
+        assert all(mine[n][1] == alone[n][1] for n in mine) and side(*mine[1][1:]) == side(*alone[1][1:])
+    test = rows[:50]
+    errors = {(r.parameter, r.value): r.rmsle for r in TS.sweep(df, spark.createDataFrame(test, df.schema), ["a", "b", "c"], "label", 4, depths=(0, 1, 3), bins=(2, 5), depth_bins=16, bins_depth=2).collect()}
+
+    def error(tree, depth):
+        total = 0.0
+        for r in test:
+            node = 1
+            while tree[node][1] is not None and node.bit_length() <= depth:
+                node = 2 * node + (sum(r[tree[node][1]] > x for x in cuts[tree[node][1]]) > tree[node][2])
+            total += (log1p(tree[node][0]) - log1p(r[-1])) ** 2
+        return sqrt(total / len(test))
+
+    for (parameter, value), got_error in errors.items():
+        bins, depth = (16, value) if parameter == "depth" else (value, 2)
+        assert abs(got_error - error(_plain_tree(rows, 3, cuts, bins, 3), depth)) < 1e-9

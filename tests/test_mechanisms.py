@@ -378,3 +378,46 @@ def test_trees_from_shared_counts_equal_trees_grown_alone(spark):
     for (parameter, value), got_error in errors.items():
         bins, depth = (16, value) if parameter == "depth" else (value, 2)
         assert abs(got_error - error(_plain_tree(rows, 3, cuts, bins, 3), depth)) < 1e-9
+
+
+# ------------------------------------------------------- layouts of tables
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    import uuid
+
+    from surelake.sources import lake
+
+    policy = spark.range(50).select(F.col("id").alias("policy_id"))
+    insured = spark.range(600).select((F.col("id") % 40).alias("policy_id"), F.when(F.col("id") % 7 > 0, F.col("id") % 13).cast("string").alias("insured_cert_no"))
+    claims = spark.range(90).select((F.col("id") % 30).alias("policy_id"))
+    want = sorted(map(tuple, lake.policy_counts(policy, insured, claims).collect()))
+    tables = [lake.write_bucketed(d, str(tmp_path / n), f"{n}_{uuid.uuid4().hex}", "policy_id", 4) for n, d in (("p", policy), ("i", insured), ("c", claims))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = lake.policy_counts(*tables)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan and "SortMergeJoin" in plan
+        assert sorted(map(tuple, got.collect())) == want and len(want) == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_the_newest_day_is_read(spark, tmp_path):
+    from surelake.sources import lake
+
+    path = tmp_path / "days"
+    facts = spark.createDataFrame([(n, f"2024010{n % 5 + 1}") for n in range(50)], "v long, day_id string")
+    lake.write_days(facts, str(path))
+    calendar = spark.createDataFrame([(f"2024010{d}",) for d in range(1, 6)], "day_id string")
+    for file in path.glob("day_id=*/*.parquet"):  # what is not to be read cannot be read any more
+        if "20240103" not in str(file):
+            file.write_bytes(b"no parquet")
+    for file in path.glob("day_id=*/.*.crc"):
+        file.unlink()
+    got = lake.on_newest_day(lake.read_days(spark, str(path), facts.schema), calendar, "20240103")
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.v for r in got.collect()) == list(range(2, 50, 5))
+    with pytest.raises(Exception):
+        lake.on_newest_day(lake.read_days(spark, str(path), facts.schema), calendar, "20240105").collect()

@@ -6,6 +6,7 @@ from .. import session
 from ..functions import scalars as S
 from ..operators import claim as C
 from ..operators import graph as G
+from ..operators import automaton as AM
 from ..operators import matching as MT
 from ..sources import files
 from .catalog import query
@@ -247,6 +248,12 @@ def _block_files(v):
 
 
 query("text_file_blocks", "SELECT s_nationkey, concat('supplier ', s_suppkey, chr(10), s_name) AS record FROM supplier")(_block_files)
+# two-word phrases of the benchmark and single words of product names in all documents, whole texts in one pass
+_PHRASES = """SELECT DISTINCT needle FROM (SELECT concat(split_part(text, ' ', 2), ' ', split_part(text, ' ', 3)) AS needle FROM benchmark
+UNION ALL SELECT split_part(p_name, ' ', 1) FROM part) AS t WHERE length(needle) > 1"""
+query("keywords_in_documents", f"SELECT needle AS qid, doc_id AS kid FROM documents JOIN ({_PHRASES}) ON contains(text, needle)")(
+    lambda v: AM.containing_once(v.sql(_PHRASES).select(F.col("needle").alias("qid"), "needle"), v.documents.select(F.col("doc_id").alias("kid"), "text"))
+)
 query("text_cross_expand", "SELECT s_suppkey, s_name, unnest(['a', 'b', 'c']) AS plan FROM supplier")(
     lambda v: MT.cross_expand(v.supplier.select("s_suppkey", "s_name"), ["a", "b", "c"], "plan")
 )

@@ -70,6 +70,16 @@ def compact(spark: SparkSession, folder: str, newest: Callable[[DataFrame], Data
         _finish_swap(spark, folder)
 
 
+def compact_before(spark: SparkSession, folder: str, newest: Callable[[DataFrame], DataFrame], batch_id: int, every: int | None) -> None:
+    """``compact`` of all batches before this one, if it is its turn. A batch begins when those before it are complete, so a job may call it first."""
+    if every and batch_id and batch_id % every == 0:
+        compact(spark, folder, newest, batch_id - 1)
+
+
+def _with_batch(df: DataFrame) -> DataFrame:
+    return df.withColumn("batch", F.lit(0))
+
+
 def _finish_swap(spark: SparkSession, folder: str) -> None:
     """Put a finished result of ``compact`` in the place of its batches; repeating it does no harm."""
     for name in session.names(spark, folder):
@@ -182,8 +192,10 @@ def profile_state(rides: DataFrame) -> DataFrame:
     return profile.ride_facts(rides)
 
 
-def profile_job(folder: str):
+def profile_job(folder: str, compact_every: int | None = None, key: str = "insured_cert_no"):
+    """The state's new rows, a folder per batch; every so many batches the earlier ones become one with a row per key."""
     def batch(df: DataFrame, batch_id: int) -> None:
+        compact_before(df.sparkSession, folder, lambda d: _with_batch(newest_state(d, key)), batch_id, compact_every)
         write_batch(df, folder, batch_id)
 
     return batch
@@ -299,8 +311,10 @@ def crm_cells(messages: DataFrame) -> DataFrame:
     )
 
 
-def crm_job(folder: str):
+def crm_job(folder: str, compact_every: int | None = None):
+    """The cells of every batch; every so many batches the earlier ones become one with the newest cells."""
     def batch(df: DataFrame, batch_id: int) -> None:
+        compact_before(df.sparkSession, folder, newest_cells, batch_id, compact_every)
         write_batch(crm_cells(df), folder, batch_id)
 
     return batch

@@ -421,3 +421,41 @@ def test_only_the_newest_day_is_read(spark, tmp_path):
     assert sorted(r.v for r in got.collect()) == list(range(2, 50, 5))
     with pytest.raises(Exception):
         lake.on_newest_day(lake.read_days(spark, str(path), facts.schema), calendar, "20240105").collect()
+
+
+# --------------------------------------------------------------- keywords
+
+
+def test_keywords_found_as_by_plain_search(spark, monkeypatch):
+    from surelake.operators import automaton as AM
+    from surelake.operators import overlap
+
+    rnd = random.Random(4)
+    monkeypatch.setattr(AM, "PIECE", 7)
+    made = lambda letters, low, high: "".join(rnd.choice(letters) for _ in range(rnd.randint(low, high)))
+    needles = [None, "", "a", "aa", "aaaa", "é漢", "🙂", "b\n", *(made("ab漢", 1, 6) for _ in range(40)), *(made("abc🙂 ", 2, 12) for _ in range(30))]
+    texts = [None, "", "a", "aaaaaaaaaaaaaaaaaaaaaaaa", "x🙂é漢b\n", *(made("ab漢", 0, 60) for _ in range(60)), *(made("abc🙂 z", 0, 200) for _ in range(60))]
+    q = spark.createDataFrame([(n, s, n % 2) for n, s in enumerate(needles)], "qid int, needle string, side int")
+    t = spark.createDataFrame([(n, s, n % 2) for n, s in enumerate(texts)], "kid long, text string, side int").repartition(3)
+    want = {(i, j) for i, s in enumerate(needles) if s for j, x in enumerate(texts) if x and s in x}
+    got = AM.containing_once(q, t).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    assert set(map(tuple, AM.containing_once(q, t, most_letters=10).collect())) == want
+    sided = AM.containing_once(q, t, ["side"])
+    assert set(map(tuple, sided.collect())) == {(i, j) for i, j in want if i % 2 == j % 2} == set(map(tuple, overlap.containing(q.where("needle <> ''"), t, ["side"]).collect()))
+    assert AM.containing_once(q.limit(0), t).count() == 0 and AM.containing_once(q, t.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("every", [None, 1, 3])
+def test_jobs_compact_what_they_wrote(spark, tmp_path, every):
+    cells, state = str(tmp_path / "cells"), str(tmp_path / "state")
+    item = '{"data":{"list":[{"id":"%s","name":"%s","changeTimestamp":"%d"}]}}'
+    crm, profile = J.crm_job(cells, every), J.profile_job(state, every)
+    for n in range(8):
+        rows = [("k", item % ("r", f"v{n}", n)), ("k", item % (f"own{n}", "x", n))]
+        crm(spark.createDataFrame(rows, "key string, value string"), n)
+        profile(spark.createDataFrame([("a", n), (f"p{n}", n)], "insured_cert_no string, rides int"), n)
+    names = {(r.id, r.value) for r in J.crm_table(spark, cells).where("label = 'name'").collect()}
+    assert names == {("r", "v7"), *((f"own{n}", "x") for n in range(8))}
+    assert {(r.insured_cert_no, r.rides) for r in J.latest_state(spark, state, "insured_cert_no").collect()} == {("a", 7), *((f"p{n}", n) for n in range(8))}
+    assert len(session.names(spark, cells)) == len(session.names(spark, state)) == {None: 8, 1: 2, 3: 3}[every]

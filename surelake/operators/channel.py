@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions import scalars as S
-from . import base, claim
+from . import claim
 from . import enterprise as ent
 
 
@@ -83,31 +83,24 @@ def members(labels: DataFrame, chan: DataFrame, channel: str | None = None) -> D
     return labels.join(ids.select(F.col("ent_id").alias("entity_id")), "entity_id", "left_semi")
 
 
-def channel_facts(chan, policy, insured, insured_term, endorse, summary, sum_level, claims, risk_period) -> DataFrame:
-    """Summed facts behind every channel ratio, one row per channel."""
+def channel_facts(chan, policy, insured, endorse, summary, sum_level, claims) -> DataFrame:
+    """Summed facts behind every channel ratio, one row per channel; each table is read once.
+
+    ``insured`` has birthdays and first days of insurance too, ``claims`` the risk period.
+    """
     people = summary.where(F.col("data_type") == "totalInsuredPersons")
     monthly = people.groupBy("ent_id").agg(
         F.count("*").alias("months"), F.sum(F.col("data_val").try_cast("bigint")).alias("month_persons")
     )
-    days = F.col("risk_period").cast("bigint")
-    risk_pol = risk_period.groupBy("policy_no").agg(
-        F.sum(days).alias("risk_days"), F.count(days).alias("risk_n"), F.count(F.when(days < 3, 1)).alias("risk_short")
-    )
-    own = claim.owners(policy)
-    risk = (
-        risk_pol.join(own, risk_pol.policy_no == own.policy_code)
-        .groupBy("ent_id")
-        .agg(*[F.sum(c).alias(c) for c in ("risk_days", "risk_n", "risk_short")])
-    )
     parts = [
         ent.policy_totals(policy).select("ent_id", "total_premium"),
         monthly,
         ent.regulation_times(policy, endorse),
-        ent.people_facts(policy, insured).select("ent_id", "active", "total_insured_count", "total_insured_persons", "gender_n", "men"),
+        ent.people_facts(policy, insured).select(
+            "ent_id", "active", "total_insured_count", "total_insured_persons", "gender_n", "men", "years", "age_n"
+        ),
         ent.enterprise_size(sum_level),
-        base.age_sums(policy, insured_term).withColumnRenamed("persons", "age_n"),
         claim.ent_claim_facts(claims, policy),
-        risk,
     ]
     out = chan.select("ent_id", "channel")
     for p in parts:

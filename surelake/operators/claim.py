@@ -15,12 +15,16 @@ from ..functions import codes
 from ..functions import scalars as S
 
 
+#: days below which a risk period is short
+SHORT_RISK = 3
+
+
 def _n(cond):
     return F.count(F.when(cond, 1))
 
 
 def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
-    """Additive claim facts per key (policy, person, ...)."""
+    """Additive claim facts per key (policy, person, ...); those of risk periods too where the claims have them."""
     case, scene = F.col("case_type"), F.col("scene")
     due = S.payable()
     final = F.col("final_payment")
@@ -35,7 +39,10 @@ def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
         F.when(S.has_chinese(settle_txt), F.lit(0)).when(~settle_txt.contains("="), settle_txt.try_cast("decimal(12,2)")),
     )
     disabled = ~F.col("disable_level").isin(codes.NO_DISABILITY, codes.DEATH)
+    period = F.col("risk_period").cast("bigint")
+    risks = [F.sum(period).alias("risk_days"), F.count(period).alias("risk_n"), _n(period < SHORT_RISK).alias("risk_short")]
     return claims.groupBy(*keys).agg(
+        *(risks if "risk_period" in claims.columns else []),
         F.count("*").alias("claims"),
         _n(S.not_blank("paper_finish_date")).alias("closed"),
         _n(case == codes.DEATH).alias("deaths"),
@@ -59,12 +66,6 @@ def claim_facts(claims: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-FACTS = (
-    "claims closed deaths disabilities at_work off_work resubmitted due due_death due_disability due_at_work "
-    "due_off_work paid delay_days delay_claims ageing_days ageing_claims settle_days settle_claims"
-).split()
-
-
 def owners(policy: DataFrame) -> DataFrame:
     return policy.where(S.not_blank("ent_id")).select("policy_code", "ent_id")
 
@@ -75,7 +76,7 @@ def ent_claim_facts(claims: DataFrame, policy: DataFrame) -> DataFrame:
     return (
         per_policy.join(own, per_policy.policy_no == own.policy_code)
         .groupBy("ent_id")
-        .agg(*[F.sum(c).alias(c) for c in FACTS])
+        .agg(*[F.sum(c).alias(c) for c in per_policy.columns if c != "policy_no"])
     )
 
 
@@ -115,10 +116,17 @@ LABELS = {
     ),
 }
 
+RISK_LABELS = {
+    "avg_aging_risk": lambda: _share("risk_days", "risk_n"),
+    "mix_period_count": lambda: _some("risk_short"),
+    "mix_period_rate": lambda: F.when(F.col("risk_short") > 1, _share("risk_short", "risk_n")),
+}
+
 
 def claim_labels(claims: DataFrame, policy: DataFrame) -> DataFrame:
-    """All labels above as one wide row per enterprise."""
-    return ent_claim_facts(claims, policy).select("ent_id", *[f().alias(k) for k, f in LABELS.items()])
+    """All labels above as one wide row per enterprise; with those of risk periods where the claims have them."""
+    labels = LABELS | (RISK_LABELS if "risk_period" in claims.columns else {})
+    return ent_claim_facts(claims, policy).select("ent_id", *[f().alias(k) for k, f in labels.items()])
 
 
 def label(claims: DataFrame, policy: DataFrame, name: str, keep_empty: bool = False) -> DataFrame:
@@ -219,7 +227,7 @@ def frequent_removals(policy, endorse, more_than: int = 2) -> DataFrame:
 # ---------------------------------------------------------------- risk period
 
 
-def risk_period_labels(policy, risk_period, short: int = 3) -> DataFrame:
+def risk_period_labels(policy, risk_period, short: int = SHORT_RISK) -> DataFrame:
     """Mean risk period, claims with a short one, and their share when there are at least two."""
     days = F.col("risk_period").cast("bigint")
     per_policy = risk_period.groupBy("policy_no").agg(

@@ -193,11 +193,16 @@ def people_facts(policy: DataFrame, insured: DataFrame) -> DataFrame:
     ``total_insured_count`` rows and ``total_insured_persons`` persons on valid policies, ``active`` persons in force
     on them, ``cur_insured_persons`` in force on running ones, ``gender_n`` and ``men`` rows with a card,
     ``active_cards`` rows in force with a card on valid policies. A count is null where there is none.
+    Where the person rows have birthdays and first days of insurance, also ``years`` and ``age_n``: the completed
+    years at the first day and the rows behind them.
     """
+    aged = {"insured_birthday", "insured_start_date"} <= set(insured.columns)
+    age = F.when(F.year(S.day("insured_birthday")) > 1900, S.completed_years("insured_birthday", "insured_start_date"))
     live, card = F.col("insure_policy_status") == "1", F.length("insured_cert_no") == 18
     per = insured.groupBy("policy_id", "insured_cert_no").agg(
         F.count("*").alias("n"), F.count_if(live).alias("live"), F.count_if(card).alias("cards"),
         F.sum(F.when(card, S.id_is_male("insured_cert_no"))).alias("men"), F.count_if(live & card).alias("live_cards"),
+        *([F.sum(age).alias("years"), F.count(age).alias("age_n")] if aged else []),
     )
     named = S.not_blank("ent_id")
     pol = policy.where(F.col("ent_id").isNotNull()).select(
@@ -208,6 +213,7 @@ def people_facts(policy: DataFrame, insured: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("valid"), F.col("n"))).alias("n"), F.max("valid").alias("ever"),
         F.max(F.col("valid") & (F.col("live") > 0)).alias("active"), F.max(F.col("running") & (F.col("live") > 0)).alias("now"),
         F.sum("cards").alias("cards"), F.sum("men").alias("men"), F.sum(F.when(F.col("valid"), F.col("live_cards"))).alias("live_cards"),
+        *([F.sum(F.when(S.not_blank("ent_id"), F.col(c))).alias(c) for c in ("years", "age_n")] if aged else []),
     )
     known = F.col("insured_cert_no").isNotNull()
 
@@ -218,6 +224,7 @@ def people_facts(policy: DataFrame, insured: DataFrame) -> DataFrame:
         some(F.sum("n")).alias("total_insured_count"), some(F.count_if(known & F.col("ever"))).alias("total_insured_persons"),
         some(F.count_if(known & F.col("active"))).alias("active"), some(F.count_if(known & F.col("now"))).alias("cur_insured_persons"),
         some(F.sum("cards")).alias("gender_n"), F.sum("men").alias("men"), some(F.sum("live_cards")).alias("active_cards"),
+        *([F.sum("years").alias("years"), some(F.sum("age_n")).alias("age_n")] if aged else []),
     )
 
 

@@ -21,7 +21,10 @@ def plan_matrix(
     figures of the row-by-row joins instead, in which every policy repeats per
     claim and accrual day; multiplicities stand in for the repeated rows, and
     ``charged`` must have a row per day (day_id). Else it may have the sum to the date
-    per policy (``premium.premium_to_date``). Policies out of scope are left out first.
+    per policy (``premium.premium_to_date``).
+
+    ``snapshot`` may be ``standing.policy_standing``, which holds the persons and the premium of a policy as well:
+    ``insured`` and ``charged`` are None then, and the person rows have been read once for all three figures.
     """
     today = as_of.replace("-", "")
     pol = (
@@ -31,16 +34,18 @@ def plan_matrix(
     )
     price = F.when(F.col("sku_charge_type") == "2", F.col("sku_price") / 12).otherwise(F.col("sku_price")).cast("decimal(13,4)")
     plans = plan.select("policy_code", F.col("sku_coverage").alias("sku_coverage"), price.alias("price"))
-    current = snapshot.where(F.col("day_id") == today).select("policy_id", "curr_insured")
-    inside = pol.join(current.select("policy_id"), "policy_id", "left_semi").select("policy_id", "policy_code")
-    insured = insured.join(inside.select("policy_id"), "policy_id", "left_semi")
-    claims = claims.join(inside.select(F.col("policy_code").alias("policy_no")), "policy_no", "left_semi")
-    people = insured.select("policy_id", F.trim("insured_cert_no").alias("c")).distinct().groupBy("policy_id").agg(F.count("*").alias("persons"))
+    current = snapshot.where(F.col("day_id") == today)
+    if insured is None:
+        current = current.where("running").select("policy_id", "curr_insured", "persons", F.col("charged_premium").alias("earned"), F.lit(1).alias("n_days"))
+        more = []
+    else:
+        current = current.select("policy_id", "curr_insured")
+        people = insured.select("policy_id", F.trim("insured_cert_no").alias("c")).distinct().groupBy("policy_id").agg(F.count("*").alias("persons"))
+        if "day_id" in charged.columns:
+            charged = charged.where(F.col("day_id") <= today)
+        more = [people, charged.groupBy("policy_id").agg(F.sum("charged_premium").alias("earned"), F.count("*").alias("n_days"))]
     due = S.clean_amount(F.coalesce(F.trim("final_payment"), F.trim("pre_com")))
     paid = claims.groupBy(F.col("policy_no").alias("policy_code")).agg(F.sum(due).alias("due"), F.count("*").alias("n_claims"))
-    if "day_id" in charged.columns:
-        charged = charged.where(F.col("day_id") <= today)
-    earned = charged.groupBy("policy_id").agg(F.sum("charged_premium").alias("earned"), F.count("*").alias("n_days"))
     sales = channel_map(salesman).select(F.col("ent_name").alias("holder"), "channel", "ent_id").join(
         salesman.select("ent_id", "salesman", "biz_operator").distinct(), "ent_id"
     )
@@ -58,10 +63,10 @@ def plan_matrix(
         .join(prov, "office_province", "left")
         .join(city, "office_city", "left")
         .join(paid, "policy_code", "left")
-        .join(earned, "policy_id", "left")
         .join(work_grade, "policy_code", "left")
-        .join(people, "policy_id", "left")
     )
+    for facts in more:
+        rows = rows.join(facts, "policy_id", "left")
     nc, nd = (F.greatest(F.coalesce(c, F.lit(1)), F.lit(1)) if repeat_per_join_row else F.lit(1) for c in ("n_claims", "n_days"))
     keys = ["channel", "profession_type", "sku_coverage"]
     n = F.coalesce("persons", F.lit(0))

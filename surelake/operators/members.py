@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import codes
 from ..functions import scalars as S
+from .claim import claim_facts
 from .enterprise import streak_lengths
 
 # The tier a channel really gets, by nominal tier and downgrade steps.
@@ -34,6 +36,42 @@ class TierCuts:
     rate_low: float = 0.75
 
 
+def member_sums(policy, claims, standing, channel, product, as_of: str, casual_group: str = codes.CASUAL_GROUP) -> DataFrame:
+    """ent_id, due, earned, persons of every listed channel member, from one pass over its valid policies.
+
+    Policies are matched to members by holder name. ``due``: expected payout of the claims. ``earned``: premium accrued to
+    the date, and the whole premium of casual-labour policies once effective. ``persons``: headcount on that date.
+    ``standing``: ``standing.policy_standing`` on that date. Members without policies have zeros.
+    """
+    casual = product.where(F.col("dim_1") == casual_group).select(F.col("product_code").alias("insure_code"), F.lit(True).alias("casual")).distinct()
+    due = claim_facts(claims, "policy_no").select(F.col("policy_no").alias("policy_code"), "due")
+    whole = F.when(F.col("casual") & (S.day("effect_date") <= F.lit(as_of).cast("date")), F.col("premium").cast("decimal(24,4)"))
+    now = standing.select("policy_id", "charged_premium", F.when(F.col("running"), F.col("curr_insured")).alias("curr_insured"))
+    per_name = (
+        policy.where(S.valid_policy())
+        .join(casual, "insure_code", "left")
+        .select("policy_id", "policy_code", F.trim("holder_company").alias("name"), whole.alias("whole"))
+        .join(now, "policy_id", "left")
+        .join(due, "policy_code", "left")
+        .groupBy("name")
+        .agg(*[F.sum(c).alias(c) for c in ("due", "whole", "charged_premium", "curr_insured")])
+    )
+    names = channel.select("ent_id", F.trim("ent_name").alias("name")).distinct()
+
+    def known(c: str) -> Column:
+        return F.coalesce(c, F.lit(0))
+
+    return (
+        names.join(per_name, "name", "left")
+        .groupBy("ent_id")
+        .agg(
+            F.sum(known("due")).cast("decimal(24,4)").alias("due"),
+            F.sum(known("whole") + known("charged_premium")).cast("decimal(24,4)").alias("earned"),
+            F.sum(known("curr_insured")).alias("persons"),
+        )
+    )
+
+
 def member_tier(chan, money, months, people, as_of: str, cuts: TierCuts = TierCuts()) -> DataFrame:
     """Tier per channel.
 

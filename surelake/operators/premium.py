@@ -20,6 +20,15 @@ PRICE = "decimal(18,4)"
 PERSON = ("insured_id", "insured_cert_no")
 
 
+def price_spread() -> Column:
+    """Days over which a plan spreads its price: the person's own for a monthly one, else the policy's."""
+    return F.when(F.col("sku_charge_type") == "1", S.day_count("first", "last")).otherwise(F.col("policy_days"))
+
+
+def day_price(price: str, days: Column) -> Column:
+    return F.bround(F.col(price) / F.nullif(days, F.lit(0)), 4).cast(PRICE)
+
+
 def accrual_spans(policy, insured, product_codes=None, by_person: bool = False, plan=None) -> DataFrame:
     """In-force person spans with their day price and the number of persons sharing them.
 
@@ -48,7 +57,6 @@ def accrual_spans(policy, insured, product_codes=None, by_person: bool = False,
         F.col("first") <= F.col("last")
     )
     spans = spans.withColumn("persons", F.lit(1)) if by_person else spans.groupBy(*spans.columns).agg(F.count("*").alias("persons"))
-    n = F.when(F.col("sku_charge_type") == "1", S.day_count("first", "last")).otherwise(F.col("policy_days"))
     return spans.join(pol, "policy_id").select(
         *keys,
         "ent_id",
@@ -56,11 +64,11 @@ def accrual_spans(policy, insured, product_codes=None, by_person: bool = False,
         "first",
         "last",
         "persons",
-        F.bround(F.col("price") / F.nullif(n, F.lit(0)), 4).cast(PRICE).alias("sku_day_price"),
+        day_price("price", price_spread()).alias("sku_day_price"),
     )
 
 
-def _amount(*factors) -> Column:
+def amount(*factors) -> Column:
     """Day price times whole numbers, exact."""
     x = F.col("sku_day_price")
     for f in factors:
@@ -102,7 +110,7 @@ def step_days(spans: DataFrame, key: str, amounts: dict[str, str]) -> DataFrame:
 
 def premium_policy_day(policy, insured, product_codes=None, plan=None) -> DataFrame:
     """Premium per policy and day."""
-    spans = accrual_spans(policy, insured, product_codes, plan=plan).withColumn("amount", _amount(F.col("persons")))
+    spans = accrual_spans(policy, insured, product_codes, plan=plan).withColumn("amount", amount(F.col("persons")))
     return step_days(spans, "policy_id", {"charged_premium": "amount"}).select(
         "policy_id", S.day_id("day").alias("day_id"), F.col("charged_premium").cast("decimal(20,4)").alias("charged_premium")
     )
@@ -115,7 +123,7 @@ def premium_to_date(policy, insured, as_of: str, product_codes=None, plan=None)
     return (
         spans.where(F.col("first") <= F.lit(as_of).cast("date"))
         .groupBy("policy_id", "ent_id")
-        .agg(F.sum(_amount(F.col("persons"), S.day_count("first", until))).cast("decimal(24,4)").alias("charged_premium"))
+        .agg(F.sum(amount(F.col("persons"), S.day_count("first", until))).cast("decimal(24,4)").alias("charged_premium"))
     )
 
 
@@ -126,7 +134,7 @@ def premium_ent_month(policy, insured, product_codes=None, plan=None) -> DataFra
     n = S.day_count(F.greatest("first", "m"), F.least(F.col("last"), F.last_day("m")))
     return (
         parts.groupBy("ent_id", S.month_id("m").alias("month_id"))
-        .agg(F.sum(_amount(F.col("persons"), n)).cast("decimal(24,4)").alias("premium"))
+        .agg(F.sum(amount(F.col("persons"), n)).cast("decimal(24,4)").alias("premium"))
     )
 
 

@@ -140,7 +140,7 @@ SELECT ch AS channel, p / months AS avg_month_premium, p / months * 12 AS avg_ye
   CASE WHEN rs > 1 THEN round(rs / rn, 4) END AS mix_period_rate,
   CASE WHEN dea > 0 AND dis > 0 THEN round((dea + dis) / c, 4) END AS largecase_rate FROM f""")(
     lambda v: CH.channel_ratios(
-        CH.channel_facts(CH.channel_map(v.channel), v.policy, v.insured, v.insured_term, v.endorse, v.summary_month, v.sum_level, v.claims, v.risk_period)
+        CH.channel_facts(CH.channel_map(v.channel), v.policy, v.insured_detail, v.endorse, v.summary_month, v.sum_level, v.claims)
     )
 )
 query("channel_profile", f"""

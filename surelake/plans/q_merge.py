@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 from .. import session
 from ..functions import scalars as S
 from ..operators import facts as FA
-from ..operators import headcount as H
 from ..operators import mart
 from ..operators import merge as MG
-from ..operators import premium as PR
 from ..operators import profile as PF
 from ..operators import recon as R
+from ..operators import standing as ST
 from ..operators import web as W
 from .catalog import query
 from .q_premium import PDAY, SCOPE, TODAY, scope
@@ -181,8 +180,8 @@ SELECT channel, profession_type, sku_coverage, min(salesman) AS salesman, min(te
   cast(sum(persons) AS bigint) AS insured_count, cast(sum(price * persons) AS double) AS all_premium,
   round(cast(sum(price * persons) AS double) / nullif(sum(persons), 0), 4) AS avg_premium, substr(channel, 1, 5) AS short_name FROM r GROUP BY 1, 2, 3""")(
     lambda v: mart.plan_matrix(
-        H.headcount_on(v.policy, v.insured_term, AS_OF, scope(v)), v.policy, v.insured, v.policy.select("policy_code", "sku_coverage", "sku_price", "sku_charge_type"),
-        v.product, v.channel, v.team, v.policy_place, v.place_names, v.claims, PR.premium_to_date(v.policy, v.insured_term, AS_OF, scope(v)), v.work_grade, AS_OF)
+        ST.policy_standing(v.policy, v.insured_term, AS_OF, scope(v)), v.policy, None, v.policy.select("policy_code", "sku_coverage", "sku_price", "sku_charge_type"),
+        v.product, v.channel, v.team, v.policy_place, v.place_names, v.claims, None, v.work_grade, AS_OF)
 )
 
 # ---------------------------------------------------------- product flags

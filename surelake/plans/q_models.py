@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import session
-from ..operators import base as B
+from ..functions import scalars as S
 from ..operators import claim as C
 from ..operators import enterprise as E
 from ..operators import models as M
@@ -40,16 +40,14 @@ WITH e AS ({_E}) SELECT vec_id, """ + ", ".join(f"round((f{i} - min(f{i}) OVER (
 
 def ent_wide(v):
     """Wide labels behind the enterprise features."""
-    people = E.people_labels(v.policy, v.insured, v.sum_level).select(
+    people = E.people_labels(v.policy, v.insured_detail, v.sum_level).select(
         "ent_id", F.round(F.col("men") / F.col("gender_n") * 100, 2).alias("men_share"), F.round((F.col("gender_n") - F.col("men")) / F.col("gender_n") * 100, 2).alias("women_share"),
-        "cur_insured_persons", "ent_potential_scale")
+        F.round(S.ratio("years", "age_n"), 4).alias("ent_employee_age"), "cur_insured_persons", "ent_potential_scale", "ent_scale")
     parts = [
         people,
-        B.insured_age_avg(v.policy, v.insured_term),
         C.risk_level_pivot(v.policy, v.insured, v.work_level),
-        C.claim_labels(v.claims, v.policy).select("ent_id", "death_num", "disability_num", "report_num", "all_compensation", "pre_all_compensation"),
-        C.risk_period_labels(v.policy, v.risk_period).select("ent_id", "avg_aging_risk"),
-        E.enterprise_size(v.sum_level),
+        C.claim_labels(v.claims, v.policy).select(
+            "ent_id", "death_num", "disability_num", "report_num", "all_compensation", "pre_all_compensation", "avg_aging_risk"),
     ]
     out = v.policy.select("ent_id").distinct()
     for p in parts:
@@ -135,7 +133,6 @@ UNION ALL SELECT 'test_error', round(count(*) FILTER (user_id % 2 <> event_id %
 def _people(v):
     cards = PF.id_card_features(v.insured, AS_OF).withColumnRenamed("insured_cert_no", "cert")
     months = v.insured_term.groupBy(F.col("insured_cert_no").alias("cert")).agg(F.min("insured_start_date").alias("d"))
-    from ..functions import scalars as S
 
     prof = cards.join(months, "cert").select(
         "cert", "gender", "age", F.when(F.col("province_code") < "200000", "一线城市").otherwise("其他").alias("grade"),

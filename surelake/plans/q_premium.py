@@ -14,6 +14,7 @@ from ..operators import headcount as H
 from ..operators import headcount_store as HS
 from ..operators import members as M
 from ..operators import premium as PR
+from ..operators import standing as ST
 from .catalog import query
 from .q_channel import _LIVE, _MAP
 from .q_enterprise import DUE_ALL, VALID
@@ -182,11 +183,12 @@ CUTS = M.TierCuts(partner=200, diamonds=60, gold=20, silver=2)
 
 def _tier(v):
     chan = CH.channel_map(v.channel)
-    due = C.payout_expected_of_members(v.claims, v.policy, v.channel).withColumnRenamed("pre_all_compensation", "due")
-    money = due.join(earned(v).withColumnRenamed("charged_premium", "earned"), "ent_id", "full")
+    now = ST.policy_standing(v.policy, v.insured_term, AS_OF, scope(v))
+    # a row per enterprise, of which both the tiers' money and their headcounts are taken
+    sums = session.materialise(M.member_sums(v.policy, v.claims, now, v.channel, v.product, AS_OF), "members")
     live = v.summary_month.where((F.col("data_type") == "totalInsuredPersons") & (F.col("data_val").cast("bigint") > 0))
-    people = people_now(v).withColumnRenamed("cur_insured_persons", "persons")
-    t = M.member_tier(chan, money, live.select("ent_id", "month_id"), people, AS_OF, CUTS)
+    people = sums.select("ent_id", F.lit(TODAY[:6]).alias("month_id"), "persons")
+    t = M.member_tier(chan, sums, live.select("ent_id", "month_id"), people, AS_OF, CUTS)
     return t.withColumns({"rate": F.round("rate", 6)})
 
 

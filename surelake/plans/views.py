@@ -26,6 +26,17 @@ _CARD = (
 )
 CARD_L = _CARD.format(p="l_partkey")
 
+#: the columns of a person row, the same with and without the dates of the insurance
+_INSURED = """l_orderkey AS policy_id,
+       concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string),
+              '-', cast(l_suppkey AS string)) AS insured_id,
+       p_name AS insured_name, card AS insured_cert_no,
+       concat('138', lpad(cast(l_partkey + CASE WHEN l_quantity > 49 AND l_discount > 0.09 THEN 1 ELSE 0 END AS string),
+              8, '0')) AS insured_mobile,
+       p_type AS insured_work_type, CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END AS insure_policy_status,
+       concat('Company ', cast(l_suppkey AS string)) AS insured_company_name,
+       CASE WHEN l_linenumber = 7 AND l_quantity > 40 THEN card ELSE '' END AS child_cert_no"""
+
 VIEWS: dict[str, str] = {
     "policy": """
 SELECT o_orderkey AS policy_id, concat('POL', cast(o_orderkey AS string)) AS policy_code,
@@ -49,17 +60,11 @@ UNION ALL SELECT policy_code, CASE sku_charge_type WHEN '1' THEN '2' ELSE '1' EN
 SELECT p_partkey, p_name, p_type, {_CARD.format(p='p_partkey')} AS card,
        DATE '1960-01-01' + cast((p_partkey * 37) % 14600 AS int) AS birthday
 FROM part""",
-    "insured": """
-SELECT l_orderkey AS policy_id,
-       concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string),
-              '-', cast(l_suppkey AS string)) AS insured_id,
-       p_name AS insured_name, card AS insured_cert_no,
-       concat('138', lpad(cast(l_partkey + CASE WHEN l_quantity > 49 AND l_discount > 0.09 THEN 1 ELSE 0 END AS string),
-              8, '0')) AS insured_mobile,
-       p_type AS insured_work_type, CASE l_linestatus WHEN 'O' THEN '1' ELSE '2' END AS insure_policy_status,
-       concat('Company ', cast(l_suppkey AS string)) AS insured_company_name,
-       CASE WHEN l_linenumber = 7 AND l_quantity > 40 THEN card ELSE '' END AS child_cert_no
-FROM lineitem JOIN person ON l_partkey = p_partkey""",
+    "insured": f"SELECT {_INSURED} FROM lineitem JOIN person ON l_partkey = p_partkey",
+    "insured_detail": f"""
+SELECT {_INSURED}, birthday AS insured_birthday, cast(o_orderdate AS date) + l_linenumber AS insured_start_date,
+       cast(o_orderdate AS date) + l_linenumber + cast(l_quantity AS int) AS insured_end_date
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN person ON l_partkey = p_partkey""",
     "insured_term": """
 SELECT l_orderkey AS policy_id,
        concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-', cast(l_partkey AS string),
@@ -97,7 +102,8 @@ SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string), '-'
        CASE WHEN l_linenumber = 3 THEN NULL ELSE cast(l_linenumber AS string) END AS time_effect,
        CASE WHEN l_linenumber = 7 THEN '#N/A' WHEN l_linenumber = 6 AND l_tax > 0.06 THEN '待定'
             ELSE cast(cast(l_extendedprice AS decimal(15,2)) AS string) END AS pre_com,
-       CASE WHEN l_discount >= 0.05 THEN '' ELSE cast(cast(l_extendedprice AS decimal(15,2)) AS string) END AS final_payment
+       CASE WHEN l_discount >= 0.05 THEN '' ELSE cast(cast(l_extendedprice AS decimal(15,2)) AS string) END AS final_payment,
+       cast(l_quantity AS int) AS risk_period
 FROM lineitem WHERE l_returnflag <> 'N'""",
     "risk_period": f"""
 SELECT concat('POL', cast(l_orderkey AS string)) AS policy_no, {CARD_L} AS cert_no, cast(l_quantity AS int) AS risk_period
@@ -359,7 +365,7 @@ class Inputs:
 
 
 #: the larger tables, worth writing once when many queries run over the same data
-PREPARED = "documents events policy insured insured_term claims risk_period endorse summary_month people_sources".split()
+PREPARED = "documents events policy insured insured_detail insured_term claims risk_period endorse summary_month people_sources".split()
 
 
 def prepare(spark: SparkSession, folder: str, out: str, files: int) -> None:

@@ -21,6 +21,11 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def scans(df, table: str) -> int:
+    """How often the plan reads a table."""
+    return len(re.findall(rf"FileScan parquet[^\n]*?/{table}\.parquet", plan_of(df)))
+
+
 def audit(df) -> list[str]:
     text = plan_of(df)
     return [name for name, pattern in FLAGS.items() if re.search(pattern, text)]

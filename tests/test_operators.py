@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,6 +139,45 @@ def test_daily_headcount_brute_force(spark, seed):
     assert rows(by_ent) == rows(carried)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_policy_standing_equals_its_parts(spark, seed):
+    from surelake.operators import standing
+
+    rng = random.Random(seed)
+    pol = [(p, None if p == 4 else f"P{p}", f"e{p % 2}", "19"[p == 3], str(1 + p % 3), None if p == 2 else 100.0 + p, "01"[p % 2], day(a := rng.randrange(20)), day(a + rng.randrange(1, 30)))
+           for p in range(6)]
+    policy = frame(spark, "policy_id int, policy_code string, ent_id string, insure_code string, sku_charge_type string, sku_price double, policy_status string, "
+                   "start_date date, end_date date", *pol)
+    spans = [*random_spans(rng), (0, "n", None, day(3), day(9)), (0, "m", None, day(1), day(20)), (1, "w", "x ", day(2), day(40)), (1, "v", "x", day(2), day(40)),
+             (1, "u", "u", day(9), day(2))]
+    insured = frame(spark, "policy_id int, insured_id string, insured_cert_no string, insured_start_date date, insured_end_date date", *spans)
+    tidy = insured.withColumn("insured_cert_no", F.trim("insured_cert_no"))
+    scope = frame(spark, "product_code string", ("1",), ("1",))
+    now = day(12).isoformat()
+    got = standing.policy_standing(policy, insured, now, scope)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(policy_id") == 2, plan  # one for the policies, one for the person rows
+    assert rows(got.where("running").select("policy_id", "day_id", "curr_insured")) == rows(
+        headcount.headcount_on(policy, tidy, now, scope).select("policy_id", "day_id", "curr_insured"))
+    assert rows(got.where("charged_premium IS NOT NULL").select("policy_id", "charged_premium")) == rows(
+        premium.premium_to_date(policy, insured, now, scope).select("policy_id", "charged_premium"))
+    persons = {r.policy_id: r.persons for r in got.collect()}
+    assert persons == {p: len({(c or "").strip() for q, _, c, *_ in spans if q == p}) for p, _, _, code, *_ in pol if code == "1"}
+    assert got.select("policy_id").distinct().count() == got.count()
+
+
+def test_member_sums(spark):
+    policy = frame(spark, "policy_id int, policy_code string, insure_code string, policy_status string, holder_company string, premium double, effect_date date",
+                   (1, "P1", "1", "1", " A ", 5.0, day(0)), (2, "P2", "9", "1", "A", 7.0, day(0)), (3, "P3", "9", "0", "B", 11.0, day(40)), (4, "P4", "1", "3", "B", 1.0, day(0)))
+    columns = "policy_id int, running boolean, curr_insured bigint, charged_premium decimal(24,4)"
+    standing = frame(spark, columns, (1, True, 3, Decimal("2.5")), (2, False, 8, None), (4, True, 9, Decimal("9")))
+    claims = frame(spark, CLAIM, *[a_claim(policy_no=p, pre_com=c) for p, c in (("P1", "10"), ("P1", "#N/A"), ("P2", "4"), ("P4", "100"))])
+    channel = frame(spark, "ent_id string, ent_name string", ("a", "A"), ("a", "A "), ("b", "B"), ("c", "C"), ("d", None))
+    product = frame(spark, "product_code string, dim_1 string", ("1", "骑士保"), ("9", "零工保"), ("9", "零工保"))
+    got = {r.ent_id: (float(r.due), float(r.earned), r.persons) for r in members.member_sums(policy, claims, standing, channel, product, day(12).isoformat()).collect()}
+    assert got == {"a": (14.0, 9.5, 3), "b": (0.0, 0.0, 0), "c": (0.0, 0.0, 0), "d": (0.0, 0.0, 0)}
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_premium_steps_equal_day_expansion(spark, seed):
     rng = random.Random(seed)
@@ -517,6 +557,17 @@ def test_plan_matrix_multiplicities(spark):
     assert (r.curr_insured, r.pre_com, r.charged_premium) == (20, 30.0, 6.0)
 
 
+def test_ages_and_risk_periods_come_with_the_other_facts(inputs):
+    v = inputs
+    facts_ = enterprise.people_facts(v.policy, v.insured_detail)
+    assert rows(facts_.drop("years", "age_n")) == rows(enterprise.people_facts(v.policy, v.insured))
+    assert rows(facts_.select("ent_id", "years", "age_n")) == rows(base.age_sums(v.policy, v.insured_term))
+    names = ("ent_id", "avg_aging_risk", "mix_period_count", "mix_period_rate")
+    key = lambda r: str(r)
+    want = claim.risk_period_labels(v.policy, v.risk_period).select(*names).collect()
+    assert sorted(claim.claim_labels(v.claims, v.policy).select(*names).collect(), key=key) == sorted(want, key=key)
+
+
 def test_all_coverage_labels_in_one_table(inputs):
     v = inputs
     wide = enterprise.insure_labels(v.policy, v.insured, v.endorse, v.summary_month, v.sum_level, v.work_level, v.claims, "2001-08-01")

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import compare, duck
 from tests.conftest import SF
-from tests.plan_audit import audit
+from tests.plan_audit import audit, scans
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -32,6 +32,12 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SF).limit(1).collect()
 
 
+@pytest.mark.parametrize("name,most", [("channel_ratio", 4), ("risk_features", 3), ("member_tier", 1), ("plan_matrix", 2)])
+def test_person_and_claim_rows_are_read_once(spark, name, most):
+    """Persons, claims, endorsements and months are stand-ins over one table; each is read once."""
+    assert 0 < scans(QUERIES[name](spark, SF), "lineitem") <= most
+
+
 def test_entry(spark):
     assert set(entry.entry(spark).columns) == {"ent_id", "effective_policy"}
     assert set(ORACLES) <= set(QUERIES)

@@ -98,9 +98,9 @@ def member_tier(chan, money, months, people, as_of: str, cuts: TierCuts = TierCu
         F.count_if(
             (F.col("age") >= 0) & (F.col("age") < cuts.diamond_months) & ((p < cuts.diamonds) | (p >= cuts.partner))
         ).alias("weak_diamond"),
-        F.max_by("persons", "month_id").alias("peak"),
+        F.max_by("persons", "month_id").alias("peak"), F.max("streak").alias("streak"), F.max("last").alias("last"),
     )
-    rows = recent.join(sums, "channel").join(streak, "channel", "left").withColumn("streak", F.coalesce("streak", F.lit(0)))
+    rows = recent.join(sums, "channel").withColumn("streak", F.coalesce("streak", F.lit(0)))
     rate = F.when(F.col("earned") != 0, F.col("due") / F.nullif("earned", F.lit(0.0)))
     # no earned premium: any payout counts as a loss ratio above one
     for_cut = F.coalesce(rate, F.when(F.col("due") > 0, 1.0).otherwise(0.0))

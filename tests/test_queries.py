@@ -34,7 +34,7 @@ def test_runs(spark, name):
 
 @pytest.mark.parametrize("name,most", [("channel_ratio", 4), ("risk_features", 3), ("member_tier", 1), ("plan_matrix", 2)])
 def test_person_and_claim_rows_are_read_once(spark, name, most):
-    """Persons, claims, endorsements and months are stand-ins over one table; each is read once."""
+    """Persons, claims, endorsements and months are stand-ins over one table; only risk_features reads one, the persons, twice."""
     assert 0 < scans(QUERIES[name](spark, SF), "lineitem") <= most
 
 

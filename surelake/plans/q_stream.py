@@ -15,8 +15,11 @@ from .views import EVENT_AS_OF
 
 
 def _stream(v, table):
-    """A table as a stream of the files it consists of."""
-    return J.file_messages(v.spark, v.folder, f"{table}.parquet", getattr(v, table).schema)
+    """A table as a stream of the files it consists of: one of its name, or those in a folder of its name."""
+    path, schema = f"{v.folder}/{table}.parquet", getattr(v, table).schema
+    if session.is_folder(v.spark, path):
+        return J.file_messages(v.spark, path, "*", schema)
+    return J.file_messages(v.spark, v.folder, f"{table}.parquet", schema)
 
 
 def _run(v, stream, batch, mode="append"):

@@ -250,6 +250,18 @@ def test_ten_days_equal_one_run(spark, tmp_path, digits):
     assert again["days"] == [] and sorted(map(tuple, HS.daily_headcount(spark, path).collect())) == want
 
 
+def test_a_table_of_several_files_streams_like_one_file(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(c, t, "user" if t % 2 else "assistant", None if (c, t) == (2, 3) else f"text {c} {t}") for c in range(1, 5) for t in range(1, 6)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    table.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.key: r.text for r in entry.queries()["stream_state_concat"](spark, str(tmp_path)).collect()}
+    assert got == {str(c): "\t".join(x for d, _, _, x in rows if d == c and x) for c in range(1, 5)}
+    chunks = {r.key: r.text for r in entry.queries()["stream_text_chunks"](spark, str(tmp_path)).collect()}
+    assert chunks == {k: "\t".join(x for _, _, role, x in rows if role == k and x) for k in ("user", "assistant")}
+
+
 # ------------------------------------------------------------------- names
 
 

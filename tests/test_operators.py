@@ -378,6 +378,27 @@ def test_name_similarity_edges(spark):
     assert [r.id for r in matching.name_similarity(inv, h, frame(spark, "id int", (1,), (2,), (3,))).collect()] == [4]
 
 
+def test_long_needles_are_found_through_few_rows(spark, monkeypatch):
+    from surelake.operators import overlap
+
+    rng = random.Random(8)
+    texts = {i: "".join(rng.choice("abcd é\U0001f600") for _ in range(rng.choice((3, 15, 16, 40, 64, 200)))) for i in range(80)}
+    texts[80] = texts[3] + texts[5] + texts[6]
+    texts[81] = texts[80]
+    cuts = [(a := rng.randrange(len(t)), t[a : a + n]) for t in texts.values() for n in (1, 2, 15, 16, 17, 63, 64, 90)]
+    asked = {str(n): c for n, c in enumerate(dict.fromkeys(c for _, c in cuts if c))}
+    asked["none"] = "x" * 70
+    traffic = []
+    made = overlap.candidates
+    monkeypatch.setattr(overlap, "candidates", lambda *a: (traffic.append(d := made(*a)), d)[1])
+    frames = frame(spark, "qid string, needle string", *asked.items()), frame(spark, "kid int, text string", *texts.items())
+    got = {tuple(r) for r in overlap.containing(*frames).collect()}
+    assert got == {(q, k) for q, n in asked.items() for k, t in texts.items() if n in t}
+    long = {q for q, n in asked.items() if len(n) >= 16}
+    pairs = {tuple(r) for d in traffic for r in d.collect()}
+    assert len({p for p in pairs if p[0] in long}) < 1.5 * len({p for p in got if p[0] in long})
+
+
 @pytest.mark.parametrize("chunk", [2, 3, 256])
 def test_shared_people_brute_force(spark, chunk):
     rng = random.Random(3)

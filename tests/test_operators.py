@@ -411,6 +411,20 @@ def test_shared_people_brute_force(spark, chunk):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_shared_people_of_many_holders_ships_lists(spark):
+    from tests.plan_audit import plan_of
+
+    pairs = [(f"h{h:03d}", f"p{p}") for h in range(60) for p in range(30) if (h + p) % 3]
+    of = defaultdict(set)
+    for h, p in pairs:
+        of[h].add(p)
+    df = matching.shared_people(frame(spark, "holder string, person string", *pairs), 16)
+    assert {tuple(r) for r in df.collect()} == {(a, b, len(of[a] & of[b])) for a, b in itertools.combinations(sorted(of), 2) if of[a] & of[b]}
+    # pairs of holders are added up where they are expanded: no exchange between the two
+    above = plan_of(df).split("Generate explode(y")[0]
+    assert above[above.rindex("Exchange"):].count("HashAggregate") == 2
+
+
 def test_nearest_start_brute_force(spark):
     rng = random.Random(4)
     claims = [(f"c{rng.randrange(6)}", f"2020/1/{rng.randrange(1, 29)}", f"2020/2/{rng.randrange(1, 28)}", str(i), "") for i in range(40)]

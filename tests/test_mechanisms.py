@@ -250,6 +250,32 @@ def test_ten_days_equal_one_run(spark, tmp_path, digits):
     assert again["days"] == [] and sorted(map(tuple, HS.daily_headcount(spark, path).collect())) == want
 
 
+def test_the_kept_daily_table_holds_runs_of_days(spark, tmp_path):
+    from surelake.operators import headcount_store as HS
+
+    path, on = str(tmp_path / "store"), lambda n: DAY.date() + dt.timedelta(days=n)
+    policy = spark.createDataFrame([(1, "C1", on(0), on(59))], "policy_id long, policy_code string, start_date date, end_date date")
+    # b follows a on the next day, so the headcount stays
+    spans = spark.createDataFrame([(1, "1", "a", on(10), on(19)), (1, "2", "b", on(20), on(29))], "policy_id long, insured_id string, insured_cert_no string, insured_start_date date, insured_end_date date")
+    HS.apply_changes(spark, path, policy, spans, 2, 6)
+    stored = spark.read.parquet(f"{path}/daily")
+    assert sorted((r["first"], r["last"], r.n) for r in stored.collect()) == [(on(0), on(9), 0), (on(10), on(29), 1), (on(30), on(30), 0), (on(31), on(59), 0)]
+    days = HS.daily_headcount(spark, path).collect()
+    assert len(days) == 60 and sum(r.curr_insured for r in days) == 20
+
+
+def test_partitions_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    spark.range(20_000).selectExpr("cast(uuid() as string) AS u").coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    size = session.stored(spark, str(tmp_path))
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", size // 40)
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        session.tune(spark, str(tmp_path))
+        assert 40 <= int(spark.conf.get(name)) <= 42
+    finally:
+        spark.conf.unset(name)
+
+
 def test_a_table_of_several_files_streams_like_one_file(spark, tmp_path):
     import __spark_entry__ as entry
 

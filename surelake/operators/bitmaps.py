@@ -1,9 +1,10 @@
 """Exact distinct persons from stored bitmaps.
 
 Persons get dense numbers once, those of one enterprise next to each other, so an enterprise fills few
-bitmaps of 32,768 numbers each. One table holds a bitmap per enterprise, month in which cover began and block of
+bitmaps of 64 numbers each. One table holds a bitmap, a long, per enterprise, month in which cover began and block of
 numbers; distinct persons of any group of enterprises and months are the bits of the bitmaps put
-together, block by block, and person rows are not read again. A large enterprise or channel is spread over its blocks.
+together, block by block, and person rows are not read again. A large enterprise or channel is spread over its blocks,
+a small one takes no more room than its persons.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from ..functions import scalars as S
 
 #: Who is counted: on valid policies, in force on them, in force on running policies.
 MEASURES = ("ever", "active", "now")
+#: A block is the numbers equal but for so many last bits: those that fit a long.
+BLOCK_BITS = 6
 
 
 def _owned(policy: DataFrame) -> DataFrame:
@@ -53,29 +56,29 @@ def person_bitmaps(policy: DataFrame, insured: DataFrame, started: DataFrame, nu
     """(ent_id, month_id, block, ever, active, now): bitmaps of the persons, by the month their cover began.
 
     ``insured``: policy_id, insured_id, insured_cert_no, insure_policy_status. ``started``: insured_id, insured_start_date; rows without one
-    have a null month. ``numbers``: person, number. Person rows are put together per policy, person and month before they meet the policies.
+    have a null month. ``numbers``: person, number. Repeated rows of a person set the same bit.
     """
-    live = F.col("insure_policy_status") == "1"
+    live = F.coalesce(F.col("insure_policy_status") == "1", F.lit(False))
     begun = started.groupBy("insured_id").agg(F.min("insured_start_date").alias("first"))
     rows = insured.where(F.col("insured_cert_no").isNotNull()).join(begun, "insured_id", "left")
-    per = rows.groupBy("policy_id", F.col("insured_cert_no").alias("person"), F.date_format("first", "yyyyMM").alias("month_id")).agg(F.coalesce(F.max(live), F.lit(False)).alias("live"))
-    owned = per.join(_owned(policy), "policy_id").groupBy("ent_id", "person", "month_id").agg(
-        F.max("valid").alias("ever"), F.max(F.col("valid") & F.col("live")).alias("active"), F.max(F.col("running") & F.col("live")).alias("now")
+    rows = rows.select("policy_id", F.col("insured_cert_no").alias("person"), F.date_format("first", "yyyyMM").alias("month_id"), live.alias("live"))
+    counted = {"ever": F.col("valid"), "active": F.col("valid") & F.col("live"), "now": F.col("running") & F.col("live")}
+    bit = F.expr(f"shiftleft(1L, cast(number & {(1 << BLOCK_BITS) - 1} AS int))")
+    placed = rows.join(_owned(policy), "policy_id").join(numbers.select("person", "number"), "person").select(
+        "ent_id", "month_id", F.shiftright("number", BLOCK_BITS).alias("block"), *[F.when(counted[m], bit).otherwise(F.lit(0).cast("long")).alias(m) for m in MEASURES]
     )
-    # bit positions count from 1 within a block
-    placed = owned.join(numbers, "person").withColumns({"block": F.bitmap_bucket_number(F.col("number") + 1), "bit": F.bitmap_bit_position(F.col("number") + 1)})
-    return placed.groupBy("ent_id", "month_id", "block").agg(*[F.bitmap_construct_agg(F.when(F.col(m), F.col("bit"))).alias(m) for m in MEASURES])
+    return placed.groupBy("ent_id", "month_id", "block").agg(*[F.bit_or(m).alias(m) for m in MEASURES])
 
 
 def write_bitmaps(bitmaps: DataFrame, path: str) -> None:
-    """The stored table, a folder per month, so that a period reads only its months."""
-    bitmaps.repartition("month_id", "ent_id").sortWithinPartitions("ent_id", "block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_id").parquet(path)
+    """The stored table, a folder per month, so that a period reads only its months. A task writes few months, so there are few files."""
+    bitmaps.repartitionByRange("month_id", "ent_id", "block").sortWithinPartitions("month_id", "ent_id", "block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month_id").parquet(path)
 
 
 def distinct_persons(bitmaps: DataFrame, *by: str, measures: tuple[str, ...] = MEASURES) -> DataFrame:
     """Distinct persons per group of the columns ``by``: bitmaps are put together per block, then their bits are added up."""
-    blocks = bitmaps.groupBy(*by, "block").agg(*[F.bitmap_or_agg(m).alias(m) for m in measures])
-    return blocks.groupBy(*by).agg(*[F.sum(F.bitmap_count(m)).alias(m) for m in measures])
+    blocks = bitmaps.groupBy(*by, "block").agg(*[F.bit_or(m).alias(m) for m in measures])
+    return blocks.groupBy(*by).agg(*[F.sum(F.bit_count(m)).alias(m) for m in measures])
 
 
 def channel_persons(bitmaps: DataFrame, members: DataFrame, measures: tuple[str, ...] = MEASURES) -> DataFrame:

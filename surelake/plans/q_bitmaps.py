@@ -11,7 +11,7 @@ from .views import AS_OF
 
 def stored(v):
     """The bitmap table, written and read back."""
-    home = v.insured.select("policy_id", F.col("insured_cert_no").alias("person")).distinct().join(v.policy.select("policy_id", F.col("ent_id").alias("home")), "policy_id")
+    home = v.insured.select("policy_id", F.col("insured_cert_no").alias("person")).join(v.policy.select("policy_id", F.col("ent_id").alias("home")), "policy_id")
     numbers = session.materialise(BM.number_persons(home), "numbers")
     path = session.scratch(v.spark, "bitmaps")
     BM.write_bitmaps(BM.person_bitmaps(v.policy, v.insured, v.insured_term.select("insured_id", "insured_start_date"), numbers), path)

@@ -78,6 +78,17 @@ def test_a_large_enterprise_fills_several_blocks_and_new_persons_follow(spark, t
     assert table.where("ent_id = 'small'").count() == 1  # persons of one enterprise stand together
 
 
+def test_small_enterprises_take_little_room(spark, tmp_path):
+    policy = spark.range(3000).select(F.col("id").alias("policy_id"), F.format_string("E%04d", "id").alias("ent_id"), F.lit("1").alias("policy_status"))
+    insured = spark.range(6000).select(F.floor(F.col("id") / 2).alias("policy_id"), F.col("id").cast("string").alias("insured_id"), F.format_string("c%04d", F.col("id") * 7 % 6000).alias("insured_cert_no"), F.lit("1").alias("insure_policy_status"))
+    begun = insured.select("insured_id", F.lit("2024-01-05").cast("date").alias("insured_start_date"))
+    _, bits = _bitmaps(spark, insured, policy, begun)
+    out = str(tmp_path / "bits")
+    bits.write.option("compression", "none").parquet(out)
+    assert session.stored(spark, out) < 100 * 6000
+    assert {(r.ever, r.active, r.now) for r in BM.distinct_persons(spark.read.parquet(out), "ent_id").collect()} == {(2, 2, 2)}
+
+
 # -------------------------------------------------------------- text chunks
 
 

@@ -152,19 +152,21 @@ class Grams:
             most = max(most, n)
         return most
 
-    def asks(self, word: str, rare: int) -> tuple[int, list[tuple[int, int]]]:
-        """(level, grams whose lists hold all variants), the level of the shortest lists."""
+    def asks(self, word: str, rare: int, cuts: dict[int, list[tuple[int, int]]]) -> tuple[int, list[tuple[int, int]]]:
+        """(level, grams whose lists hold all variants), a level of the shortest lists. ``cuts``: the word's grams at each level."""
         best = None
-        for q in LEVELS:
+        for q in reversed(LEVELS):  # the higher, the shorter the lists
             if q > 2 and 2 * q > len(word):
-                break
-            grams = self.cut(word, q)
+                continue
+            grams = cuts[q]
+            sizes = sorted((self.counts.get(word[p:e], rare), p, e) for p, e in grams)
+            if best is not None and sum(s[0] for s in sizes[:2]) >= best[0]:  # an edit spoils one at least
+                continue
             n = self.spoiled(word, grams, q) + 1
             if n <= len(grams):
-                sizes = sorted((self.counts.get(word[p:e], rare), p, e) for p, e in grams)[:n]
-                cost = sum(s[0] for s in sizes)
+                cost = sum(s[0] for s in sizes[:n])
                 if best is None or cost < best[0]:
-                    best = cost, q, [(p, e) for _, p, e in sizes]
+                    best = cost, q, [(p, e) for _, p, e in sizes[:n]]
         return best[1:]
 
 
@@ -188,20 +190,20 @@ ROW = "list string, kind int, id long, n long, word string"
 INDEXED, SAME, SHORTER = 0, 1, 2
 
 
-def list_rows(words: DataFrame, grams, rare: int) -> DataFrame:
+def list_rows(words: DataFrame, known, rare: int) -> DataFrame:
     """Index and question rows of all words; a list is named by level, length, place and gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Grams(grams.value)
+        own = Grams(known.value)
         for batch in batches:
             for part in (batch.slice(a, 2000) for a in range(0, batch.num_rows, 2000)):
                 out = []
                 for i, n, w in zip(*(part.column(c).to_pylist() for c in ("id", "n", "word"))):
                     size = len(w)
-                    for q in LEVELS:
-                        if q == 2 or 2 * q <= size + 1:  # levels at which words of this length or one more ask
-                            out += [(f"{q}/{size}/{p}/{w[p:e]}", INDEXED, i, n, w) for p, e in own.cut(w, q)]
-                    q, asked = own.asks(w, rare)
+                    cuts = {q: own.cut(w, q) for q in LEVELS if q == 2 or 2 * q <= size + 1}  # levels at which words of this length or one more ask
+                    for q, grams in cuts.items():
+                        out += [(f"{q}/{size}/{p}/{w[p:e]}", INDEXED, i, n, w) for p, e in grams]
+                    q, asked = own.asks(w, rare, cuts)
                     for p, e in asked:
                         g = w[p:e]
                         out.append((f"{q}/{size}/{p}/{g}", SAME, i, n, w))
@@ -217,73 +219,93 @@ def list_rows(words: DataFrame, grams, rare: int) -> DataFrame:
 
 # Comparison
 
-def letters_of(words: list[str]) -> np.ndarray:
-    """Words of one length as rows of code points."""
-    raw = "".join(words)
+def letters_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(code points of all words one after the other, where each word begins and the last one ends)."""
+    starts = np.concatenate([[0], np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    raw = "".join(words.to_pylist())
     try:
-        flat = np.frombuffer(raw.encode("latin-1"), np.uint8)
+        return np.frombuffer(raw.encode("latin-1"), np.uint8), starts
     except UnicodeEncodeError:
-        flat = np.frombuffer(raw.encode("utf-32-le"), np.uint32)
-    return flat.reshape(len(words), -1)
+        return np.frombuffer(raw.encode("utf-32-le"), np.uint32), starts
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows that differ in one letter."""
-    x, y = np.nonzero((a[:, None, :] != b[None, :, :]).sum(axis=2, dtype=np.int32) == 1)
-    return x, y
+    n = b.shape[1]
+    differ = np.zeros((len(a), len(b)), np.uint8 if n < 256 else np.uint32)
+    for x, y in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):
+        differ += x[:, None] != y
+    return np.nonzero(differ == 1)
 
 
 def one_deleted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs where the longer row of ``a`` becomes that of ``b`` by deleting one letter."""
     n = b.shape[1]
-    ahead = a[:, None, :n] != b[None, :, :]
-    lead = np.where(ahead.any(axis=2), ahead.argmax(axis=2), n)
-    behind = (a[:, None, 1:] != b[None, :, :])[:, :, ::-1]
-    trail = np.where(behind.any(axis=2), behind.argmax(axis=2), n)
-    return np.nonzero(lead + trail >= n)
+    longer, shorter = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    alike = np.zeros((len(a), len(b)), np.uint8 if n < 128 else np.uint32)
+    for pairs in (zip(longer, shorter), zip(longer[:0:-1], shorter[::-1])):  # letters that agree from the front, then from the end
+        so_far = np.ones(alike.shape, bool)
+        for x, y in pairs:
+            so_far &= x[:, None] == y
+            alike += so_far
+    return np.nonzero(alike >= n)
 
 
 def compare_lists(rows: DataFrame) -> DataFrame:
     """(id, near_id, near_n, near_word) of all variants found in each list, both ways; rows come sorted by list and kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = ([], [], []), None
+        held = []  # of a list that may go on
         for batch in batches:
-            names, part = coded(batch.column("list"))
-            extra = batch.column("part").to_numpy()
-            bounds = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]) | (extra[1:] != extra[:-1])]))
-            kinds = batch.column("kind").to_numpy()
-            ids, ns, words = (batch.column(c).to_pylist() for c in ("id", "n", "word"))
-            for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), batch.num_rows]):
-                name = part[names[a]], extra[a]
-                if name != last:
-                    yield from found(held)
-                    held, last = ([], [], []), name
-                cuts = a + np.searchsorted(kinds[a:b], [INDEXED, SAME, SHORTER, SHORTER + 1])
-                for k in range(3):
-                    held[k].extend(zip(ids[cuts[k] : cuts[k + 1]], ns[cuts[k] : cuts[k + 1]], words[cuts[k] : cuts[k + 1]]))
+            begin = int(starts_of(batch)[-1])
+            if not begin and held and all(batch.column(c)[0] == held[0].column(c)[0] for c in ("list", "part")):
+                held.append(batch)
+                continue
+            yield from found([*held, batch.slice(0, begin)])
+            held = [batch.slice(begin)]
         yield from found(held)
 
-    def found(held) -> Iterator[pa.RecordBatch]:
-        indexed, same, shorter = held
-        if not indexed or not (same or shorter):
+    def starts_of(rows) -> np.ndarray:
+        names, _ = coded(rows.column("list"))
+        part = rows.column("part").to_numpy()
+        return np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]) | (part[1:] != part[:-1])]))
+
+    def found(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not sum(b.num_rows for b in held):
             return
-        out = []
-        size = len(indexed[0][2])
-        for asks, near in ((same, one_replaced), (shorter, one_deleted)):
-            wide = max(1, min(len(indexed), BLOCK // size))
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        begin = starts_of(rows)
+        kinds, ids, ns = (rows.column(c).to_numpy() for c in ("kind", "id", "n"))
+        words = rows.column("word")
+        letters, at = letters_of(words)
+        sizes = [np.add.reduceat(kinds == k, begin, dtype=np.int64) for k in (INDEXED, SAME, SHORTER)]
+        ones, twos = [], []
+        for g in np.flatnonzero((sizes[0] > 0) & (sizes[1] + sizes[2] > 0)).tolist():
+            first = int(begin[g])
+            last, size = first + int(sizes[0][g]), int(at[first + 1] - at[first])
+            wide = max(1, min(last - first, BLOCK // size))
             tall = max(1, BLOCK // (size * wide))
-            rows = [letters_of([w for _, _, w in indexed[b : b + wide]]) for b in range(0, len(indexed), wide)] if asks else []
-            for a in range(0, len(asks), tall):
-                left = letters_of([w for _, _, w in asks[a : a + tall]])
-                for b, right in enumerate(rows):
-                    for x, y in zip(*(c.tolist() for c in near(left, right))):
-                        one, two = asks[a + x], indexed[b * wide + y]
-                        if near is one_deleted or one[0] < two[0]:
-                            out += [(one[0], *two), (two[0], *one)]
-        if out:
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["id", "near_id", "near_n", "near_word"])
+            right = [(b, letters[at[b] : at[min(b + wide, last)]].reshape(-1, size)) for b in range(first, last, wide)]
+            ask = last
+            for kind, near in ((SAME, one_replaced), (SHORTER, one_deleted)):
+                end = ask + int(sizes[kind][g])
+                for a in range(ask, end, tall):
+                    left = letters[at[a] : at[min(a + tall, end)]].reshape(-1, size + (near is one_deleted))
+                    for b, indexed in right:
+                        x, y = near(left, indexed)
+                        if len(x):
+                            ones.append(x + a)
+                            twos.append(y + b)
+                ask = end
+        if not ones:
+            return
+        one, two = np.concatenate(ones), np.concatenate(twos)
+        once = (kinds[one] == SHORTER) | (ids[one] < ids[two])
+        one, two = one[once], two[once]
+        of, near = np.concatenate([one, two]), np.concatenate([two, one])
+        for a in range(0, len(of), 100_000):
+            x, y = of[a : a + 100_000], near[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y]), pa.array(ns[y]), words.take(pa.array(y))], ["id", "near_id", "near_n", "near_word"])
 
     return rows.mapInArrow(run, "id long, near_id long, near_n long, near_word string")
 

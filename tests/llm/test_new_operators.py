@@ -194,6 +194,52 @@ def test_grams_left_by_an_edit():
                         assert kept >= left
 
 
+def test_lists_asked_are_the_shortest():
+    """A word's grams are cut once, and levels that can't have shorter lists are passed over."""
+    rnd = random.Random(9)
+    passed = 0
+    for _ in range(40):
+        words = {"".join(rnd.choice("aabc") for _ in range(rnd.randint(5, 14))) for _ in range(30)}
+        places = Counter(w[p : p + q] for w in words for q in range(2, 6) for p in range(len(w) - q + 1))
+        grams = spelling.Grams({g: n for g, n in places.items() if n > 3})
+        for w in words:
+            costs = {}
+            cuts = {q: grams.cut(w, q) for q in spelling.LEVELS if q == 2 or 2 * q <= len(w)}
+            for q, own in cuts.items():
+                n = grams.spoiled(w, own, q) + 1
+                if n <= len(own):
+                    costs[q] = sum(sorted(grams.counts.get(w[p:e], 3) for p, e in own)[:n])
+            tried = []
+            grams.spoiled = lambda *a: tried.append(a) or spelling.Grams.spoiled(grams, *a)
+            q, asked = grams.asks(w, 3, cuts)
+            del grams.spoiled
+            passed += len(cuts) - len(tried)
+            assert set(asked) <= set(cuts[q]) and len(asked) == grams.spoiled(w, cuts[q], q) + 1
+            assert sum(grams.counts.get(w[p:e], 3) for p, e in asked) == costs[q] == min(costs.values())
+    assert passed > 100
+
+
+@pytest.mark.parametrize("size", [1, 5, 9, 127, 128, 254, 255, 256, 400])
+def test_pairs_by_plain_loops(size):
+    rnd = random.Random(size)
+    base = [rnd.choice("ab") * size, "".join(rnd.choice("ab") for _ in range(size))]
+
+    def edited(w, extra):
+        w = list(w)
+        for _ in range(rnd.randint(0, 2)):
+            w[rnd.randrange(size)] = rnd.choice("abc")
+        for _ in range(extra):
+            w.insert(rnd.randint(0, len(w)), rnd.choice("abc"))
+        return "".join(w)
+
+    right = [edited(rnd.choice(base), 0) for _ in range(12)]
+    for extra, near in ((0, spelling.one_replaced), (1, spelling.one_deleted)):
+        left = [edited(rnd.choice(base), extra) for _ in range(15)]
+        grids = [np.array([list(w.encode()) for w in ws], np.uint8) for ws in (left, right)]
+        want = {(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if is_near(a, b)}
+        assert set(zip(*(c.tolist() for c in near(*grids)))) == want
+
+
 def test_counted_words(spark):
     rnd = random.Random(7)
     letters = "aAzZéÉÀÿ×÷ -'1漢Łı\u0301\xbf"

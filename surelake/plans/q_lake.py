@@ -13,7 +13,8 @@ from .views import EVENT_AS_OF
 def _bucketed(v):
     claims = v.claims.select(F.regexp_extract("policy_no", "([0-9]+)$", 1).cast("bigint").alias("policy_id"))
     frames = {"policy": v.policy.select("policy_id"), "insured": v.insured.select("policy_id", "insured_cert_no"), "claims": claims}
-    tables = [lake.write_bucketed(d, session.scratch(v.spark, n), f"{n}_{uuid.uuid4().hex}", "policy_id", 8) for n, d in frames.items()]
+    buckets = max(8, session.shares(v.spark, v.folder))  # a task reads whole buckets
+    tables = [lake.write_bucketed(d, session.scratch(v.spark, n), f"{n}_{uuid.uuid4().hex}", "policy_id", buckets) for n, d in frames.items()]
     return lake.policy_counts(*tables)
 
 

@@ -453,6 +453,18 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_buckets_follow_the_size_of_the_input(spark, inputs, monkeypatch):
+    from surelake.plans import q_lake
+
+    want = sorted(map(tuple, q_lake._bucketed(inputs).collect()))
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", 1 << 15)
+    buckets = session.shares(spark, inputs.folder)
+    assert buckets > 8
+    got = q_lake._bucketed(inputs)
+    assert f"SelectedBucketsCount: {buckets} out of {buckets}" in got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_only_the_newest_day_is_read(spark, tmp_path):
     from surelake.sources import lake
 

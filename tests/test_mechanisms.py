@@ -287,6 +287,25 @@ def test_partitions_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
         spark.conf.unset(name)
 
 
+def test_a_task_reads_a_bounded_part_of_the_files(spark, tmp_path, monkeypatch):
+    spark.range(40_000).selectExpr("cast(uuid() as string) AS u").repartition(20).write.parquet(str(tmp_path / "t.parquet"))
+    size = session.stored(spark, str(tmp_path))
+    most, cost, parts = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "READ_PER_TASK", size // 10)
+    tasks = lambda: spark.read.parquet(str(tmp_path / "t.parquet")).rdd.getNumPartitions()
+    try:
+        spark.conf.set(cost, "1")
+        before = tasks()
+        session.tune(spark, str(tmp_path))
+        assert before < 10 <= tasks()
+        spark.conf.set(most, str(size // 30))
+        session.tune(spark, str(tmp_path))
+        assert spark.conf.get(most) == str(size // 30)  # a smaller limit of the session stays
+    finally:
+        for name in (most, cost, parts):
+            spark.conf.unset(name)
+
+
 def test_a_table_of_several_files_streams_like_one_file(spark, tmp_path):
     import __spark_entry__ as entry
 

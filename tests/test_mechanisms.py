@@ -312,6 +312,7 @@ def test_a_task_reads_a_bounded_part_of_the_files(spark, tmp_path, monkeypatch):
 GROWN = (
     "model_risk_tree",
     "model_score",
+    "risk_features",
 )
 
 

@@ -313,6 +313,7 @@ GROWN = (
     "model_risk_tree",
     "model_score",
     "risk_features",
+    "premium_slope",
 )
 
 

@@ -314,6 +314,7 @@ GROWN = (
     "model_score",
     "risk_features",
     "premium_slope",
+    "premium_policy_to_date",
 )
 
 

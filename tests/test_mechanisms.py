@@ -315,6 +315,7 @@ GROWN = (
     "risk_features",
     "premium_slope",
     "premium_policy_to_date",
+    "daily_headcount",
 )
 
 

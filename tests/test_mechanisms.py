@@ -316,6 +316,7 @@ GROWN = (
     "premium_slope",
     "premium_policy_to_date",
     "daily_headcount",
+    "headcount_ent_day",
 )
 
 

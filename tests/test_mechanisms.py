@@ -317,6 +317,7 @@ GROWN = (
     "premium_policy_to_date",
     "daily_headcount",
     "headcount_ent_day",
+    "headcount_month_peak",
 )
 
 

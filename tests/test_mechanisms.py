@@ -318,6 +318,7 @@ GROWN = (
     "daily_headcount",
     "headcount_ent_day",
     "headcount_month_peak",
+    "premium_by_plans",
 )
 
 

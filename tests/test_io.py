@@ -252,3 +252,18 @@ def test_no_single_partition_in_the_hot_path(spark, name):
     from tests.plan_audit import audit
 
     assert audit(entry.queries()[name](spark, SF)) == []
+
+
+def test_materialised_tables_leave_no_shuffle_files(spark, tmp_path):
+    from pathlib import Path
+
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+
+    def shuffled():
+        return {f.name for f in folder.parent.rglob("shuffle_*")}
+
+    before = shuffled()
+    out = session.materialise(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    assert not shuffled() - before
+    assert out.agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None

@@ -425,6 +425,47 @@ def test_shared_people_of_many_holders_ships_lists(spark):
     assert above.split("Exchange")[-1].count("HashAggregate") == 2
 
 
+def test_shared_people_never_shuffles_pairs(spark, monkeypatch):
+    from tests.plan_audit import plan_of
+
+    # several blocks, and several tasks for every two of them
+    monkeypatch.setattr(matching, "PAIRS_PER_TASK", 20)
+    monkeypatch.setattr(matching, "MOST_ROUNDS", 3)
+    rng = random.Random(5)
+    pairs = [(f"h{min(int(rng.expovariate(0.1)), 40):02d}", f"p{rng.randrange(25)}") for _ in range(300)] + [(f"h{h:02d}", f"q{p}") for h in (3, 7, 8) for p in range(9)]
+    of = defaultdict(set)
+    for h, p in pairs:
+        of[h].add(p)
+    want = {(a, b, len(of[a] & of[b])) for a, b in itertools.combinations(sorted(of), 2) if of[a] & of[b]}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = matching.shared_people(frame(spark, "holder string, person string", *pairs))
+        plan = plan_of(df)
+        assert {tuple(r) for r in df.collect()} == want
+        few = matching.shared_people(frame(spark, "holder string, person string", *pairs), least=3)
+        assert {tuple(r) for r in few.collect()} == {w for w in want if w[2] >= 3}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # nothing lies between the expanded pairs and the result but the joins with one row of names per task
+    assert "Exchange" not in plan.split("Generate explode(y")[0]
+
+
+def test_best_overlaps_in_passes(spark, monkeypatch):
+    rng = random.Random(6)
+    q = {i: {f"t{int(rng.expovariate(0.2))}" for _ in range(6)} for i in range(40)}
+    k = {i: {f"t{int(rng.expovariate(0.2))}" for _ in range(7)} for i in range(30)}
+    frames = [frame(spark, f"{c} int, tokens array<string>", *[(i, sorted(t)) for i, t in d.items()]) for c, d in (("qid", q), ("kid", k))]
+    want = {(i, j, len(a & b)) for i, a in q.items() for j, b in k.items() if a & b and len(a & b) >= max(len(a & c) for c in k.values()) - 1}
+    monkeypatch.setattr(overlap, "PAIRS_PER_PASS", 100)
+    compared, candidates = [], overlap.candidates
+    monkeypatch.setattr(overlap, "candidates", lambda probes, *rest: compared.append(probes.agg({"df": "sum"}).first()[0] or 0) or candidates(probes, *rest))
+    got = overlap.best_overlaps(*frames, slack=1)
+    assert {(r.qid, r.kid, r.overlap) for r in got.collect()} == want
+    # the pairs of some queries at a time
+    assert len(compared) > 4 and max(compared) < sum(compared) / 3
+
+
 def test_nearest_start_brute_force(spark):
     rng = random.Random(4)
     claims = [(f"c{rng.randrange(6)}", f"2020/1/{rng.randrange(1, 29)}", f"2020/2/{rng.randrange(1, 28)}", str(i), "") for i in range(40)]

@@ -650,3 +650,25 @@ def test_all_coverage_labels_in_one_table(inputs):
     single = {r.ent_id: r.total_insured_persons for r in enterprise.insured_persons(v.policy, v.insured).collect()}
     assert {r.ent_id: r.total_insured_persons for r in wide.collect() if r.total_insured_persons is not None} == single
     assert {"month_number", "insured_rate", "ent_first_craft", "ent_potential_scale"} <= set(wide.columns)
+
+
+def test_people_facts_shuffle_only_counts_that_differ(spark):
+    from tests.plan_audit import plan_of
+
+    policy = frame(spark, "policy_id int, ent_id string, policy_status string", (1, "e", "1"), (2, "e", "7"), (3, "e", "4"), (4, "", "1"), (5, "f", "4"), (6, None, "1"))
+    man, woman = "110101199001010010", "110101199001010020"
+    insured = frame(
+        spark, "policy_id int, insured_cert_no string, insure_policy_status string",
+        (1, man, "1"), (1, man, "2"), (2, man, "1"), (2, woman, "2"), (3, woman, "1"), (1, "short", "1"), (1, None, "1"), (4, man, "1"), (5, woman, "1"), (6, man, "1"),
+    )
+    df = enterprise.people_facts(policy, insured)
+    got = {r.ent_id: r.asDict() for r in df.collect()}
+    facts_of = lambda *values: dict(zip(("total_insured_count", "total_insured_persons", "active", "cur_insured_persons", "gender_n", "men", "active_cards"), values))
+    assert got == {
+        "e": {"ent_id": "e"} | facts_of(6, 3, 2, 2, 5, 3, 2),
+        "f": {"ent_id": "f"} | facts_of(None, None, None, None, 1, 0, None),
+        "": {"ent_id": ""} | facts_of(None, None, None, None, 1, 1, None),
+    }
+    # three counts and a flag of a person under an enterprise, and none under a policy before
+    partial = [p.split("functions=[")[1].split("]")[0] for p in plan_of(df).split("HashAggregate(keys=[") if "insured_cert_no" in p.split("]")[0] and "partial_" in p]
+    assert {p.count("partial_") for p in partial} == {4}

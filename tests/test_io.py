@@ -255,6 +255,7 @@ def test_no_single_partition_in_the_hot_path(spark, name):
 
 
 def test_materialised_tables_leave_no_shuffle_files(spark, tmp_path):
+    import time
     from pathlib import Path
 
     folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
@@ -264,6 +265,9 @@ def test_materialised_tables_leave_no_shuffle_files(spark, tmp_path):
 
     before = shuffled()
     out = session.materialise(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:  # they go behind the query's back
+        time.sleep(0.2)
     assert not shuffled() - before
     assert out.agg(F.sum("count")).first()[0] == 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
